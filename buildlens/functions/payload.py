@@ -18,9 +18,10 @@ def field(payload: str | Column, path: str, kind: str = "string", strict: bool =
     return getter(payload, f"$.{path}", kind)
 
 
-def explode(df: DataFrame, array: str, into: str, outer: bool = False) -> DataFrame:
+def explode(df: DataFrame, array: str, into: str, outer: bool = False, position: str | None = None) -> DataFrame:
     """One row per element of a VARIANT array. Missing, null and empty give one NULL row when outer."""
     tvf = df.sparkSession.tvf
     generator = tvf.variant_explode_outer if outer else tvf.variant_explode
     exploded = df.lateralJoin(generator(F.col(array).outer()))
-    return exploded.select(*[c for c in df.columns if c != array], F.col("value").alias(into))
+    places = [F.col("pos").alias(position)] if position else []
+    return exploded.select(*[c for c in df.columns if c != array], *places, F.col("value").alias(into))

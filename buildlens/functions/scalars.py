@@ -8,8 +8,10 @@ from pyspark.sql import types as T
 
 from buildlens import schemas
 
-FINGERPRINT_WORDS = 8
-FINGERPRINT_DIGITS = 6
+# A digest is read as pieces of 15 hex digits, 60 bits each, and every piece as three 20-bit words.
+FINGERPRINT_PIECES = 3
+PIECE_DIGITS = 15
+WORD_BITS = 20
 
 
 def duration_seconds(start: Column, end: Column) -> Column:
@@ -64,12 +66,13 @@ def batch_fingerprint(digest: Column) -> Column:
     """Order-independent fingerprint of the rows of a group, as an aggregate over ``row_hash``.
 
     The digest is cut into words and the words are summed, so the group is combined map-side and
-    never gathered in one task. A 24-bit word leaves room for 2**39 rows per group.
+    never gathered in one task. A 20-bit word leaves room for 2**43 rows per group.
     """
-    words = [
-        F.sum(F.conv(F.substring(digest, 1 + i * FINGERPRINT_DIGITS, FINGERPRINT_DIGITS), 16, 10).cast("bigint"))
-        for i in range(FINGERPRINT_WORDS)
-    ]
+    words = []
+    for i in range(FINGERPRINT_PIECES):
+        piece = F.conv(F.substring(digest, 1 + i * PIECE_DIGITS, PIECE_DIGITS), 16, 10).cast("bigint")
+        for shift in (2 * WORD_BITS, WORD_BITS, 0):
+            words.append(F.sum(F.shiftright(piece, shift).bitwiseAND((1 << WORD_BITS) - 1)))
     return F.sha2(F.concat_ws(":", F.count(digest), *words), 256)
 
 

@@ -60,6 +60,24 @@ def classify_by_names(
     )
 
 
+def like_pattern(text: Column, pattern: str) -> Column:
+    """``text LIKE pattern``, with patterns of plain pieces between ``%`` found by linear searches.
+
+    Spark turns one piece into a plain search by itself; more pieces would become a regular expression
+    that backtracks over long texts.
+    """
+    pieces = pattern.split("%")
+    inner = [p for p in pieces[1:-1] if p]
+    if "_" in pattern or "\\" in pattern or len(inner) < 2 or pieces[0] or pieces[-1]:
+        return text.like(pattern)
+    # each piece is searched after the end of the one before, 0 meaning it was not found
+    position = F.lit(1)
+    for piece in inner:
+        found = F.call_function("locate", F.lit(piece), text, position)
+        position = F.when(found > 0, found + len(piece)).otherwise(F.lit(0))
+    return position > 0
+
+
 def classify_by_rule_table(
     logs: DataFrame, rules: DataFrame, text: str, key: list[str], max_inline: int = MAX_INLINE_RULES
 ) -> DataFrame:
@@ -80,7 +98,7 @@ def classify_by_rule_table(
         lowered = logs.withColumn("_lowered", F.lower(F.col(text)))
         number = None
         for position, rule in enumerate(found):
-            fires = F.col("_lowered").like(rule.error_pattern.lower())
+            fires = like_pattern(F.col("_lowered"), rule.error_pattern.lower())
             number = F.when(fires, position) if number is None else number.when(fires, position)
         table = {n: F.array(*[F.lit(r[n]) for r in found]) for n in fields}
         ruled = lowered.withColumn("_rule", number)

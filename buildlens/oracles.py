@@ -172,7 +172,11 @@ fct_runs AS (
   FROM runs w LEFT JOIN per_run USING (workflow_run_id))"""
 
 _FINGERPRINT = "sha256(concat_ws(':', count(*), {}))".format(
-    ", ".join(f"CAST(sum(CAST('0x' || substr(h, {1 + 6 * i}, 6) AS BIGINT)) AS BIGINT)" for i in range(8))
+    ", ".join(
+        f"CAST(sum(CAST('0x' || substr(h, {1 + 15 * i}, 15) AS BIGINT) // {1 << shift} % {1 << 20}) AS BIGINT)"
+        for i in range(3)
+        for shift in (40, 20, 0)
+    )
 )
 
 

@@ -21,7 +21,11 @@ def pick_attempts(bronze: DataFrame, attempts: str = "all") -> DataFrame:
     return latest_per_key(bronze, ["run_id"], [F.col("run_attempt").desc_nulls_last()])
 
 
-def workflow_runs(bronze: DataFrame, attempts: str = "all") -> DataFrame:
+LINEAGE = ("source_file_name", "loaded_at")
+
+
+def workflow_runs(bronze: DataFrame, attempts: str = "all", lineage: tuple[str, ...] = LINEAGE) -> DataFrame:
+    """Typed runs. ``lineage`` names bronze columns to carry along."""
     p = "raw_payload"
     typed = pick_attempts(bronze, attempts).select(
         field(p, "id", "bigint").alias("workflow_run_id"),
@@ -35,8 +39,7 @@ def workflow_runs(bronze: DataFrame, attempts: str = "all") -> DataFrame:
         field(p, "created_at", payload.TIMESTAMP).alias("created_at"),
         field(p, "updated_at", payload.TIMESTAMP).alias("updated_at"),
         field(p, "run_attempt", "bigint").alias("run_attempt"),
-        "source_file_name",
-        "loaded_at",
+        *lineage,
     )
     return typed.filter(F.col("workflow_run_id").isNotNull())
 

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from buildlens import samples, schemas
 from buildlens.functions import payload, scalars
-from buildlens.operators import classify, merge, quality
-from buildlens.operators.dedupe import latest_per_key
+from buildlens.operators import classify, dedupe, merge, quality
 from buildlens.plans import bronze, build, gold, insight, silver
 from buildlens.session import scratch_dir
 from buildlens.sources import lake
@@ -160,15 +159,12 @@ def _lines(spark, sf):
 def _batch(spark, sf, flag):
     """The lines of one return flag as a load batch, one row per key."""
     lines = _lines(spark, sf).filter(F.col("l_returnflag") == flag)
-    return latest_per_key(lines, samples.LINE_KEYS, samples.line_order())
+    return dedupe.latest_per_key(lines, samples.LINE_KEYS, samples.line_order())
 
 
 @query
-def latest_lines(spark, sf):
-    return latest_per_key(_lines(spark, sf), samples.LINE_KEYS, samples.line_order())
-
-
-QUERIES["latest_per_key"] = QUERIES.pop("latest_lines")
+def latest_per_key(spark, sf):
+    return dedupe.latest_per_key(_lines(spark, sf), samples.LINE_KEYS, samples.line_order())
 
 
 @query
@@ -186,7 +182,7 @@ def merge_idempotent(spark, sf):
 
 def _status_events(spark, sf, *flags):
     batch = _lines(spark, sf).filter(F.col("l_returnflag").isin(*flags))
-    latest = latest_per_key(batch, samples.LINE_KEYS, samples.line_order())
+    latest = dedupe.latest_per_key(batch, samples.LINE_KEYS, samples.line_order())
     return latest.select(
         *samples.LINE_KEYS, F.col("l_linestatus").alias("status"), F.col("l_returnflag").alias("conclusion"),
         F.col("l_shipdate").alias("updated_at"), "l_partkey",
@@ -383,27 +379,11 @@ def _land(spark, sf, label):
     return root
 
 
-def _typed_records(records):
-    runs = silver.workflow_runs(records)
-    return runs.drop("source_file_name", "loaded_at")
-
-
 @query
 def lake_roundtrip(spark, sf):
     envelopes = lake.read_envelopes(spark, _land(spark, sf, "roundtrip"), "workflow_runs")
-    records = lake.explode_records(envelopes).withColumns(
-        {
-            "loaded_at": F.lit(LOADED_AT).cast(payload.TIMESTAMP),
-            **lake.path_parts(),
-            "repo_owner": payload.field("raw_payload", "repo_owner"),
-        }
-    )
-    typed = _typed_records(records)
-    placed = records.select(
-        payload.field("raw_payload", "id", "bigint").alias("workflow_run_id"),
-        "lake_owner", "lake_entity", "lake_date",
-    )
-    return typed.join(placed, "workflow_run_id")
+    records = lake.explode_records(envelopes.withColumns(lake.path_parts()))
+    return silver.workflow_runs(records, lineage=("lake_owner", "lake_entity", "lake_date"))
 
 
 @query
@@ -428,7 +408,7 @@ def stream_ingest(spark, sf):
         ingest.ingest_available(
             spark, f"{base}/lake", f"{base}/bronze", f"{base}/checkpoint", loaded_at=loaded, grain="month"
         )
-    return _typed_records(bronze.read(spark, f"{base}/bronze"))
+    return silver.workflow_runs(bronze.read(spark, f"{base}/bronze")).drop("source_file_name", "loaded_at")
 
 
 @query
