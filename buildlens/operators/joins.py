@@ -50,3 +50,18 @@ def skew_safe_join(
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     repeated = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return spread.drop("_hot", "_part").join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def children_or_none(
+    parents: DataFrame, children: DataFrame, keys: list[str], *, min_bytes: int = SKEW_MIN_BYTES
+) -> DataFrame:
+    """Left join of parents to their children, where one parent may own most of the children.
+
+    An outer join cannot be split on its optional side. Beyond ``min_bytes`` of children it is taken
+    apart: an inner join, which Spark splits on either side, and the parents without children.
+    """
+    if input_bytes(children) < min_bytes:
+        return parents.join(children, keys, "left")
+    matched = parents.join(children, keys)
+    childless = parents.join(children.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(childless, allowMissingColumns=True)

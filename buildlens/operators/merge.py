@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from buildlens.operators.joins import skew_safe_join
-
 
 def split_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(rows that can be merged, rows to quarantine because a key is NULL)."""
@@ -29,14 +27,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
 def reconcile(
     target: DataFrame, late: DataFrame, keys: list[str], only_if_newer: str | None = None
 ) -> DataFrame:
-    """Overwrite, field by field, the target rows that ``late`` (one row per key) names.
+    """Overwrite, field by field, the target rows that ``late`` names. Both hold one row per key.
 
     A late row without a target row is dropped, a column ``late`` does not have is kept. With
     ``only_if_newer`` a late row is applied only when that column is greater than the target's.
     """
     fields = [c for c in late.columns if c not in keys]
     staged = late.select(*keys, *[F.col(c).alias(f"_late_{c}") for c in fields], F.lit(True).alias("_late"))
-    joined = skew_safe_join(target, staged, keys, "left")
+    joined = target.join(staged, keys, "left")
     apply = F.col("_late").isNotNull()
     if only_if_newer:
         newer = F.col(f"_late_{only_if_newer}") > F.col(only_if_newer)
@@ -113,23 +111,27 @@ def upsert_path(
     ``source`` holds one row per key; ``combine`` merges it with the touched partitions.
 
     A key stays in the partition it was first written to. Finding that partition reads the key
-    columns of the whole table; ``fixed_partition`` skips this when the partition is a function of
-    the key. The new partitions are staged beside the table and then moved in, so the plan never
+    columns of the whole table; ``fixed_partition`` skips this when a key's partition never changes.
+    The new partitions are staged beside the table and then moved in, so the plan never
     overwrites what it reads, and a run cut off in between is finished by the next one.
     """
     base = path.rstrip("/")
     recover(spark, base)
-    incoming, pending = f"{base}__incoming", f"{base}__pending"
+    incoming, found, pending = f"{base}__incoming", f"{base}__homes", f"{base}__pending"
     target = spark.read.parquet(path) if exists(spark, base) else None
-    if target is not None and not fixed_partition:
-        homes = target.select(*keys, F.col(partition).alias("_home"))
-        source = source.join(homes, keys, "left")
-        source = source.withColumn(partition, F.coalesce("_home", partition)).drop("_home")
-    # written once: it is read for the list of partitions, for the anti-join and for the union
+    # written once: it is read for its keys, for the list of partitions, for the anti-join and the union,
+    # and a small batch is then known to be small, so that the table is not shuffled to meet it
     source.write.mode("overwrite").parquet(incoming)
     source = spark.read.parquet(incoming)
     if source.isEmpty():
         return
+    if target is not None and not fixed_partition:
+        homes = target.select(*keys, F.col(partition).alias("_home"), F.lit(True).alias("_known"))
+        homes.join(source.select(*keys), keys, "left_semi").write.mode("overwrite").parquet(found)
+        source = source.join(spark.read.parquet(found), keys, "left")
+        # a known key's home can be the NULL partition
+        home = F.when(F.col("_known"), F.col("_home")).otherwise(F.col(partition))
+        source = source.withColumn(partition, home).drop("_home", "_known")
     if target is not None:
         # one value per touched day or bucket
         touched = [r[0] for r in source.select(partition).distinct().collect()]
@@ -139,5 +141,6 @@ def upsert_path(
         source = combine(target.filter(named), source.select(*target.columns), keys)
     source.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(pending)
     _publish(spark, pending, base)
-    fs, jpath = _path(spark, incoming)
-    fs.delete(jpath, True)
+    for staged in (incoming, found):
+        fs, jpath = _path(spark, staged)
+        fs.delete(jpath, True)

@@ -46,20 +46,37 @@ def derive(typed: dict[str, DataFrame], failed_steps_only: bool = False) -> dict
     }
 
 
-def write(df: DataFrame, path: str) -> DataFrame:
-    """Write a table whole and hand back a scan of it, with even file sizes."""
-    df.hint("rebalance").write.mode("overwrite").parquet(path)
+def write(df: DataFrame, path: str, name: str, bucket_key: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Write a table whole and hand back a scan of it.
+
+    With ``buckets`` it is saved as a catalog table, hashed and sorted by ``bucket_key``.
+    """
+    if buckets and bucket_key:
+        hashed = df.repartition(buckets, bucket_key).write.mode("overwrite")
+        hashed.bucketBy(buckets, bucket_key).sortBy(bucket_key).option("path", path).saveAsTable(name)
+        return df.sparkSession.table(name)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def build_all(
-    spark: SparkSession, typed: dict[str, DataFrame], out: str, failed_steps_only: bool = False
+    spark: SparkSession,
+    typed: dict[str, DataFrame],
+    out: str,
+    failed_steps_only: bool = False,
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the silver frames and the marts under ``out``; views stay plans, registered by name."""
-    tables = {name: write(typed[name], f"{out}/{name}") for name in SILVER}
+    """Write the silver frames and the marts under ``out``; views stay plans, registered by name.
+
+    ``buckets`` stores jobs and steps hashed by job. The two marts that join them then shuffle neither,
+    for one shuffle when they are written. Leave it out when single jobs may hold much of the steps:
+    the split of a skewed join needs a shuffle.
+    """
+    keys = {"stg_jobs": "job_id", "stg_steps": "job_id"}
+    tables = {n: write(typed[n], f"{out}/{n}", n, keys.get(n), buckets) for n in SILVER}
     plans = derive(tables, failed_steps_only)
     for name in MARTS:
-        tables[name] = write(plans[name], f"{out}/{name}")
+        tables[name] = write(plans[name], f"{out}/{name}", name)
     for name in VIEWS:
         plans[name].createOrReplaceTempView(name)
         tables[name] = plans[name]

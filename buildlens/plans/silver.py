@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from buildlens import schemas
 from buildlens.functions import payload, scalars
 from buildlens.operators.dedupe import latest_per_key
+from buildlens.operators.joins import children_or_none
 
 field = payload.field
 
@@ -153,7 +154,7 @@ def attach_jobs(runs: DataFrame, jobs: DataFrame) -> DataFrame:
     own = jobs.select(
         "run_composite_key", "job_id", "job_name", "status", "conclusion", "started_at", "completed_at", "runner_name"
     )
-    joined = keyed.join(own, "run_composite_key", "left")
+    joined = children_or_none(keyed, own, ["run_composite_key"])
     return joined.select(
         "workflow_run_id",
         "run_composite_key",

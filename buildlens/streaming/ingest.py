@@ -18,6 +18,7 @@ def ingest_available(
     max_files: int | None = None,
     loaded_at: Column | None = None,
     grain: str = "day",
+    fixed_partition: bool = False,
 ) -> None:
     """Merge every file not seen yet and return.
 
@@ -28,7 +29,7 @@ def ingest_available(
     records = bronze.to_bronze(lake.explode_records(envelopes), loaded_at, grain)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        rejected = bronze.merge_batch(batch.sparkSession, batch, path)
+        rejected = bronze.merge_batch(batch.sparkSession, batch, path, fixed_partition)
         if quarantine:
             # one folder per batch: a repeated batch replaces its own rows
             rejected.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")

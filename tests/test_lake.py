@@ -4,7 +4,7 @@ import gzip
 import hashlib
 import json
 import os
-from datetime import datetime
+from datetime import date, datetime
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -77,6 +77,15 @@ def test_plain_folders_with_equal_file_names(spark, tmp_path):
     assert sorted(r.run_id for r in records.collect()) == [1, 2]
 
 
+def test_only_the_wanted_days_are_read(spark, tmp_path):
+    for day in (6, 7, 8):
+        write(f"{tmp_path}/acme/one/runs/2024/05/0{day}/x.jsonl.gz", envelope({"id": day}))
+    write(f"{tmp_path}/owner=acme/repo=two/entity=runs/year=2024/month=05/day=07/x.json.gz", envelope({"id": 17}))
+    read = lake.read_envelopes(spark, str(tmp_path), "runs", since=date(2024, 5, 7), until=date(2024, 5, 8))
+    found = silver.workflow_runs(lake.explode_records(read), lineage=())
+    assert sorted(r.workflow_run_id for r in found.collect()) == [7, 8, 17]
+
+
 def test_payload_without_list_gives_no_rows(spark, tmp_path):
     write(f"{tmp_path}/a/b/runs/2024/01/01/x.jsonl.gz", "{}", '{"data":null}', '{"data":[]}', envelope({"id": 1}))
     assert lake.explode_records(lake.read_envelopes(spark, str(tmp_path), "runs")).count() == 1

@@ -90,6 +90,8 @@ def test_upsert_path_with_null_partition_and_empty_batch(spark, tmp_path):
     upsert(spark, path, undated.limit(0))
     found = upsert(spark, path, undated.filter("id = 2").withColumn("state", F.lit("B")))
     assert states(found) == [(1, 1, "a", "2024-01-01"), (2, 1, "B", None)]
+    found = upsert(spark, path, dated.filter("id = 2"))
+    assert states(found) == [(1, 1, "a", "2024-01-01"), (2, 1, "b", None)]
 
 
 def test_a_cut_off_publish_is_finished_by_the_next_run(spark, tmp_path, monkeypatch):

@@ -110,3 +110,20 @@ def test_build_all_writes_tables_and_views(spark, tmp_path):
     assert spark.table("int_failure_events").count() == tables["fct_actionable_failures"].count() == 6
     assert set(build.MARTS) <= {p.name for p in tmp_path.iterdir()}
     assert not set(build.VIEWS) & {p.name for p in tmp_path.iterdir()}
+
+
+def test_bucketed_jobs_and_steps_meet_without_a_shuffle(spark, tmp_path):
+    typed = build.from_bronze(bronze(spark, PAYLOADS))
+    plain = build.build_all(spark, typed, str(tmp_path / "plain"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        tables = build.build_all(spark, typed, str(tmp_path / "bucketed"), buckets=4)
+        joined = tables["stg_steps"].join(tables["stg_jobs"], "job_id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        marts = ("fct_step_executions", "fct_actionable_failures")
+        for name in marts:
+            assert rows(tables[name], "job_id", "step_number") == rows(plain[name], "job_id", "step_number")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("stg_jobs", "stg_steps"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from buildlens.functions import scalars
 from buildlens.operators import classify
 from buildlens.operators.dedupe import latest_per_key, top_per_group
-from buildlens.operators.joins import skew_safe_join
+from buildlens.operators.joins import children_or_none, skew_safe_join
+from buildlens.plans import gold
 
 
 def hot(spark, n=6000):
@@ -74,8 +75,62 @@ def test_fingerprint_ignores_order_but_not_copies(spark):
     assert "collect_list" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
-def test_overlay_with_one_hot_context(spark, monkeypatch):
-    monkeypatch.setattr("buildlens.operators.joins.SKEW_MIN_BYTES", 0)
+def test_children_or_none_equals_a_left_join(spark):
+    parents = spark.createDataFrame([(0, "a"), (1, "b"), (9999, "c"), (None, "d")], "k bigint, name string")
+    plain = parents.join(hot(spark), ["k"], "left")
+    split = children_or_none(parents, hot(spark), ["k"], min_bytes=0)
+    assert split.columns == plain.columns
+    grouped = plain.groupBy(*plain.columns).count()
+    assert rows(split.groupBy(*split.columns).count(), *split.columns) == rows(grouped, *plain.columns)
+    assert "Outer" not in split._jdf.queryExecution().executedPlan().toString()
+
+
+SMALL_SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def small_skew(spark):
+    """Thresholds under which a few kilobytes count as skewed."""
+    for key, value in SMALL_SKEW.items():
+        spark.conf.set(key, value)
+    yield
+    for key in SMALL_SKEW:
+        spark.conf.unset(key)
+
+
+def star(spark):
+    """Runs, jobs and steps in which one job of one run owns two thirds of all steps."""
+    at = F.lit("2024-01-01").cast("timestamp_ntz")
+    state = {"status": F.lit("completed"), "conclusion": F.lit("failure"), "started_at": at, "completed_at": at}
+    spread = F.when(F.col("id") % 3 == 0, F.col("id") % 200).otherwise(F.lit(7))
+    steps = spark.range(0, 12000, 1, 8).select(
+        spread.alias("job_id"), (spread % 20).alias("workflow_run_id"), F.col("id").alias("step_number"),
+        F.sha2(F.col("id").cast("string"), 256).alias("step_name"),
+    ).withColumns(state)
+    jobs = spark.range(200).select(
+        F.col("id").alias("job_id"), (F.col("id") % 20).alias("workflow_run_id"), F.lit("j").alias("job_name"),
+        F.lit("r").alias("runner_name"),
+    ).withColumns(state)
+    runs = spark.range(20).select(
+        F.col("id").alias("workflow_run_id"), *[F.lit("x").alias(c) for c in gold.RUN_LABELS]
+    )
+    return steps, jobs, runs
+
+
+@pytest.mark.parametrize("build", [gold.fct_step_executions, gold.int_failure_events])
+def test_spark_splits_the_hot_job(spark, small_skew, build):
+    marts = build(*star(spark))
+    assert len(marts.collect()) == 12000
+    assert "skew=true" in marts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_overlay_with_one_hot_context(spark):
     failures = spark.range(900).select(
         F.when(F.col("id") < 600, "same").otherwise(F.col("id").cast("string")).alias("workflow_name"),
         F.lit("s").alias("step_name"),
