@@ -6,12 +6,11 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from buildlens import schemas
 from buildlens.functions import scalars
-from buildlens.operators.dedupe import latest_per_key
 from buildlens.operators.joins import skew_safe_join
 
 RESULT_FIELDS = ["category", "assigned_team", "recommended_fix"]
@@ -191,8 +190,7 @@ def apply_classifications(failures: DataFrame, results: DataFrame) -> DataFrame:
     the order of arrival.
     """
     keys = ["job_id", "step_number"]
-    one = latest_per_key(results.select(*keys, *RESULT_FIELDS), keys, [F.col(n).asc() for n in RESULT_FIELDS])
-    staged = one.select(*keys, *[F.col(n).alias(f"_new_{n}") for n in RESULT_FIELDS], F.lit(True).alias("_hit"))
+    staged = one_answer(results.groupBy(*keys)).select(*keys, *[F.col(n).alias(f"_new_{n}") for n in RESULT_FIELDS], F.lit(True).alias("_hit"))
     return _overlay(failures, skew_safe_join(failures, staged, keys, "left"), F.col("_hit").isNotNull())
 
 
@@ -203,6 +201,12 @@ def _overlay(failures: DataFrame, joined: DataFrame, hit: Column) -> DataFrame:
     return joined.select(*[changes[c].alias(c) if c in changes else F.col(c) for c in failures.columns])
 
 
+def one_answer(grouped: GroupedData) -> DataFrame:
+    """One of several answers per group, the same one every time."""
+    best = grouped.agg(F.min(F.struct(*RESULT_FIELDS)).alias("_best"))
+    return best.select("*", *[F.col(f"_best.{n}").alias(n) for n in RESULT_FIELDS]).drop("_best")
+
+
 def fallback_classify(
     failures: DataFrame, classify: Classifier, known: DataFrame | None = None, parallelism: int | None = None
 ) -> DataFrame:

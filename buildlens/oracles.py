@@ -373,6 +373,8 @@ ORACLES: dict[str, str] = {
       SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""",
     "fallback_classify": _with(*_FAILURES, _fallback())
     + """ SELECT job_id, step_number, category, assigned_team, recommended_fix, classification_source FROM answered""",
+    "triage_remembered": _with(*_FAILURES, _fallback())
+    + """ SELECT job_id, step_number, category, assigned_team, recommended_fix, classification_source FROM answered""",
     "apply_classifications": _with(*_FAILURES)
     + """, marked AS (
         SELECT *, failure_reason = 'failure' AND classification_source = 'UNCLASSIFIED_FALLBACK' AS hit FROM failures)

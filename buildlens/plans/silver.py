@@ -70,16 +70,22 @@ def jobs(bronze: DataFrame, synthesize: bool = True, attempts: str = "all") -> D
         return _job_columns(exploded, lambda own, _: own, field("_job", "steps", "variant"), lambda own, _: own)
     whole = F.coalesce("_jobs", F.parse_json(F.lit("[{}]")))
     exploded = payload.explode(run.withColumn("_jobs", whole), "_jobs", "_job", outer=True)
+    stand_in = run_as_step("run_name", "run_status", "run_conclusion", "run_started", "run_updated")
+    steps = F.coalesce(field("_job", "steps", "variant"), stand_in)
+    return _job_columns(exploded, F.coalesce, steps, F.coalesce)
+
+
+def run_as_step(name: str, status: str, conclusion: str, started: str, completed: str) -> Column:
+    """A step list of one that stands for a whole run, made from the run's columns."""
     step = F.struct(
         F.lit(1).alias("number"),
-        F.coalesce("run_name", F.lit(schemas.DEFAULT_STEP_NAME)).alias("name"),
-        F.col("run_status").alias("status"),
-        F.col("run_conclusion").alias("conclusion"),
-        F.col("run_started").alias("started_at"),
-        F.col("run_updated").alias("completed_at"),
+        F.coalesce(name, F.lit(schemas.DEFAULT_STEP_NAME)).alias("name"),
+        F.col(status).alias("status"),
+        F.col(conclusion).alias("conclusion"),
+        F.col(started).cast("string").alias("started_at"),
+        F.col(completed).cast("string").alias("completed_at"),
     )
-    steps = F.coalesce(field("_job", "steps", "variant"), F.to_variant_object(F.array(step)))
-    return _job_columns(exploded, F.coalesce, steps, F.coalesce)
+    return F.to_variant_object(F.array(step))
 
 
 def _job_columns(exploded: DataFrame, fallback, steps: Column, default) -> DataFrame:
@@ -137,10 +143,27 @@ def failed_logs(steps: DataFrame) -> DataFrame:
     )
 
 
+def landed_jobs(records: DataFrame) -> DataFrame:
+    """Typed jobs from raw records of the jobs entity, as ``lake.tag_jobs`` tagged them."""
+    p = "raw_payload"
+    return records.select(
+        field(p, "run_composite_key").alias("run_composite_key"),
+        field(p, "id", "bigint").alias("job_id"),
+        field(p, "name").alias("job_name"),
+        field(p, "status").alias("status"),
+        field(p, "conclusion").alias("conclusion"),
+        field(p, "started_at", payload.TIMESTAMP).alias("started_at"),
+        field(p, "completed_at", payload.TIMESTAMP).alias("completed_at"),
+        field(p, "runner_name").alias("runner_name"),
+        field(p, "steps", "variant").alias("raw_steps_array"),
+    )
+
+
 def attach_jobs(runs: DataFrame, jobs: DataFrame) -> DataFrame:
     """Jobs landed as an entity of their own, joined to their run attempt; a run without any counts as one job.
 
-    ``runs`` are typed runs, ``jobs`` carry ``run_composite_key`` and the job columns.
+    ``runs`` are typed runs, ``jobs`` carry ``run_composite_key`` and the job columns. When they bring
+    their steps too, a job without any gets one made from the run.
     """
     keyed = runs.select(
         scalars.composite_key(F.col("workflow_run_id"), attempt=F.col("run_attempt")).alias("run_composite_key"),
@@ -151,9 +174,10 @@ def attach_jobs(runs: DataFrame, jobs: DataFrame) -> DataFrame:
         F.col("created_at").alias("_started_at"),
         F.col("updated_at").alias("_completed_at"),
     )
-    own = jobs.select(
-        "run_composite_key", "job_id", "job_name", "status", "conclusion", "started_at", "completed_at", "runner_name"
-    )
+    names = ["job_id", "job_name", "status", "conclusion", "started_at", "completed_at", "runner_name"]
+    raw = [c for c in ("raw_steps_array",) if c in jobs.columns]
+    own = jobs.select("run_composite_key", *names, *raw)
+    stand_in = run_as_step("_name", "_status", "_conclusion", "_started_at", "_completed_at")
     joined = children_or_none(keyed, own, ["run_composite_key"])
     return joined.select(
         "workflow_run_id",
@@ -162,4 +186,5 @@ def attach_jobs(runs: DataFrame, jobs: DataFrame) -> DataFrame:
         F.coalesce("job_name", "_name", F.lit(schemas.DEFAULT_JOB_NAME)).alias("job_name"),
         *[F.coalesce(c, f"_{c}").alias(c) for c in ("status", "conclusion", "started_at", "completed_at")],
         F.coalesce("runner_name", F.lit(schemas.DEFAULT_RUNNER)).alias("runner_name"),
+        *[F.coalesce(c, stand_in).alias(c) for c in raw],
     ).filter(F.col("job_id").isNotNull())

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from buildlens import samples, schemas
 from buildlens.functions import payload, scalars
 from buildlens.operators import classify, dedupe, merge, quality
-from buildlens.plans import bronze, build, gold, insight, silver
+from buildlens.plans import bronze, build, gold, insight, refresh, silver
 from buildlens.session import scratch_dir
 from buildlens.sources import lake
 from buildlens.streaming import ingest, status
@@ -234,6 +234,17 @@ def fallback_classify(spark, sf):
     return failures.select("job_id", "step_number", *classify.RESULT_FIELDS, "classification_source")
 
 
+@query
+def triage_remembered(spark, sf):
+    answers = f"{scratch_dir(spark, 'answers')}/contexts"
+    classifier = classify.offline_classifier()
+    failures = _failures(spark, sf)
+    # the first round sees the rows that are not failures themselves, the second all, reusing its answers
+    refresh.triage(spark, failures.filter(F.col("failure_reason") == "success"), classifier, answers)
+    done = refresh.triage(spark, failures, classifier, answers)
+    return done.select("job_id", "step_number", *classify.RESULT_FIELDS, "classification_source")
+
+
 @query
 def apply_classifications(spark, sf):
     failures = _failures(spark, sf)
