@@ -25,6 +25,29 @@ def pick_attempts(bronze: DataFrame, attempts: str = "all") -> DataFrame:
 LINEAGE = ("source_file_name", "loaded_at")
 
 
+# Payload fields with a type that a text can fail to have.
+TYPED = {
+    "id": "bigint",
+    "run_attempt": "bigint",
+    "created_at": payload.TIMESTAMP,
+    "updated_at": payload.TIMESTAMP,
+    "run_started_at": payload.TIMESTAMP,
+}
+
+
+def split_unreadable(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose typed run fields can be read, rows to quarantine).
+
+    The typed reads below fail the job on a value of the wrong form; this takes such rows out first.
+    """
+    p = "raw_payload"
+    broken = F.lit(False)
+    for path, kind in TYPED.items():
+        given = field(p, path, "string", strict=False).isNotNull()
+        broken = broken | (given & field(p, path, kind, strict=False).isNull())
+    return bronze.filter(~broken), bronze.filter(broken)
+
+
 def workflow_runs(bronze: DataFrame, attempts: str = "all", lineage: tuple[str, ...] = LINEAGE) -> DataFrame:
     """Typed runs. ``lineage`` names bronze columns to carry along."""
     p = "raw_payload"

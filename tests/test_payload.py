@@ -28,7 +28,7 @@ def bronze(spark, payloads):
     return spark.createDataFrame([(p,) for p in payloads], "text string").select(
         F.parse_json("text").alias("raw_payload"),
         F.variant_get(F.parse_json("text"), "$.id", "bigint").alias("run_id"),
-        F.coalesce(F.variant_get(F.parse_json("text"), "$.run_attempt", "bigint"), F.lit(1)).alias("run_attempt"),
+        F.coalesce(F.try_variant_get(F.parse_json("text"), "$.run_attempt", "bigint"), F.lit(1)).alias("run_attempt"),
         F.lit("f").alias("source_file_name"),
         F.lit("2024-01-01").cast("timestamp_ntz").alias("loaded_at"),
     )
@@ -85,6 +85,13 @@ def test_bad_value_fails_loudly(spark):
         silver.workflow_runs(bronze(spark, ['{"id":1,"created_at":"yesterday"}'])).collect()
 
 
+def test_unreadable_rows_can_be_taken_out(spark):
+    table = bronze(spark, ['{"id":1,"created_at":"yesterday"}', '{"id":2,"updated_at":null}', '{"id":3,"run_attempt":"x"}'])
+    good, bad = silver.split_unreadable(table.withColumn("run_id", F.variant_get("raw_payload", "$.id", "bigint")))
+    assert [r.workflow_run_id for r in silver.workflow_runs(good).collect()] == [2]
+    assert sorted(r.run_id for r in bad.select("run_id").collect()) == [1, 3]
+
+
 def test_attempts(spark):
     table = bronze(spark, [f'{{"id":1,{RUN}}}', f'{{"id":1,{RUN.replace(":1,", ":2,", 1)}}}'])
     assert silver.workflow_runs(table).count() == 2
