@@ -417,7 +417,7 @@ def stream_ingest(spark, sf):
     for drop in (runs.filter(F.col("status") == "completed"), runs):
         lake.land(drop, f"{base}/lake", "workflow_runs", samples.HASHED, extracted_at=LANDED_AT)
         ingest.ingest_available(
-            spark, f"{base}/lake", f"{base}/bronze", f"{base}/checkpoint", loaded_at=loaded, grain="month"
+            spark, f"{base}/lake", f"{base}/bronze", f"{base}/checkpoint", loaded_at=loaded, grain="year"
         )
     return silver.workflow_runs(bronze.read(spark, f"{base}/bronze")).drop("source_file_name", "loaded_at")
 
