@@ -178,8 +178,9 @@ def overlay_contexts(failures: DataFrame, answers: DataFrame) -> DataFrame:
     # rows that need no answer carry a NULL context and match nothing
     context = F.when(open_row, F.col("failure_context"))
     keyed = with_context(failures).withColumn("failure_context", context)
-    # both sides come from a shuffle of their own, so Spark splits a frequent context by itself
-    joined = keyed.join(staged, "failure_context", "left")
+    # Spark splits a frequent context by itself when both sides come straight from a shuffle; the few
+    # answers may be grouped by context already, and lose that grouping here
+    joined = keyed.join(staged.hint("rebalance"), "failure_context", "left")
     return _overlay(failures, joined, F.col("_new_category").isNotNull())
 
 

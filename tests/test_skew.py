@@ -130,6 +130,19 @@ def test_spark_splits_the_hot_job(spark, small_skew, build):
     assert "skew=true" in marts._jdf.queryExecution().executedPlan().toString()
 
 
+def test_spark_splits_the_hot_context(spark, small_skew):
+    workflow = F.when(F.col("id") % 3 == 0, F.col("id").cast("string")).otherwise("same")
+    failures = spark.range(0, 12000, 1, 8).select(
+        workflow.alias("workflow_name"), F.lit("s").alias("step_name"), F.lit("failure").alias("failure_reason"),
+        *[F.sha2(F.col("id").cast("string"), 256).alias(c) for c in classify.RESULT_FIELDS],
+        F.lit("UNCLASSIFIED_FALLBACK").alias("classification_source"),
+    )
+    asked = classify.pending_contexts(failures).select("failure_context", *[F.lit("new").alias(c) for c in classify.RESULT_FIELDS])
+    done = classify.overlay_contexts(failures, classify.one_answer(asked.groupBy("failure_context")))
+    assert {r.category for r in done.collect()} == {"new"}
+    assert "skew=true" in done._jdf.queryExecution().executedPlan().toString()
+
+
 def test_overlay_with_one_hot_context(spark):
     failures = spark.range(900).select(
         F.when(F.col("id") < 600, "same").otherwise(F.col("id").cast("string")).alias("workflow_name"),
