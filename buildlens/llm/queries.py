@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from buildlens.llm import language_id
+from buildlens.llm import byte_bpe, language_id, mixing
 from buildlens.llm.common import table
 
 
@@ -10,5 +10,13 @@ def op2_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id,)}
+def op7_mixing(spark, sf_dir):
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+def op8_byte_bpe(spark, sf_dir):
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_language_id, op7_mixing, op8_byte_bpe)}
 ORACLES: dict[str, str] = {}
