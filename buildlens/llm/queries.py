@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from buildlens.llm import byte_bpe, language_id, mixing
+from buildlens.llm import byte_bpe, language_id, mixing, secret_scan
 from buildlens.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op2_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark, sf_dir):
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -18,5 +22,5 @@ def op8_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op7_mixing, op8_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op5_secret_scan, op7_mixing, op8_byte_bpe)}
 ORACLES: dict[str, str] = {}
