@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from buildlens.llm import byte_bpe, language_id, mixing, secret_scan
+from buildlens.llm import byte_bpe, language_id, mixing, rule_ledger, secret_scan
 from buildlens.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op5_secret_scan(spark, sf_dir):
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
 
+def op6_rule_ledger(spark, sf_dir):
+    return rule_ledger.verdicts(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -22,5 +26,43 @@ def op8_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op5_secret_scan, op7_mixing, op8_byte_bpe)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_language_id, op5_secret_scan, op6_rule_ledger, op7_mixing, op8_byte_bpe)}
+
+# the rules of the current policy, spelled out
+_OP6 = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, list_slice(ws, i, i + 4) AS w
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM words)
+), again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (SELECT unnest(range(0, 5)) AS k) GROUP BY doc_id
+), measured AS (
+  SELECT words.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, len(ls) AS n_lines,
+         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
+         len(regexp_extract_all(text, '\p{Lu}')) AS n_capitals
+  FROM words LEFT JOIN covered ON covered.doc_id = words.doc_id
+), judged AS (
+  SELECT *, CAST(
+      CASE WHEN n_words < 10 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
+    + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END
+    + CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 8 ELSE 0 END
+    + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END
+    + CASE WHEN word_chars > 14 * n_words THEN 32 ELSE 0 END
+    + CASE WHEN 2 * n_capitals > word_chars THEN 64 ELSE 0 END AS BIGINT) AS failed_bits
+  FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, failed_bits = 0 AS kept, failed_bits
+FROM judged
+"""
+
+ORACLES: dict[str, str] = {"op6_rule_ledger": _OP6}
