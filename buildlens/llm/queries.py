@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from buildlens.llm import byte_bpe, language_id, mixing, rule_ledger, secret_scan
+from buildlens.llm import byte_bpe, language_id, mixing, near_duplicates, rule_ledger, secret_scan
 from buildlens.llm.common import table
 
 
@@ -26,7 +26,11 @@ def op8_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op5_secret_scan, op6_rule_ledger, op7_mixing, op8_byte_bpe)}
+def op10_near_duplicates(spark, sf_dir):
+    return near_duplicates.components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_language_id, op5_secret_scan, op6_rule_ledger, op7_mixing, op8_byte_bpe, op10_near_duplicates)}
 
 # the rules of the current policy, spelled out
 _OP6 = r"""
