@@ -375,3 +375,18 @@ def components(documents: DataFrame, width: int = 4, percent: int = 80) -> DataF
         F.col("component").alias("component_id"),
         F.col("id").eqNullSafe(F.col("component")).alias("kept"),
     )
+
+
+def deduplicated(documents: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group of near duplicates, with its columns: the one with the least id.
+
+    Rows with an empty text or a null id stay. Of several rows with a kept id, that whose text hashes least stays.
+    """
+    found = find(documents, id, text, width, percent)
+    kept = found.filter("id = component").groupBy(F.col("id").alias("_id")).agg(F.count("*").alias("_rows"))
+    rows = documents.select(F.col(id).alias("_id"), F.struct(*documents.columns).alias("row"))
+    single = rows.join(kept.filter("_rows = 1"), "_id", "left_semi").select("row")
+    first = F.min_by("row", F.xxhash64(F.col("row")[text])).alias("row")
+    several = rows.join(kept.filter("_rows > 1"), "_id", "left_semi").groupBy("_id").agg(first).select("row")
+    unnamed = rows.filter("_id IS NULL").select("row")
+    return single.union(several).union(unnamed).select("row.*")

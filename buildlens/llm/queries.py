@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from buildlens.llm import byte_bpe, language_id, mixing, near_duplicates, rule_ledger, secret_scan
+from buildlens.llm import byte_bpe, class_lm, language_id, mixing, near_duplicates, rule_ledger, secret_scan
 from buildlens.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op2_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_class_lm(spark, sf_dir):
+    return class_lm.scores(table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scan(spark, sf_dir):
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
@@ -30,7 +34,7 @@ def op10_near_duplicates(spark, sf_dir):
     return near_duplicates.components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op5_secret_scan, op6_rule_ledger, op7_mixing, op8_byte_bpe, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op4_class_lm, op5_secret_scan, op6_rule_ledger, op7_mixing, op8_byte_bpe, op10_near_duplicates)}
 
 # the rules of the current policy, spelled out
 _OP6 = r"""
