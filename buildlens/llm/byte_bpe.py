@@ -193,25 +193,22 @@ def encode(text: Column, tokenizer: Tokenizer, pattern: str = public_tokenizers.
             return [b"".join(map(found.__getitem__, x)) for x in per_text]
 
         known: dict[str, bytes] = {}
-        for batch in batches:
-            out: list[bytes] = []
-            for texts in slices(batch, 4 << 20):
-                texts = texts.to_pylist()
-                odd = [i for i, x in enumerate(texts) if _OPEN_SPACE.search(x)]
-                odd_ids = encoded([texts[i] for i in odd])
-                for i in odd:
-                    texts[i] = ""
-                chunks = [x.split(" ") for x in texts]
-                first = encoded([x.pop(0) for x in chunks])
-                new = set().union(*chunks).difference(known)
-                if len(known) + len(new) > KNOWN_CHUNKS:
-                    known, new = {}, set().union(*chunks)
-                new = list(new)
-                known.update(zip(new, encoded([" " + x for x in new])))
-                part = [begin + b"".join(map(known.__getitem__, x)) for begin, x in zip(first, chunks)]
-                for i, x in zip(odd, odd_ids):
-                    part[i] = x
-                out += part
+        for texts in (part for batch in batches for part in slices(batch)):
+            texts = texts.to_pylist()
+            odd = [i for i, x in enumerate(texts) if _OPEN_SPACE.search(x)]
+            odd_ids = encoded([texts[i] for i in odd])
+            for i in odd:
+                texts[i] = ""
+            chunks = [x.split(" ") for x in texts]
+            first = encoded([x.pop(0) for x in chunks])
+            new = set().union(*chunks).difference(known)
+            if len(known) + len(new) > KNOWN_CHUNKS:
+                known, new = {}, set().union(*chunks)
+            new = list(new)
+            known.update(zip(new, encoded([" " + x for x in new])))
+            out = [begin + b"".join(map(known.__getitem__, x)) for begin, x in zip(first, chunks)]
+            for i, x in zip(odd, odd_ids):
+                out[i] = x
             yield pa.array(out, pa.binary())
 
     ids.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
@@ -224,13 +221,10 @@ def decode(ids: Column, tokenizer: Tokenizer) -> Column:
 
     def data(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array(
-                [
-                    None if x is None else b"".join(map(tokens.__getitem__, np.frombuffer(x, "<u4").tolist()))
-                    for x in batch.to_pylist()
-                ],
-                pa.binary(),
-            )
+            for at in range(0, len(batch), 500):
+                part = batch.slice(at, 500).to_pylist()
+                out = [x and b"".join(map(tokens.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in part]
+                yield pa.array(out, pa.binary())
 
     data.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return arrow_udf(data, "binary")(ids)

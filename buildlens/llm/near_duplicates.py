@@ -124,20 +124,19 @@ def signature(text: Column, width: int) -> Column:
     )
 
     def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for texts in (part for batch in batches for part in slices(batch)):
             n, digest, sig, keys = [], [], [], []
-            for texts in slices(batch):
-                for shingles in shingle_sets(texts, width):
-                    n.append(len(shingles))
-                    if not len(shingles):
-                        digest.append(None)
-                        sig.append(None)
-                        keys.append([])
-                        continue
-                    least = minima(shingles)
-                    digest.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
-                    sig.append(least.astype(np.uint8).tobytes())
-                    keys.append(band_keys(least))
+            for shingles in shingle_sets(texts, width):
+                n.append(len(shingles))
+                if not len(shingles):
+                    digest.append(None)
+                    sig.append(None)
+                    keys.append([])
+                    continue
+                least = minima(shingles)
+                digest.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
+                sig.append(least.astype(np.uint8).tobytes())
+                keys.append(band_keys(least))
             yield pa.StructArray.from_arrays(
                 [pa.array(x, f.type) for x, f in zip((n, digest, sig, keys), kind)], fields=list(kind)
             )
@@ -219,8 +218,8 @@ def _sets_of(ids: DataFrame, documents: DataFrame, width: int) -> DataFrame:
     listed.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
 
     def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([x.tobytes() for texts in slices(batch) for x in shingle_sets(texts, width)], pa.binary())
+        for texts in (part for batch in batches for part in slices(batch)):
+            yield pa.array([x.tobytes() for x in shingle_sets(texts, width)], pa.binary())
 
     sets.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     own = bit(F.col("id"))
