@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from buildlens.llm import byte_bpe, class_lm, language_id, mixing, near_duplicates, rule_ledger, secret_scan
+from buildlens.llm import byte_bpe, class_lm, html_text, language_id, mixing, near_duplicates, rule_ledger, secret_scan
 from buildlens.llm.common import table
 
 
+def op1_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -34,7 +38,7 @@ def op10_near_duplicates(spark, sf_dir):
     return near_duplicates.components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op4_class_lm, op5_secret_scan, op6_rule_ledger, op7_mixing, op8_byte_bpe, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_language_id, op4_class_lm, op5_secret_scan, op6_rule_ledger, op7_mixing, op8_byte_bpe, op10_near_duplicates)}
 
 # the rules of the current policy, spelled out
 _OP6 = r"""
