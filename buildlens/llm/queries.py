@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from buildlens.llm import byte_bpe, class_lm, html_text, language_id, mixing, near_duplicates, rule_ledger, secret_scan
+from buildlens.llm import byte_bpe, class_lm, html_text, language_id, mixing, near_duplicates, rule_ledger, secret_scan, top_k
 from buildlens.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op3_top_k(spark, sf_dir):
+    return top_k.search(table(spark, sf_dir, "embeddings"))
+
+
 def op4_class_lm(spark, sf_dir):
     return class_lm.scores(table(spark, sf_dir, "documents"))
 
@@ -38,7 +42,7 @@ def op10_near_duplicates(spark, sf_dir):
     return near_duplicates.components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_language_id, op4_class_lm, op5_secret_scan, op6_rule_ledger, op7_mixing, op8_byte_bpe, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_language_id, op3_top_k, op4_class_lm, op5_secret_scan, op6_rule_ledger, op7_mixing, op8_byte_bpe, op10_near_duplicates)}
 
 # the rules of the current policy, spelled out
 _OP6 = r"""
@@ -77,4 +81,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM judged
 """
 
-ORACLES: dict[str, str] = {"op6_rule_ledger": _OP6}
+_OP3 = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum([a[1] * a[2] FOR a IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+  FROM v AS q, v AS c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) WHERE rank <= 5
+"""
+
+ORACLES: dict[str, str] = {"op3_top_k": _OP3, "op6_rule_ledger": _OP6}
