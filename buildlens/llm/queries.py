@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from buildlens.llm import byte_bpe, class_lm, html_text, language_id, mixing, near_duplicates, rule_ledger, secret_scan, top_k
+from buildlens.llm import byte_bpe, class_lm, html_text, language_id, licenses, mixing, near_duplicates, rule_ledger, secret_scan, top_k
 from buildlens.llm.common import table
 
 
@@ -38,11 +38,15 @@ def op8_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark, sf_dir):
+    return licenses.found(table(spark, sf_dir, "documents"))
+
+
 def op10_near_duplicates(spark, sf_dir):
     return near_duplicates.components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_language_id, op3_top_k, op4_class_lm, op5_secret_scan, op6_rule_ledger, op7_mixing, op8_byte_bpe, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_html_text, op2_language_id, op3_top_k, op4_class_lm, op5_secret_scan, op6_rule_ledger, op7_mixing, op8_byte_bpe, op9_licenses, op10_near_duplicates)}
 
 # the rules of the current policy, spelled out
 _OP6 = r"""
