@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(texts: pa.Array, most: int = 1 << 21) -> Iterator[pa.Array]:
+def slices(texts: pa.Array, most: int = 1 << 20) -> Iterator[pa.Array]:
     """The array in consecutive slices of about ``most`` bytes, one text at least; nulls become empty texts."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()

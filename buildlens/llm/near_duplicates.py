@@ -31,6 +31,8 @@ BANDS, ROWS = 56, 6
 HASHES = BANDS * ROWS
 #: Signature hashes compared before each posterior test, and the posterior below which a pair is dropped.
 BATCH, MISS = 48, 1e-8
+#: Bytes of text hashed at once: each takes about 50 bytes of memory for a moment.
+SLICE = 1 << 19
 #: Rounds in which buckets are compared with a hub.
 HUB_ROUNDS = 2
 #: Bits of the filter that tells which texts a verification reads: a multiple of the ids', within these bounds.
@@ -124,7 +126,7 @@ def signature(text: Column, width: int) -> Column:
     )
 
     def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in (part for batch in batches for part in slices(batch)):
+        for texts in (part for batch in batches for part in slices(batch, SLICE)):
             n, digest, sig, keys = [], [], [], []
             for shingles in shingle_sets(texts, width):
                 n.append(len(shingles))
@@ -218,7 +220,7 @@ def _sets_of(ids: DataFrame, documents: DataFrame, width: int) -> DataFrame:
     listed.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
 
     def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in (part for batch in batches for part in slices(batch)):
+        for texts in (part for batch in batches for part in slices(batch, SLICE)):
             yield pa.array([x.tobytes() for x in shingle_sets(texts, width)], pa.binary())
 
     sets.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
