@@ -175,8 +175,8 @@ def thresholds(runs: DataFrame) -> dict[tuple[str, int], float]:
     """The least p-value taken for a secret, by encoding and range of lengths; from all candidates (encoding, n, p).
 
     Spark counts them in bins, which are few however many candidates there are. Noise fills the upper half of the bins
-    evenly, so twice that half tells the noise; what a bin holds beyond its share is other strings. The threshold is
-    the lowest bin from which on other strings are at most the allowed share of what is found.
+    evenly, so twice that half tells the noise; what is found beyond it is other strings. The threshold is the lowest
+    bin, going down from the middle, from which on other strings are at most the allowed share of what is found.
     """
     size = F.least(F.length(F.bin("n")), F.lit(12))
     bins = F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1))
@@ -191,9 +191,9 @@ def threshold(counts: np.ndarray, size: int) -> float:
     allowed = RATE * min(1.0, 2.0 ** (size - 6))
     noise = 2 * counts[BINS // 2 :].sum() / BINS
     found = counts[::-1].cumsum()[::-1]
-    other = np.maximum(counts - noise, 0)[::-1].cumsum()[::-1]
+    # what is found beyond the noise, but for a standard deviation of the count
+    other = found - noise * np.arange(BINS, 0, -1) - np.sqrt(found)
     good = (found > 0) & (other <= allowed * found)
-    # a bin counts only if all above it are good too, but for the noise of the upper half
     lowest = BINS // 2
     while lowest > 0 and good[lowest - 1]:
         lowest -= 1
