@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 
 from buildlens import schemas
 from buildlens.functions import scalars
-from buildlens.operators.joins import skew_safe_join
+from buildlens.operators.joins import join_grouped
 
 RESULT_FIELDS = ["category", "assigned_team", "recommended_fix"]
-MAX_INLINE_RULES = 256
 
 Classifier = Callable[[pd.Series], pd.DataFrame]
 
@@ -77,40 +76,29 @@ def like_pattern(text: Column, pattern: str) -> Column:
     return position > 0
 
 
-def classify_by_rule_table(
-    logs: DataFrame, rules: DataFrame, text: str, key: list[str], max_inline: int = MAX_INLINE_RULES
-) -> DataFrame:
-    """Best matching rule per log row: lowest priority number, then pattern. NULLs when none matches.
+def classify_by_rule_table(logs: DataFrame, rules: DataFrame, text: str) -> DataFrame:
+    """Best matching rule per log row: lowest priority number, then pattern, then the other fields. NULLs when none matches.
 
-    Patterns are ILIKE patterns with ``\\`` as escape. Up to ``max_inline`` rules become one CASE
-    expression tried in order of preference, so the logs are only mapped over. A longer table is joined
-    on the pattern and cut to the best rule by an aggregate that combines before its shuffle.
+    Patterns are ILIKE patterns with ``\\`` as escape. The rules, which people write, are read to the driver, whatever
+    their number, and become one CASE expression tried in order of preference: the logs are only mapped over, and each
+    row is judged by itself.
     """
     fields = schemas.RULE_TABLE_SCHEMA.fieldNames()
-    found = (
-        rules.select(*fields).dropna(subset=["error_pattern"]).orderBy("priority", "error_pattern").limit(max_inline + 1)
-    ).collect()
+    others = [n for n in fields if n not in ("priority", "error_pattern")]
+    # a rule without a priority comes last
+    ordered = rules.select(*fields).dropna(subset=["error_pattern"]).distinct()
+    found = ordered.orderBy(F.col("priority").asc_nulls_last(), "error_pattern", *others).collect()
     if not found:
         return logs.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.RULE_TABLE_SCHEMA])
-    if len(found) <= max_inline:
-        # The lowered text is a column of its own, so that it is computed once for all patterns.
-        lowered = logs.withColumn("_lowered", F.lower(F.col(text)))
-        number = None
-        for position, rule in enumerate(found):
-            fires = like_pattern(F.col("_lowered"), rule.error_pattern.lower())
-            number = F.when(fires, position) if number is None else number.when(fires, position)
-        table = {n: F.array(*[F.lit(r[n]) for r in found]) for n in fields}
-        ruled = lowered.withColumn("_rule", number)
-        return ruled.select(*logs.columns, *[F.get(table[n], F.col("_rule")).alias(n) for n in fields])
-    ordered = F.struct(
-        "priority", "error_pattern", *[n for n in fields if n not in ("priority", "error_pattern")]
-    )
-    matches = logs.select(*key, text).join(
-        rules.select(*fields), F.expr(f"lower(`{text}`) like lower(error_pattern)"), "inner"
-    )
-    best = matches.groupBy(*key).agg(F.min(ordered).alias("_best"))
-    joined = skew_safe_join(logs, best, key, "left")
-    return joined.select(*logs.columns, *[F.col(f"_best.{n}").alias(n) for n in fields])
+    # The lowered text is a column of its own, so that it is computed once for all patterns.
+    lowered = logs.withColumn("_lowered", F.lower(F.col(text)))
+    number = None
+    for position, rule in enumerate(found):
+        fires = like_pattern(F.col("_lowered"), rule.error_pattern.lower())
+        number = F.when(fires, position) if number is None else number.when(fires, position)
+    table = {n: F.array(*[F.lit(r[n]) for r in found]) for n in fields}
+    ruled = lowered.withColumn("_rule", number)
+    return ruled.select(*logs.columns, *[F.get(table[n], F.col("_rule")).alias(n) for n in fields])
 
 
 def unclassified(failures: DataFrame) -> DataFrame:
@@ -192,7 +180,7 @@ def apply_classifications(failures: DataFrame, results: DataFrame) -> DataFrame:
     """
     keys = ["job_id", "step_number"]
     staged = one_answer(results.groupBy(*keys)).select(*keys, *[F.col(n).alias(f"_new_{n}") for n in RESULT_FIELDS], F.lit(True).alias("_hit"))
-    return _overlay(failures, skew_safe_join(failures, staged, keys, "left"), F.col("_hit").isNotNull())
+    return _overlay(failures, join_grouped(failures, staged, keys, "left"), F.col("_hit").isNotNull())
 
 
 def _overlay(failures: DataFrame, joined: DataFrame, hit: Column) -> DataFrame:

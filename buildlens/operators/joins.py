@@ -1,67 +1,27 @@
-"""A join that stays balanced when a few keys hold most of the left side."""
+"""Joins that stay balanced when a few keys hold most of a side. One form at every size."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from buildlens.functions.scalars import hashable
 
-# Below this much input a hot key still fits one task.
-SKEW_MIN_BYTES = 8 << 30
+def join_grouped(left: DataFrame, grouped: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join with a right side that is already grouped by the key.
 
-
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of the relations a plan reads, by Spark's own statistics."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
-def skew_safe_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str = "inner",
-    *,
-    salts: int = 32,
-    share: int = 1000,
-    min_bytes: int = SKEW_MIN_BYTES,
-) -> DataFrame:
-    """Equi-join in which a left key holding more than 1/``share`` of the rows is spread over ``salts`` tasks.
-
-    Spark splits skewed joins at run time only when both sides come straight from a shuffle. This form
-    is for a right side that is already grouped by the key. At most ``share`` keys can be that
-    frequent, which bounds what is broadcast. The right rows of those keys are repeated once per salt,
-    so every left row still meets all its partners exactly once.
+    Spark splits a frequent left key at run time, but only when both sides come straight from a plain shuffle. A grouped
+    side would keep the grouping of its aggregate; it is dealt out anew here, at one short row per key.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    if input_bytes(left) < min_bytes:
-        return left.join(right, keys, how)
-    counts = left.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    hot = F.broadcast(counts.filter(F.col("_n") * share > total).select(*keys, F.lit(True).alias("_hot")))
-    anyhow = F.expr(" or ".join(f"`{k}` is null" for k in keys))
-    # Row content spreads a key inside a task, the task number spreads equal rows. Both are the same
-    # when a task is run again, so a row never changes its salt.
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *hashable(left)), F.lit(salts)).cast("int")
-    spread = left.withColumn("_part", salt).join(hot, keys, "left")
-    spread = spread.withColumn("_salt", F.when(F.col("_hot") | anyhow, F.col("_part")).otherwise(F.lit(0)))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return spread.drop("_hot", "_part").join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return left.join(grouped.hint("rebalance"), keys, how)
 
 
-def children_or_none(
-    parents: DataFrame, children: DataFrame, keys: list[str], *, min_bytes: int = SKEW_MIN_BYTES
-) -> DataFrame:
+def children_or_none(parents: DataFrame, children: DataFrame, keys: list[str]) -> DataFrame:
     """Left join of parents to their children, where one parent may own most of the children.
 
-    An outer join cannot be split on its optional side. Beyond ``min_bytes`` of children it is taken
-    apart: an inner join, which Spark splits on either side, and the parents without children.
+    An outer join cannot be split on its optional side, so it is taken apart: an inner join, which Spark splits on
+    either side, and the parents without children. ``children`` is read twice: pass a written table.
     """
-    if input_bytes(children) < min_bytes:
-        return parents.join(children, keys, "left")
     matched = parents.join(children, keys)
     childless = parents.join(children.select(*keys).distinct(), keys, "left_anti")
     return matched.unionByName(childless, allowMissingColumns=True)

@@ -371,6 +371,22 @@ ORACLES: dict[str, str] = {
       ranked AS (SELECT doc_id, r.*, row_number() OVER (PARTITION BY doc_id ORDER BY priority, error_pattern) AS rn
         FROM documents LEFT JOIN rules r ON text ILIKE error_pattern)
       SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""",
+    "classify_by_long_rule_table": """WITH syllables AS (
+        SELECT row_number() OVER () - 1 AS i, s FROM (SELECT unnest(
+          ['th','en','er','on','an','re','in','ti','es','or','st','ed','to','it','is','ha']) AS s)),
+      long AS (
+        SELECT a.i * 16 + b.i AS n, '% ' || a.s || b.s || '%' AS error_pattern, 'Category ' || (a.i % 7) AS category,
+          'Team ' || b.s AS assigned_team, CAST((a.i * 7 + b.i) % 40 AS INTEGER) AS priority, 'Fix ' || a.s AS recommended_fix
+        FROM syllables a, syllables b),
+      rules AS (
+        SELECT * EXCLUDE (n) FROM long
+        UNION ALL SELECT error_pattern, 'Again', 'Team', CAST(priority + 1 AS INTEGER), 'Fix' FROM long WHERE n < 50),
+      logs AS (
+        SELECT doc_id, text, CASE WHEN doc_id % 5 <> 0 THEN CAST(floor(doc_id / 3) AS BIGINT) END AS log_key FROM documents),
+      ranked AS (
+        SELECT doc_id, log_key, r.*, row_number() OVER (PARTITION BY doc_id ORDER BY priority, error_pattern) AS rn
+        FROM logs LEFT JOIN rules r ON text ILIKE error_pattern)
+      SELECT * EXCLUDE (rn, doc_id) FROM ranked WHERE rn = 1""",
     "fallback_classify": _with(*_FAILURES, _fallback())
     + """ SELECT job_id, step_number, category, assigned_team, recommended_fix, classification_source FROM answered""",
     "triage_remembered": _with(*_FAILURES, _fallback())

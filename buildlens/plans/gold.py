@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from buildlens import schemas
 from buildlens.functions import scalars
 from buildlens.operators import classify
-from buildlens.operators.joins import skew_safe_join
+from buildlens.operators.joins import join_grouped
 
 RUN_LABELS = ["workflow_name", "head_branch", "head_sha", "triggered_by", "event_type"]
 
@@ -24,7 +24,7 @@ def fct_workflow_runs(runs: DataFrame, jobs: DataFrame) -> DataFrame:
     )
     base = ["workflow_run_id", "workflow_name", "head_branch", "head_sha", "event_type", "status", "conclusion",
             "triggered_by", "run_attempt", "created_at", "updated_at"]
-    joined = skew_safe_join(runs.select(*base), per_run, ["workflow_run_id"], "left")
+    joined = join_grouped(runs.select(*base), per_run, ["workflow_run_id"], "left")
     failed = F.coalesce("failed_jobs", F.lit(0).cast("bigint"))
     return joined.select(
         *base,

@@ -225,7 +225,23 @@ def failure_context(spark, sf):
 def classify_by_rule_table(spark, sf):
     rules = spark.createDataFrame(list(samples.SAMPLE_RULES), schemas.RULE_TABLE_SCHEMA)
     logs = samples.table(spark, sf, "documents").select("doc_id", "text")
-    return classify.classify_by_rule_table(logs, rules, "text", ["doc_id"]).drop("text")
+    return classify.classify_by_rule_table(logs, rules, "text").drop("text")
+
+
+@query
+def classify_by_long_rule_table(spark, sf):
+    """Hundreds of patterns, some equal but for their priority, over logs whose keys repeat or are NULL."""
+    rules = [
+        (f"% {a}{b}%", f"Category {i % 7}", f"Team {b}", (i * 7 + j) % 40, f"Fix {a}")
+        for i, a in enumerate(samples.SYLLABLES)
+        for j, b in enumerate(samples.SYLLABLES)
+    ]
+    rules += [(pattern, "Again", "Team", priority + 1, "Fix") for pattern, _, _, priority, _ in rules[:50]]
+    logs = samples.table(spark, sf, "documents").select(
+        F.when(F.col("doc_id") % 5 != 0, F.floor(F.col("doc_id") / 3)).alias("log_key"), "text"
+    )
+    table = spark.createDataFrame(rules, schemas.RULE_TABLE_SCHEMA)
+    return classify.classify_by_rule_table(logs, table, "text").drop("text")
 
 
 @query

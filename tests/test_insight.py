@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from buildlens import samples
 from buildlens.functions import scalars
-from buildlens.operators.joins import input_bytes
 from buildlens.plans import gold, insight, silver
 from buildlens.queries import QUERIES
 
@@ -90,8 +89,3 @@ def test_approximate_options(spark):
     exact, near = gold.step_duration_stats(steps).first(), gold.step_duration_stats(steps, approximate=True).first()
     assert (exact.p50_seconds, exact.p90_seconds, exact.avg_seconds) == (500, 900, 500)
     assert abs(near.p50_seconds - 500) <= 1
-
-
-def test_input_bytes_is_what_the_files_hold(spark, sf_dir):
-    runs = samples.runs(spark, sf_dir)
-    assert 0 < input_bytes(runs) < 1 << 20

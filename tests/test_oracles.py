@@ -4,8 +4,8 @@ import compare
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-
-QUERIES, ORACLES = queries(), oracle_sql()
+from buildlens.oracles import ORACLES
+from buildlens.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +15,7 @@ def con(sf_dir):
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from buildlens.functions import scalars
 from buildlens.operators import classify
 from buildlens.operators.dedupe import latest_per_key, top_per_group
-from buildlens.operators.joins import children_or_none, skew_safe_join
+from buildlens.operators.joins import children_or_none, join_grouped
 from buildlens.plans import gold
 
 
@@ -19,32 +19,19 @@ def hot(spark, n=6000):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_skew_safe_join_equals_plain_join(spark, how):
+def test_join_grouped_equals_plain_join(spark, how):
     left = hot(spark)
     right = spark.createDataFrame([(0, "x"), (0, "y"), (1, "z"), (4, "q"), (None, "n")], "k bigint, w string")
-    plain = left.join(right, ["k"], how)
-    spread = skew_safe_join(left, right, ["k"], how, min_bytes=0, salts=8)
+    right = right.groupBy("k").agg(F.max("w").alias("w"))
+    plain, spread = left.join(right, ["k"], how), join_grouped(left, right, ["k"], how)
     assert spread.columns == plain.columns
     counted = [r for r in rows(plain.groupBy(*plain.columns).count(), *plain.columns)]
     assert rows(spread.groupBy(*spread.columns).count(), *spread.columns) == counted
 
 
-def test_skew_safe_join_spreads_the_hot_key(spark):
-    left, right = hot(spark), spark.range(1).select(F.col("id").alias("k"), F.lit("x").alias("w"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.adaptive.enabled", False)
-    try:
-        joined = skew_safe_join(left, right, ["k"], "inner", min_bytes=0, salts=32)
-        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert sum(sizes) == 2000 and len(sizes) > 4 and max(sizes) < 1000
-
-
-def test_skew_safe_join_refuses_right_joins(spark):
+def test_join_grouped_refuses_right_joins(spark):
     with pytest.raises(ValueError):
-        skew_safe_join(hot(spark), hot(spark), ["k"], "right")
+        join_grouped(hot(spark), hot(spark), ["k"], "right")
 
 
 @pytest.mark.parametrize("salts", [1, 5])
@@ -78,7 +65,7 @@ def test_fingerprint_ignores_order_but_not_copies(spark):
 def test_children_or_none_equals_a_left_join(spark):
     parents = spark.createDataFrame([(0, "a"), (1, "b"), (9999, "c"), (None, "d")], "k bigint, name string")
     plain = parents.join(hot(spark), ["k"], "left")
-    split = children_or_none(parents, hot(spark), ["k"], min_bytes=0)
+    split = children_or_none(parents, hot(spark), ["k"])
     assert split.columns == plain.columns
     grouped = plain.groupBy(*plain.columns).count()
     assert rows(split.groupBy(*split.columns).count(), *split.columns) == rows(grouped, *plain.columns)
@@ -130,6 +117,20 @@ def test_spark_splits_the_hot_job(spark, small_skew, build):
     assert "skew=true" in marts._jdf.queryExecution().executedPlan().toString()
 
 
+def test_spark_splits_a_hot_key_before_a_grouped_side(spark, small_skew):
+    _, jobs, runs = star(spark)
+    wide = jobs.unionByName(
+        spark.range(0, 12000, 1, 8).select(
+            F.col("id").alias("job_id"), F.lit(7).cast("bigint").alias("workflow_run_id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("job_name"), F.lit("r").alias("runner_name"),
+        ), allowMissingColumns=True,
+    )
+    grouped = runs.groupBy("workflow_run_id").agg(F.count("*").alias("n"))
+    joined = join_grouped(wide, grouped, ["workflow_run_id"], "left")
+    assert len(joined.collect()) == 12200
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_spark_splits_the_hot_context(spark, small_skew):
     workflow = F.when(F.col("id") % 3 == 0, F.col("id").cast("string")).otherwise("same")
     failures = spark.range(0, 12000, 1, 8).select(
