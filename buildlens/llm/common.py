@@ -38,7 +38,7 @@ def slices(texts: pa.Array, most: int = 1 << 20) -> Iterator[pa.Array]:
     """The array in consecutive slices of about ``most`` bytes, one text at least; nulls become empty texts."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts, "")
+    texts = pc.fill_null(texts, "") if texts.null_count else texts
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(texts):

@@ -34,7 +34,7 @@ BATCH, MISS = 48, 1e-8
 #: Bytes of text hashed at once: each takes about 50 bytes of memory for a moment.
 SLICE = 1 << 19
 #: Rounds in which buckets are compared with a hub.
-HUB_ROUNDS = 2
+HUB_ROUNDS = 3
 #: Bits of the filter that tells which texts a verification reads: a multiple of the ids', within these bounds.
 LEAST_BITS, MOST_BITS = 1 << 15, 1 << 27
 
@@ -193,10 +193,10 @@ def plausible(pairs: DataFrame, signatures: DataFrame, share: float) -> DataFram
 def _sets_of(ids: DataFrame, documents: DataFrame, width: int) -> DataFrame:
     """id, shingles for the documents (id, text) whose id is among ``ids``, and for a few others.
 
-    A bitmap of hashed ids, of a bounded size, keeps most other texts from being read into Python.
+    A bitmap of hashed ids keeps most other texts from being read into Python. Its size is bounded, so it is broadcast:
+    MOST_BITS / 8 bytes at most, in parts of 32,768 bits.
     """
-    count = ids.count()
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * count).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * ids.count()).bit_length()))
 
     def bit(id: Column) -> Column:
         return F.pmod(F.xxhash64(id), F.lit(bits))
@@ -205,28 +205,18 @@ def _sets_of(ids: DataFrame, documents: DataFrame, width: int) -> DataFrame:
         ids.select(bit(F.col("id")).alias("bit"))
         .groupBy(F.bitmap_bucket_number("bit").alias("part"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-        .collect()
     )
-    # parts of 32,768 bits, numbered from 0 to bits / 32,768
-    bitmap = np.zeros(bits // 8 + 4096, np.uint8)
-    for part in parts:
-        bitmap[part["part"] * 4096 : part["part"] * 4096 + 4096] = np.frombuffer(part["bits"], np.uint8)
-
-    def listed(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for part, position in batches:
-            part, position = part.to_numpy(), position.to_numpy()
-            yield pa.array((bitmap[part * 4096 + position // 8] >> (position % 8).astype(np.uint8)) & 1 == 1)
-
-    listed.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
 
     def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in (part for batch in batches for part in slices(batch, SLICE)):
             yield pa.array([x.tobytes() for x in shingle_sets(texts, width)], pa.binary())
 
     sets.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    own = bit(F.col("id"))
-    there = arrow_udf(listed, "boolean")(F.bitmap_bucket_number(own), F.bitmap_bit_position(own))
-    return documents.filter(there).select("id", arrow_udf(sets, "binary")(F.col("text")).alias("shingles"))
+    own = documents.withColumn("bit", bit(F.col("id")))
+    own = own.withColumns({"part": F.bitmap_bucket_number("bit"), "at": F.bitmap_bit_position("bit")})
+    byte = F.conv(F.hex(F.substr("bits", F.floor(F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    there = own.join(F.broadcast(parts), "part").filter(F.getbit(byte, (F.col("at") % 8).cast("int")) == 1)
+    return there.select("id", arrow_udf(sets, "binary")(F.col("text")).alias("shingles"))
 
 
 def confirmed(pairs: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
@@ -242,7 +232,7 @@ def confirmed(pairs: DataFrame, documents: DataFrame, width: int, percent: int)
                     good.append(i)
             yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     sets = _sets_of(ids, documents, width)
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
     joined = joined.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
@@ -279,13 +269,18 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def _hub_pairs(buckets: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Each member of a bucket with the bucket's hub, if they are in different components."""
+    """Each member of a bucket with the bucket's hub, if they are in different components.
+
+    In the first round the same documents are hubs of many buckets, so a document meets few. In later rounds each bucket
+    draws its own: what is still apart then meets as many hubs as it has buckets, still no more than its own number.
+    """
+    chance = F.col("key") + F.lit(turn) if turn else F.lit(0)
     hubs = (
         buckets.groupBy("key")
         .agg(
             F.min("comp").alias("lo"),
             F.max("comp").alias("hi"),
-            F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "comp", "n")).alias("hub"),
+            F.min(F.struct(F.xxhash64("id", chance), "id", "comp", "n")).alias("hub"),
         )
         .filter("lo != hi")
         .select("key", F.col("hub.id").alias("hub"), F.col("hub.comp").alias("hub_comp"), F.col("hub.n").alias("hub_n"))
