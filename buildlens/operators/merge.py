@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def split_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -74,27 +76,35 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def _publish(spark: SparkSession, pending: str, path: str) -> None:
-    """Move the staged partitions over the old ones. Safe to repeat: what was moved is no longer staged."""
-    fs, staged = _path(spark, pending)
-    fs.mkdirs(_path(spark, path)[1])
-    for entry in fs.listStatus(staged):
-        part = entry.getPath().getName()
-        if "=" in part:
-            goal = _path(spark, f"{path}/{part}")[1]
-            fs.delete(goal, True)
-            if not fs.rename(entry.getPath(), goal):
-                raise OSError(f"cannot move {entry.getPath()} to {goal}")
-    fs.delete(staged, True)
+def remove(spark: SparkSession, path: str) -> None:
+    fs, jpath = _path(spark, path)
+    fs.delete(jpath, True)
+
+
+def _publish(spark: SparkSession, merged: DataFrame, path: str, partition: str) -> None:
+    """Replace the partitions that ``merged``, a written table, holds; Spark's committer moves them in. Can be repeated."""
+    writer = merged.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def recover(spark: SparkSession, path: str) -> bool:
-    """Finish a publish that was cut off: its staged partitions are complete, only the move is not."""
+def recover(spark: SparkSession, path: str, partition: str = "created_date") -> int:
+    """Finish the merges into a table that were cut off after their result was written; returns how many."""
     base = path.rstrip("/")
-    if not exists(spark, f"{base}__pending/_SUCCESS"):
-        return False
-    _publish(spark, f"{base}__pending", base)
-    return True
+    fs, pattern = _path(spark, f"{base}__merge-*/merged/_SUCCESS")
+    done = fs.globStatus(pattern) or []
+    for entry in done:
+        folder = entry.getPath().getParent().toString()
+        _publish(spark, spark.read.parquet(folder), base, partition)
+        remove(spark, folder.rpartition("/")[0])
+    return len(done)
+
+
+def read_table(spark: SparkSession, path: str, like: StructType, partition: str) -> DataFrame:
+    """A partitioned table with the columns it has and those of ``like``; the partition is read as the type that it has
+    in ``like``, whatever its values look like."""
+    held = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(path).schema
+    more = [f for f in like.fields if f.name not in held.names]
+    return spark.read.schema(StructType([*held.fields, *more])).parquet(path)
 
 
 def upsert_path(
@@ -105,42 +115,50 @@ def upsert_path(
     partition: str = "created_date",
     fixed_partition: bool = False,
     combine: Callable[[DataFrame, DataFrame, list[str]], DataFrame] = upsert,
+    evolve: bool = False,
 ) -> None:
     """Upsert into a Parquet table, rewriting only the partitions the source touches.
 
-    ``source`` holds one row per key; ``combine`` merges it with the touched partitions.
+    ``source`` holds one row per key; ``combine`` merges it with the touched partitions. Columns that the table lacks are
+    refused, unless ``evolve`` adds them; columns that the source lacks become NULL in its rows.
 
-    A key stays in the partition it was first written to. Finding that partition reads the key
-    columns of the whole table; ``fixed_partition`` skips this when a key's partition never changes.
-    The new partitions are staged beside the table and then moved in, so the plan never
-    overwrites what it reads, and a run cut off in between is finished by the next one.
+    A key stays in the partition it was first written to. Finding that partition reads the key columns of the whole
+    table; ``fixed_partition`` skips this when a key's partition never changes. Everything is staged beside the table in
+    a folder of the run's own, so the plan never overwrites what it reads, and a run cut off while partitions are
+    replaced is finished by the next one. Of two runs at once the later wins in the partitions that both touch.
     """
     base = path.rstrip("/")
-    recover(spark, base)
-    incoming, found, pending = f"{base}__incoming", f"{base}__homes", f"{base}__pending"
-    target = spark.read.parquet(path) if exists(spark, base) else None
-    # written once: it is read for its keys, for the list of partitions, for the anti-join and the union,
-    # and a small batch is then known to be small, so that the table is not shuffled to meet it
-    source.write.mode("overwrite").parquet(incoming)
-    source = spark.read.parquet(incoming)
+    recover(spark, base, partition)
+    stage = f"{base}__merge-{uuid.uuid4().hex}"
+    target = None
+    if exists(spark, base):
+        target = read_table(spark, base, source.schema, partition)
+        held = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(base).columns
+        extra = [c for c in source.columns if c not in held and c != partition]
+        if extra and not evolve:
+            raise ValueError(f"columns not in the table: {extra}")
+    # written once: it is read for its keys, for its partitions, for the anti-join and the union, and a small batch is
+    # then known to be small, so that the table is not shuffled to meet it
+    source.write.parquet(f"{stage}/incoming")
+    source = spark.read.schema(source.schema).parquet(f"{stage}/incoming")
     if source.isEmpty():
+        remove(spark, stage)
         return
     if target is not None and not fixed_partition:
         homes = target.select(*keys, F.col(partition).alias("_home"), F.lit(True).alias("_known"))
-        homes.join(source.select(*keys), keys, "left_semi").write.mode("overwrite").parquet(found)
-        source = source.join(spark.read.parquet(found), keys, "left")
+        homes.join(source.select(*keys), keys, "left_semi").write.parquet(f"{stage}/homes")
+        source = source.join(spark.read.schema(homes.schema).parquet(f"{stage}/homes"), keys, "left")
         # a known key's home can be the NULL partition
         home = F.when(F.col("_known"), F.col("_home")).otherwise(F.col(partition))
         source = source.withColumn(partition, home).drop("_home", "_known")
     if target is not None:
-        # one value per touched day or bucket
-        touched = [r[0] for r in source.select(partition).distinct().collect()]
-        named: Column = F.col(partition).isin([t for t in touched if t is not None])
-        if None in touched:
-            named = named | F.col(partition).isNull()
-        source = combine(target.filter(named), source.select(*target.columns), keys)
-    source.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(pending)
-    _publish(spark, pending, base)
-    for staged in (incoming, found):
-        fs, jpath = _path(spark, staged)
-        fs.delete(jpath, True)
+        # the comparison marks the small side as a filter, by which Spark prunes the table's partitions
+        touched = source.groupBy(partition).agg(F.count("*").alias("_n")).filter("_n > 0")
+        old = target.join(touched, partition, "left_semi").select(*target.columns)
+        if not source.filter(F.col(partition).isNull()).isEmpty():
+            old = old.union(target.filter(F.col(partition).isNull()))
+        lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields if f.name not in source.columns]
+        source = combine(old, source.select("*", *lacking).select(*target.columns), keys)
+    source.write.parquet(f"{stage}/merged")
+    _publish(spark, spark.read.schema(source.schema).parquet(f"{stage}/merged"), base, partition)
+    remove(spark, stage)

@@ -40,12 +40,17 @@ def split_unreadable(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The typed reads below fail the job on a value of the wrong form; this takes such rows out first.
     """
-    p = "raw_payload"
+    return bronze.filter(~unreadable()), bronze.filter(unreadable())
+
+
+def unreadable(payload_column: str = "raw_payload") -> Column:
+    """Whether a typed run field is there but cannot be read."""
     broken = F.lit(False)
     for path, kind in TYPED.items():
-        given = field(p, path, "string", strict=False).isNotNull()
-        broken = broken | (given & field(p, path, kind, strict=False).isNull())
-    return bronze.filter(~broken), bronze.filter(broken)
+        given = field(payload_column, path, "variant", strict=False)
+        given = given.isNotNull() & ~F.is_variant_null(given)
+        broken = broken | (given & field(payload_column, path, kind, strict=False).isNull())
+    return broken
 
 
 def workflow_runs(bronze: DataFrame, attempts: str = "all", lineage: tuple[str, ...] = LINEAGE) -> DataFrame:

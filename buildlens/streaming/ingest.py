@@ -20,22 +20,21 @@ def ingest_available(
     grain: str = "day",
     fixed_partition: bool = False,
 ) -> None:
-    """Merge every file not seen yet and return.
+    """Merge every file not seen yet and return. Rejected rows go under ``quarantine``, by default beside the table.
 
     The checkpoint remembers the files. A batch that is repeated after a failure merges the same
     records again, which changes nothing.
     """
-    envelopes = lake.stream_envelopes(spark, root, entity, max_files=max_files)
-    records = bronze.to_bronze(lake.explode_records(envelopes), loaded_at, grain)
+    lines = lake.stream_lines(spark, root, entity, max_files=max_files)
+    rejected = quarantine or f"{path.rstrip('/')}__rejected"
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        rejected = bronze.merge_batch(batch.sparkSession, batch, path, fixed_partition)
-        if quarantine:
-            # one folder per batch: a repeated batch replaces its own rows
-            rejected.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+        # one folder per batch: a repeated batch replaces its own rows
+        judged = bronze.judged(batch, loaded_at, grain)
+        bronze.merge_batch(batch.sparkSession, judged, path, fixed_partition, f"{rejected}/batch={batch_id}")
 
     query = (
-        records.writeStream.foreachBatch(merge)
+        lines.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -86,6 +86,43 @@ def test_only_the_wanted_days_are_read(spark, tmp_path):
     assert sorted(r.workflow_run_id for r in found.collect()) == [7, 8, 17]
 
 
+def test_open_ranges_of_days(spark, tmp_path):
+    for day in (6, 7, 8):
+        write(f"{tmp_path}/acme/one/runs/2024/05/0{day}/x.jsonl.gz", envelope({"id": day}))
+
+    def ids(**days):
+        read = lake.read_envelopes(spark, str(tmp_path), "runs", **days)
+        return sorted(r.workflow_run_id for r in silver.workflow_runs(lake.explode_records(read), lineage=()).collect())
+
+    assert ids(since=date(2024, 5, 7)) == [7, 8] and ids(until=date(2024, 5, 7)) == [6, 7] and ids() == [6, 7, 8]
+    assert lake.read_lines(spark, str(tmp_path), "runs", since=date(2024, 5, 8)).count() == 1
+
+
+def test_path_parts_undo_the_escapes(spark, tmp_path):
+    names = ["c++", "50% off", "x/y", "a b", "ä%41"]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id bigint, repo_name string")
+    lake.land(df.withColumn("repo_owner", F.lit("o+o")), f"{tmp_path}/spark", "runs", ["id"])
+    read = lake.read_envelopes(spark, f"{tmp_path}/spark", "runs").withColumns(lake.path_parts())
+    assert sorted(r.lake_repo for r in read.collect()) == sorted(names)
+    assert {r.lake_owner for r in read.collect()} == {"o+o"}
+    for i, name in enumerate(("c++", "50% off", "a%41")):
+        write(f"{tmp_path}/plain/acme/{name}/runs/2024/05/06/{i}.jsonl.gz", envelope({"id": i}))
+    read = lake.read_envelopes(spark, f"{tmp_path}/plain", "runs").withColumns(lake.path_parts())
+    assert sorted(r.lake_repo for r in read.collect()) == sorted(["c++", "50% off", "a%41"])
+
+
+def test_no_row_is_lost_on_the_way_in(spark, tmp_path):
+    root, path = str(tmp_path / "lake"), str(tmp_path / "bronze")
+    good = {"id": 1, "run_attempt": 1, "status": "queued", "created_at": "2024-01-01T00:00:00Z", "updated_at": "2024-01-01T00:00:00Z"}
+    bad = [{**good, "run_attempt": "x", "status": "wrong"}, {**good, "id": None}, {**good, "id": 2, "created_at": "soon"}]
+    write(f"{root}/a/b/workflow_runs/2024/01/01/x.jsonl.gz", envelope(good, *bad), '{"data":[', "", envelope({**good, "id": 3}))
+    rejected = bronze.load(spark, root, path)
+    assert sorted(r.reject for r in rejected.collect()) == ["key", "key", "line", "value"]
+    assert all(r.raw for r in rejected.collect())
+    runs = silver.workflow_runs(bronze.read(spark, path))
+    assert rows(runs.select("workflow_run_id", "run_attempt", "status"), "workflow_run_id") == [(1, 1, "queued"), (3, 1, "queued")]
+
+
 def test_payload_without_list_gives_no_rows(spark, tmp_path):
     write(f"{tmp_path}/a/b/runs/2024/01/01/x.jsonl.gz", "{}", '{"data":null}', '{"data":[]}', envelope({"id": 1}))
     assert lake.explode_records(lake.read_envelopes(spark, str(tmp_path), "runs")).count() == 1

@@ -101,11 +101,34 @@ def test_a_cut_off_publish_is_finished_by_the_next_run(spark, tmp_path, monkeypa
     with pytest.raises(KeyboardInterrupt):
         upsert(spark, path, frame(spark, (1, 1, "A", "2024-01-01"), (2, 1, "B", "2024-01-02")))
     monkeypatch.undo()
-    # half of the move was done when the job died
-    merge._path(spark, path)[0].delete(merge._path(spark, f"{path}/day=2024-01-01")[1], True)
+    # half of the replacement was done when the job died
+    merge.remove(spark, f"{path}/day=2024-01-01")
     found = upsert(spark, path, frame(spark, (3, 1, "c", "2024-01-03")))
     assert [r[2] for r in states(found)] == ["A", "B", "c"]
-    assert not merge.recover(spark, path)
+    assert merge.recover(spark, path, "day") == 0 and sorted(os.listdir(tmp_path)) == ["t"]
+
+
+def test_text_partitions_keep_their_zeros(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "id bigint, attempt bigint, state string, day string"
+    for state in ("a", "b"):
+        batch = spark.createDataFrame([(1, 1, state, "01"), (2, 1, state, "1")], schema)
+        upsert(spark, path, batch)
+    assert sorted(p for p in os.listdir(path) if "=" in p) == ["day=01", "day=1"]
+    table = merge.read_table(spark, path, batch.schema, "day")
+    assert rows(table.select("id", "state", "day"), "id") == [(1, "b", "01"), (2, "b", "1")]
+
+
+def test_new_columns_are_refused_or_added(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(spark, path, frame(spark, (1, 1, "a", "2024-01-01"), (2, 1, "b", "2024-01-02")))
+    wide = frame(spark, (2, 1, "B", "2024-01-02")).withColumn("more", F.lit(5))
+    with pytest.raises(ValueError, match="more"):
+        upsert(spark, path, wide)
+    upsert(spark, path, wide, evolve=True)
+    upsert(spark, path, frame(spark, (3, 1, "c", "2024-01-02")))
+    table = merge.read_table(spark, path, wide.schema, "day")
+    assert rows(table.select("id", "state", "more"), "id") == [(1, "a", None), (2, "B", 5), (3, "c", None)]
 
 
 def test_audit_counts_duplicates(spark):

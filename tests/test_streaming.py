@@ -66,5 +66,6 @@ def test_status_does_not_depend_on_arrival_order(spark, tmp_path):
             stream = spark.readStream.schema(schema).parquet(f"{base}/in")
             order = [F.desc("at"), F.desc("state")]
             status.track_status(spark, stream, f"{base}/out", f"{base}/state", ["id"], order, "bucket")
+        assert spark.read.parquet(f"{base}/out__rejected").count() == 1
         outcomes.append(rows(spark.read.parquet(f"{base}/out").select("id", "state", "at"), "id"))
     assert outcomes[0] == outcomes[1] == [(i, "s3", 3) for i in range(5)]
