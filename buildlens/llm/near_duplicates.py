@@ -2,12 +2,15 @@
 
 1. Every text becomes its set of word shingles, hashed to 64 bits; of the set: a digest, a MinHash signature, band keys.
 2. Equal sets are one class, stood for by its smallest id. Only classes are compared.
-3. Classes that share a band key are candidates. In a first rounds, a bucket's members are compared with one of them, its
-   hub, only, and not at all if links already join them; a large group of copies is joined by as many comparisons as it
-   has members. A last round compares what is still apart in a bucket: all members outside its largest component with
-   all others. So no pair of a bucket that could join two components is left out.
+3. Classes that share a band key are candidates. In the first rounds, a bucket's members are compared with one of them,
+   its hub, only, and not at all if links already join them; a large group of copies is joined by as many comparisons as
+   it has members. A last round compares what is still apart in a bucket: all members outside its largest component with
+   all others. So no pair of a bucket that could join two components is left out. That round works on blocks of members,
+   a bounded number each, and only pairs that pass the next step leave a task.
 4. A pair's signatures are compared in batches. After each, the pair is dropped if the posterior probability that the
-   similarity reaches the threshold is below the miss probability. The rest is confirmed on the full sets.
+   similarity reaches the threshold is below the miss probability. Then the parities of the sets are compared: every odd
+   cell of the two together stands for a shingle that only one has, so a pair with too many is dropped for certain. The
+   rest is confirmed on the full sets.
 5. Links are contracted to components by alternating star operations.
 
 A pair of similarity 0.8 shares no band with probability (1 - 0.8 ** 6) ** 56 = 4e-8.
@@ -33,6 +36,10 @@ HASHES = BANDS * ROWS
 BATCH, MISS = 48, 1e-8
 #: Bytes of text hashed at once: each takes about 50 bytes of memory for a moment.
 SLICE = 1 << 19
+#: Cells of a set's parity: each tells whether it holds an odd number of shingles.
+CELLS = 2048
+#: Members of a bucket in a block of the last round.
+BLOCK = 512
 #: Rounds in which buckets are compared with a hub.
 HUB_ROUNDS = 3
 #: Bits of the filter that tells which texts a verification reads: a multiple of the ids', within these bounds.
@@ -111,13 +118,17 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return least
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    return np.packbits((np.bincount((shingles & _U(CELLS - 1)).astype(np.int64), minlength=CELLS) & 1).astype(np.uint8))
+
+
 def band_keys(least: np.ndarray) -> np.ndarray:
     rows = least.reshape(BANDS, ROWS).astype(_U)
     return _mixed((rows * _constants(ROWS, 5)).sum(1, dtype=_U) + _constants(BANDS, 6)).astype(np.int64)
 
 
 def signature(text: Column, width: int) -> Column:
-    """``struct<n, digest, sig, keys>``: set size, digest of the set, a byte of each minimum, band keys.
+    """``struct<n, digest, sig, keys>``: set size, digest, a byte of each minimum and then the parity, band keys.
 
     Without words the size is 0, digest and signature are null and there are no keys.
     """
@@ -137,7 +148,7 @@ def signature(text: Column, width: int) -> Column:
                     continue
                 least = minima(shingles)
                 digest.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest())
-                sig.append(least.astype(np.uint8).tobytes())
+                sig.append(least.astype(np.uint8).tobytes() + parity(shingles).tobytes())
                 keys.append(band_keys(least))
             yield pa.StructArray.from_arrays(
                 [pa.array(x, f.type) for x, f in zip((n, digest, sig, keys), kind)], fields=list(kind)
@@ -169,25 +180,41 @@ def least_matches(share: float, total: int = HASHES, batch: int = BATCH, miss: f
     return bounds
 
 
-def plausible(pairs: DataFrame, signatures: DataFrame, share: float) -> DataFrame:
-    """The pairs (a, b) that no batch of their signatures (id, sig) rules out."""
-    bounds = least_matches(share)
+def passing(
+    left: np.ndarray, right: np.ndarray, sizes: np.ndarray, percent: int, bounds: list[tuple[int, int]]
+) -> np.ndarray:
+    """Places of the pairs of signatures (rows of bytes) that nothing rules out; sizes: of both sets together.
+
+    Of sets with A and B shingles, 100 * intersection >= percent * union means that at most
+    (100 - percent) * (A + B) / (100 + percent) shingles are in one set only.
+    """
+    open_, matches, at = np.arange(len(left)), np.zeros(len(left), np.int64), 0
+    for n, least in bounds:
+        matches = matches + (left[open_, at:n] == right[open_, at:n]).sum(1)
+        open_, matches, at = open_[matches >= least], matches[matches >= least], n
+    odd = np.bitwise_count(left[open_, HASHES:] ^ right[open_, HASHES:]).sum(1, dtype=np.int64)
+    return open_[(100 + percent) * odd <= (100 - percent) * sizes[open_]]
+
+
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, HASHES + CELLS // 8)
+
+
+def plausible(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their signatures (id, n, sig) do not rule out."""
+    bounds = least_matches(percent / 100)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (
-                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, HASHES) for k in (2, 3)
-            )
-            open_, matches, at = np.arange(len(left)), np.zeros(len(left), np.int64), 0
-            for n, least in bounds:
-                matches = matches + (left[open_, at:n] == right[open_, at:n]).sum(1)
-                open_, matches, at = open_[matches >= least], matches[matches >= least], n
-            yield batch.select(["a", "b"]).take(pa.array(open_))
+            sizes = batch.column(4).to_numpy() + batch.column(5).to_numpy()
+            good = passing(_signatures(batch.column(2)), _signatures(batch.column(3)), sizes, percent, bounds)
+            yield batch.select(["a", "b"]).take(pa.array(good))
 
-    sides = signatures.select("id", "sig")
-    joined = pairs.join(sides.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
-    joined = joined.join(sides.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b")
-    return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(compare, pairs.select("a", "b").schema)
+    def side(name: str) -> DataFrame:
+        return signatures.select(*[F.col(c).alias(d) for c, d in (("id", name), ("sig", "sig_" + name), ("n", "n_" + name))])
+
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    return joined.select("a", "b", "sig_a", "sig_b", "n_a", "n_b").mapInArrow(compare, pairs.select("a", "b").schema)
 
 
 def _sets_of(ids: DataFrame, documents: DataFrame, width: int) -> DataFrame:
@@ -289,26 +316,48 @@ def _hub_pairs(buckets: DataFrame, percent: int, turn: int) -> DataFrame:
     return buckets.join(hubs, "key").filter(near).select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
 
 
-def _open_pairs(buckets: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket that are in different components: members outside its largest one with all others."""
+def _open_pairs(buckets: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """The pairs of a bucket that are in different components and that their signatures do not rule out: members outside
+    its largest component with all others. Members are packed in blocks, blocks meet by their bucket."""
     sizes = buckets.groupBy("key", "comp").agg(F.count("*").alias("size"))
     main = (
         sizes.groupBy("key")
         .agg(F.max(F.struct("size", "comp")).alias("main"), F.sum("size").alias("all"), F.count("*").alias("comps"))
         # a bucket of two is done by its hub
         .filter("comps > 1 AND all > 2")
-        .select("key", F.col("main.comp").alias("main"))
-    )
-    marked = buckets.join(main, "key")
-    stray = marked.filter("comp != main").select("key", F.col("id").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
-    other = marked.select("key", F.col("id").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), "main")
-    apart = (
-        (stray["key"] == other["key"])
-        & (F.col("ca") != F.col("cb"))
-        & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
-        & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+        .select("key", F.col("main.comp").alias("main"), F.ceil(F.col("all") / BLOCK).alias("blocks"))
     )
-    return stray.join(other, apart).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    marked = buckets.join(main, "key").join(signatures.select("id", "sig"), "id")
+    blocks = marked.groupBy(
+        "key", (F.col("comp") != F.col("main")).alias("stray"), F.pmod(F.xxhash64("id"), "blocks").alias("block")
+    ).agg(*[F.collect_list(c).alias(c) for c in ("id", "comp", "n", "sig")])
+    left = blocks.filter("stray").select("key", F.col("block").alias("l_block"), *[F.col(c).alias("l_" + c) for c in _MEMBER])
+    once = ~F.col("stray") | (F.col("block") >= F.col("l_block"))
+    pairs = left.join(blocks, (left["key"] == blocks["key"]) & once)
+    bounds = least_matches(percent / 100)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(len(batch)):
+                (l_id, l_comp, l_n, l_sig), (r_id, r_comp, r_n, r_sig) = (
+                    [*[batch.column(at + k)[row].values.to_numpy() for k in range(3)], _signatures(batch.column(at + 3)[row].values)]
+                    for at in (0, 4)
+                )
+                for i in range(len(l_id)):
+                    near = 100 * np.minimum(l_n[i], r_n) >= percent * np.maximum(l_n[i], r_n)
+                    j = np.flatnonzero(near & (r_comp != l_comp[i]))
+                    same = np.broadcast_to(l_sig[i], (len(j), l_sig.shape[1]))
+                    good = j[passing(same, r_sig[j], l_n[i] + r_n[j], percent, bounds)]
+                    if len(good):
+                        a, b = np.minimum(l_id[i], r_id[good]), np.maximum(l_id[i], r_id[good])
+                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    kind = buckets.schema["id"].dataType.simpleString()
+    sides = [*["l_" + c for c in _MEMBER], *_MEMBER]
+    return pairs.select(*sides).mapInArrow(compare, f"a {kind}, b {kind}")
+
+
+_MEMBER = ("id", "comp", "n", "sig")
 
 
 def find(
@@ -334,8 +383,11 @@ def find(
             labelled = buckets.withColumn("comp", F.col("id"))
         else:
             labelled = buckets.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        pairs = _hub_pairs(labelled, percent, turn) if turn < HUB_ROUNDS else _open_pairs(labelled, percent)
-        likely = written(plausible(pairs.distinct(), full, percent / 100), "likely-pairs")
+        if turn < HUB_ROUNDS:
+            likely = plausible(_hub_pairs(labelled, percent, turn).distinct(), full, percent)
+        else:
+            likely = _open_pairs(labelled, full, percent).distinct()
+        likely = written(likely, "likely-pairs")
         if likely.isEmpty():
             continue
         links = confirmed(likely, texts, width, percent)
