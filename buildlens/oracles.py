@@ -72,7 +72,7 @@ failed_logs AS (
   SELECT workflow_run_id, job_id, step_number, step_name, conclusion AS failure_reason, duration_seconds,
     started_at, completed_at
   FROM s_steps
-  WHERE conclusion IN ('failure', 'cancelled', 'timed_out') OR (conclusion IS NULL AND status = 'failure'))"""
+  WHERE conclusion NOT IN ('success', 'skipped') OR (conclusion IS NULL AND status = 'failure'))"""
 
 _BAD = "('failure', 'timed_out', 'cancelled')"
 _EVENTS = f"""
@@ -460,10 +460,19 @@ ORACLES: dict[str, str] = {
     "payload_fingerprint": f"""SELECT l_returnflag, l_linestatus, {_FINGERPRINT} AS payload_hash
       FROM (SELECT *, {_LINE_DIGEST} AS h FROM lineitem) GROUP BY 1, 2""",
     "lake_roundtrip": _with(_RUNS)
-    + f""" SELECT {_RUN_FIELDS}, head_branch AS lake_owner, 'workflow_runs' AS lake_entity,
+    + f""" SELECT {_RUN_FIELDS}, head_branch AS lake_owner, workflow_name AS lake_repo, 'workflow_runs' AS lake_entity,
       DATE '2024-01-01' AS lake_date FROM runs""",
     "dq_envelope_counts": """SELECT count(*) AS record_count, count(*) AS data_count, CAST(0 AS BIGINT) AS mismatches,
       true AS bounded FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "load_quarantine": """SELECT CASE o_orderkey % 50 WHEN 0 THEN 'line' WHEN 1 THEN 'key' WHEN 2 THEN 'value' WHEN 3 THEN 'key'
+        ELSE 'merged' END AS outcome, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
+    "load_since": """SELECT o_orderkey AS run_id, CAST(1 AS BIGINT) AS run_attempt FROM orders JOIN customer ON o_custkey = c_custkey
+      WHERE o_orderkey % 3 IN (1, 2)""",
+    "bronze_upsert": """SELECT DISTINCT l_orderkey, l_linenumber, lpad(CAST(l_orderkey % 12 AS VARCHAR), 2, '0') AS bucket,
+      CASE WHEN l_linenumber <= 2 THEN 'second' ELSE 'first' END AS state FROM lineitem""",
+    "latest_attempts": _with(_RUNS)
+    + """ SELECT workflow_run_id, workflow_run_id % 3 + 1 AS run_attempt, status,
+      workflow_run_id || '_' || (workflow_run_id % 3 + 1) AS composite_key FROM runs""",
     "stream_ingest": _with(_RUNS) + f" SELECT {_RUN_FIELDS} FROM runs",
     "stream_status": _first_line(_NEWEST),
     "quarantine_split": """SELECT event_id,

@@ -39,16 +39,20 @@ def refresh(
     failed_steps_only: bool = False,
     since: date | None = None,
     until: date | None = None,
+    stop_on_failed_checks: bool = False,
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
     """Load the lake into bronze, rebuild all tables, run the checks and classify the rest.
 
-    Everything is kept under ``home``. Returns the tables, the check results and the rows that could
-    not be loaded for want of a key.
+    Everything is kept under ``home``: also the check results, which are written before anything is classified, and the
+    rows that could not be loaded. Returns the tables, the results and these rows. ``stop_on_failed_checks`` raises an
+    error instead of classifying when a check fails.
     """
     rejected = bronze.load(spark, lake_root, f"{home}/bronze", since=since, until=until)
     typed = build.from_bronze(bronze.read(spark, f"{home}/bronze"), attempts)
     tables = build.build_all(spark, typed, f"{home}/tables", failed_steps_only)
-    checks = quality.run_suite(tables)
+    checks = build.write(quality.run_suite(tables), f"{home}/checks", "checks")
+    if stop_on_failed_checks and not (failed := checks.filter("status = 'fail'")).isEmpty():
+        raise RuntimeError(f"failed checks: {sorted(row['check_name'] for row in failed.collect())}")
     done = triage(spark, tables["fct_actionable_failures"], classifier, f"{home}/answers")
     tables["classified_failures"] = build.write(done, f"{home}/tables/classified_failures", "classified_failures")
     return tables, checks, rejected

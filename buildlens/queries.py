@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -410,7 +410,7 @@ def _land(spark, sf, label):
 def lake_roundtrip(spark, sf):
     envelopes = lake.read_envelopes(spark, _land(spark, sf, "roundtrip"), "workflow_runs")
     records = lake.explode_records(envelopes.withColumns(lake.path_parts()))
-    return silver.workflow_runs(records, lineage=("lake_owner", "lake_entity", "lake_date"))
+    return silver.workflow_runs(records, lineage=("lake_owner", "lake_repo", "lake_entity", "lake_date"))
 
 
 @query
@@ -424,6 +424,71 @@ def dq_envelope_counts(spark, sf):
     )
 
 
+def _run_lines(spark, sf):
+    """An envelope line for each run of R, and a number of the run."""
+    record = F.struct(
+        F.col("workflow_run_id").alias("id"), "run_attempt", "status", "created_at", "updated_at"
+    )
+    line = F.to_json(F.struct(F.concat(F.lit("e"), "workflow_run_id").alias("execution_id"), F.array(record).alias("data")))
+    return samples.runs(spark, sf).select(F.col("workflow_run_id").alias("n"), line.alias("value"))
+
+
+@query
+def load_quarantine(spark, sf):
+    """Lines cut short, attempts and times that cannot be read, ids that are missing: what is merged and what is not."""
+    base, n = scratch_dir(spark, "quarantine"), F.col("n") % 50
+    broken = (
+        F.when(n == 0, F.expr("substring(value, 1, length(value) - 3)"))
+        .when(n == 1, F.regexp_replace("value", '"run_attempt":1', '"run_attempt":"first"'))
+        .when(n == 2, F.regexp_replace("value", '"created_at":"[^"]*"', '"created_at":"soon"'))
+        .when(n == 3, F.regexp_replace("value", '"id":[0-9]+', '"id":null'))
+        .otherwise(F.col("value"))
+    )
+    lines = _run_lines(spark, sf).select(broken.alias("value"))
+    lines.write.option("compression", "gzip").text(f"{base}/lake/acme/app/workflow_runs/2024/01/01")
+    rejected = bronze.load(spark, f"{base}/lake", f"{base}/bronze", grain="year")
+    merged = bronze.read(spark, f"{base}/bronze").agg(F.lit("merged").alias("outcome"), F.count("*").alias("n"))
+    return merged.union(rejected.groupBy("reject").agg(F.count("*")))
+
+
+@query
+def load_since(spark, sf):
+    """Runs landed over three days, loaded from the second on."""
+    base = scratch_dir(spark, "since")
+    lines = _run_lines(spark, sf)
+    for day in range(3):
+        own = lines.filter(F.col("n") % 3 == day).select("value")
+        own.write.option("compression", "gzip").text(f"{base}/lake/acme/app/workflow_runs/2024/01/0{day + 1}")
+    bronze.load(spark, f"{base}/lake", f"{base}/bronze", grain="year", since=date(2024, 1, 2))
+    return bronze.read(spark, f"{base}/bronze").select("run_id", "run_attempt")
+
+
+@query
+def bronze_upsert(spark, sf):
+    """Two batches merged into a table whose partitions are texts with leading zeros."""
+    path = f"{scratch_dir(spark, 'upsert')}/lines"
+    lines = samples.table(spark, sf, "lineitem").select(*samples.LINE_KEYS).distinct()
+    lines = lines.withColumn("bucket", F.lpad((F.col("l_orderkey") % 12).cast("string"), 2, "0"))
+    first = lines.withColumn("state", F.lit("first"))
+    for batch in (first, lines.filter("l_linenumber <= 2").withColumn("state", F.lit("second"))):
+        merge.upsert_path(spark, path, batch, samples.LINE_KEYS, "bucket")
+    return merge.read_table(spark, path, first.schema, "bucket")
+
+
+@query
+def latest_attempts(spark, sf):
+    """Runs of one to three attempts; the highest stands for the run."""
+    times = F.explode(F.sequence(F.lit(1), (F.col("run_id") % 3 + 1).cast("int")))
+    member = lambda c: F.to_json(F.struct("id", c.alias("run_attempt"), "status"))
+    runs = samples.runs(spark, sf).select(F.col("workflow_run_id").alias("run_id"), F.col("workflow_run_id").alias("id"), "status")
+    every = runs.select("*", times.alias("run_attempt")).select(
+        "run_id", F.col("run_attempt").cast("bigint").alias("run_attempt"), F.parse_json(member(F.col("run_attempt"))).alias("raw_payload")
+    )
+    typed = silver.workflow_runs(every, "latest", lineage=())
+    key = scalars.composite_key(F.col("workflow_run_id"), attempt=F.col("run_attempt"))
+    return typed.select("workflow_run_id", "run_attempt", "status", key.alias("composite_key"))
+
+
 @query
 def stream_ingest(spark, sf):
     base = scratch_dir(spark, "ingest")
