@@ -62,6 +62,17 @@ def row_hash(columns: list[str]) -> Column:
     return F.sha2(F.concat_ws("\u0001", *cells), 256)
 
 
+def record_hash(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """:func:`row_hash` over the whole row, or some columns; nested values count as their JSON text, nulls included."""
+    simple = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    cells = []
+    for name in sorted(columns or df.columns):
+        plain = isinstance(df.schema[name].dataType, simple)
+        text = F.col(name).cast("string") if plain else F.to_json(F.col(name), {"ignoreNullFields": "false"})
+        cells.append(F.coalesce(text, F.lit("∅")))
+    return F.sha2(F.concat_ws("\u0001", *cells), 256)
+
+
 def batch_fingerprint(digest: Column) -> Column:
     """Order-independent fingerprint of the rows of a group, as an aggregate over ``row_hash``.
 

@@ -195,9 +195,24 @@ _RECORD_DIGEST = _digest(
         "status": "status",
         "conclusion": "conclusion",
         "run_attempt": "run_attempt",
+        "actor": """'{"login":"' || triggered_by || '"}'""",
+        "created_at": "replace(CAST(created_at AS VARCHAR), ' ', 'T') || 'Z'",
+        "updated_at": "replace(CAST(updated_at AS VARCHAR), ' ', 'T') || 'Z'",
+        "run_started_at": "replace(CAST(created_at AS VARCHAR), ' ', 'T') || 'Z'",
+        "composite_key": "workflow_run_id || '_' || run_attempt",
+        "repo_owner": "head_branch",
+        "repo_name": "workflow_name",
+    }
+)
+_LINE_DIGEST = _digest(
+    {
+        c: c
+        for c in (
+            "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus "
+            "l_shipdate"
+        ).split()
     }
 )
-_LINE_DIGEST = _digest({c: c for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")})
 
 _RUN_FIELDS = "workflow_run_id, workflow_name, head_branch, head_sha, event_type, status, conclusion, triggered_by, created_at, updated_at, run_attempt"
 _LINE_FIELDS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_shipdate"
@@ -473,6 +488,13 @@ ORACLES: dict[str, str] = {
     "latest_attempts": _with(_RUNS)
     + """ SELECT workflow_run_id, workflow_run_id % 3 + 1 AS run_attempt, status,
       workflow_run_id || '_' || (workflow_run_id % 3 + 1) AS composite_key FROM runs""",
+    "build_from_jobs_entity": _with(_RUNS, _LINES, _JOBS)
+    + """ SELECT w.workflow_run_id, coalesce(job_id, w.workflow_run_id) AS job_id,
+      coalesce(job_name, workflow_name, 'Default Job') AS job_name, coalesce(j.status, w.status) AS status,
+      coalesce(j.conclusion, w.conclusion) AS conclusion, coalesce(started_at, created_at) AS started_at,
+      coalesce(completed_at, updated_at) AS completed_at, coalesce(runner_name, 'GitHub Hosted Runner') AS runner_name,
+      CASE WHEN job_id IS NULL THEN 'run' ELSE 'job' END AS lineage
+      FROM runs w LEFT JOIN jobs j ON w.workflow_run_id = j.workflow_run_id""",
     "stream_ingest": _with(_RUNS) + f" SELECT {_RUN_FIELDS} FROM runs",
     "stream_status": _first_line(_NEWEST),
     "quarantine_split": """SELECT event_id,
@@ -502,9 +524,8 @@ ORACLES: dict[str, str] = {
       FROM executions e JOIN failures f ON e.job_id = f.job_id AND e.step_number = f.step_number
       WHERE lower(e.step_status) = 'success' OR lower(e.step_conclusion) = 'success'""",
     "dq_suite": _suite(),
-    "dq_rule_lengths": _with(*_FAILURES)
-    + " UNION ALL ".join(
-        f" SELECT '{c}' AS column_name, count(*) FILTER (length({c}) > {n}) AS failures FROM failures"
-        for c, n in (("category", 20), ("assigned_team", 16), ("recommended_fix", 500))
-    ),
+    "dq_rule_lengths": """SELECT 'error_pattern' AS column_name, count(*) FILTER (length(repeat(p_name, 15)) > 255) AS failures FROM part
+      UNION ALL SELECT 'category', count(*) FILTER (length(repeat(p_name, 6)) > 100) FROM part
+      UNION ALL SELECT 'assigned_team', count(*) FILTER (length(p_name) > 100) FROM part
+      UNION ALL SELECT 'recommended_fix', count(*) FILTER (length(repeat(p_name, 30)) > 500) FROM part""",
 }

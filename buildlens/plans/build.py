@@ -19,11 +19,18 @@ MARTS = (
 )
 
 
-def from_bronze(bronze: DataFrame, attempts: str = "all") -> dict[str, DataFrame]:
-    """The three typed silver frames of a bronze table."""
-    jobs = silver.jobs(bronze, attempts=attempts)
+def from_bronze(bronze: DataFrame, attempts: str = "all", landed: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The three typed silver frames of a bronze table.
+
+    Jobs are taken from the runs' payloads, or from ``landed``, the bronze table of jobs landed as an entity of their own.
+    """
+    runs = silver.workflow_runs(bronze, attempts)
+    if landed is None:
+        jobs = silver.jobs(bronze, attempts=attempts)
+    else:
+        jobs = silver.attach_jobs(runs, silver.landed_jobs(landed)).drop("run_composite_key")
     return {
-        "stg_workflow_runs": silver.workflow_runs(bronze, attempts),
+        "stg_workflow_runs": runs,
         "stg_jobs": jobs.drop("raw_steps_array"),
         "stg_steps": silver.steps(jobs),
     }

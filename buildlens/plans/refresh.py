@@ -40,15 +40,22 @@ def refresh(
     since: date | None = None,
     until: date | None = None,
     stop_on_failed_checks: bool = False,
+    jobs_entity: str | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
     """Load the lake into bronze, rebuild all tables, run the checks and classify the rest.
 
     Everything is kept under ``home``: also the check results, which are written before anything is classified, and the
     rows that could not be loaded. Returns the tables, the results and these rows. ``stop_on_failed_checks`` raises an
-    error instead of classifying when a check fails.
+    error instead of classifying when a check fails. ``jobs_entity`` names the lake's entity that holds the jobs, where
+    they were fetched by themselves; else they are in the runs' payloads.
     """
     rejected = bronze.load(spark, lake_root, f"{home}/bronze", since=since, until=until)
-    typed = build.from_bronze(bronze.read(spark, f"{home}/bronze"), attempts)
+    landed = None
+    if jobs_entity:
+        lost = bronze.load(spark, lake_root, f"{home}/bronze_{jobs_entity}", jobs_entity, since=since, until=until)
+        rejected = rejected.union(lost)
+        landed = bronze.read(spark, f"{home}/bronze_{jobs_entity}")
+    typed = build.from_bronze(bronze.read(spark, f"{home}/bronze"), attempts, landed)
     tables = build.build_all(spark, typed, f"{home}/tables", failed_steps_only)
     checks = build.write(quality.run_suite(tables), f"{home}/checks", "checks")
     if stop_on_failed_checks and not (failed := checks.filter("status = 'fail'")).isEmpty():

@@ -172,7 +172,7 @@ def failed_logs(steps: DataFrame) -> DataFrame:
 
 
 def landed_jobs(records: DataFrame) -> DataFrame:
-    """Typed jobs from raw records of the jobs entity, as ``lake.tag_jobs`` tagged them."""
+    """Typed jobs from raw records of the jobs entity, as ``lake.tag_jobs`` tagged them, with the lineage they carry."""
     p = "raw_payload"
     return records.select(
         field(p, "run_composite_key").alias("run_composite_key"),
@@ -184,6 +184,7 @@ def landed_jobs(records: DataFrame) -> DataFrame:
         field(p, "completed_at", payload.TIMESTAMP).alias("completed_at"),
         field(p, "runner_name").alias("runner_name"),
         field(p, "steps", "variant").alias("raw_steps_array"),
+        *[c for c in LINEAGE if c in records.columns],
     )
 
 
@@ -191,7 +192,8 @@ def attach_jobs(runs: DataFrame, jobs: DataFrame) -> DataFrame:
     """Jobs landed as an entity of their own, joined to their run attempt; a run without any counts as one job.
 
     ``runs`` are typed runs, ``jobs`` carry ``run_composite_key`` and the job columns. When they bring
-    their steps too, a job without any gets one made from the run.
+    their steps too, a job without any gets one made from the run. Lineage is the job's, or the run's for a run that
+    stands for its job. Jobs are read twice: pass a written table.
     """
     keyed = runs.select(
         scalars.composite_key(F.col("workflow_run_id"), attempt=F.col("run_attempt")).alias("run_composite_key"),
@@ -201,10 +203,12 @@ def attach_jobs(runs: DataFrame, jobs: DataFrame) -> DataFrame:
         F.col("conclusion").alias("_conclusion"),
         F.col("created_at").alias("_started_at"),
         F.col("updated_at").alias("_completed_at"),
+        *[F.col(c).alias(f"_{c}") for c in LINEAGE if c in runs.columns],
     )
     names = ["job_id", "job_name", "status", "conclusion", "started_at", "completed_at", "runner_name"]
     raw = [c for c in ("raw_steps_array",) if c in jobs.columns]
-    own = jobs.select("run_composite_key", *names, *raw)
+    lineage = [c for c in LINEAGE if c in jobs.columns and c in runs.columns]
+    own = jobs.select("run_composite_key", *names, *raw, *lineage)
     stand_in = run_as_step("_name", "_status", "_conclusion", "_started_at", "_completed_at")
     joined = children_or_none(keyed, own, ["run_composite_key"])
     return joined.select(
@@ -215,4 +219,5 @@ def attach_jobs(runs: DataFrame, jobs: DataFrame) -> DataFrame:
         *[F.coalesce(c, f"_{c}").alias(c) for c in ("status", "conclusion", "started_at", "completed_at")],
         F.coalesce("runner_name", F.lit(schemas.DEFAULT_RUNNER)).alias("runner_name"),
         *[F.coalesce(c, stand_in).alias(c) for c in raw],
+        *[F.coalesce(c, f"_{c}").alias(c) for c in lineage],
     ).filter(F.col("job_id").isNotNull())

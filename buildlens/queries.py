@@ -388,13 +388,13 @@ def _tagged(spark, sf):
 
 @query
 def land_manifest(spark, sf):
-    return lake.manifest(_tagged(spark, sf), "workflow_runs", samples.HASHED)
+    return lake.manifest(_tagged(spark, sf), "workflow_runs")
 
 
 @query
 def payload_fingerprint(spark, sf):
     lines = samples.table(spark, sf, "lineitem")
-    digests = lines.withColumn("_digest", scalars.row_hash(["l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"]))
+    digests = lines.withColumn("_digest", scalars.record_hash(lines))
     return digests.groupBy("l_returnflag", "l_linestatus").agg(
         scalars.batch_fingerprint(F.col("_digest")).alias("payload_hash")
     )
@@ -402,7 +402,7 @@ def payload_fingerprint(spark, sf):
 
 def _land(spark, sf, label):
     root = f"{scratch_dir(spark, label)}/lake"
-    lake.land(_tagged(spark, sf), root, "workflow_runs", samples.HASHED, extracted_at=LANDED_AT)
+    lake.land(_tagged(spark, sf), root, "workflow_runs", extracted_at=LANDED_AT)
     return root
 
 
@@ -489,6 +489,22 @@ def latest_attempts(spark, sf):
     return typed.select("workflow_run_id", "run_attempt", "status", key.alias("composite_key"))
 
 
+@query
+def build_from_jobs_entity(spark, sf):
+    """Runs and jobs landed as two entities, loaded, and built to typed jobs; a run without any stands for one."""
+    base = scratch_dir(spark, "entities")
+    lake.land(_tagged(spark, sf), f"{base}/lake", "workflow_runs", extracted_at=LANDED_AT)
+    jobs = lake.tag_jobs(samples.job_records(spark, sf)).withColumnRenamed("job_name", "name")
+    jobs = jobs.withColumns({"repo_owner": F.lit("acme"), "repo_name": F.lit("app")})
+    lake.land(jobs, f"{base}/lake", "jobs", extracted_at=LANDED_AT)
+    for entity in ("workflow_runs", "jobs"):
+        bronze.load(spark, f"{base}/lake", f"{base}/{entity}", entity, grain="year")
+    tables = [bronze.read(spark, f"{base}/{entity}") for entity in ("workflow_runs", "jobs")]
+    typed = build.from_bronze(tables[0], landed=tables[1])["stg_jobs"]
+    lineage = F.when(F.col("source_file_name").contains("entity=jobs"), "job").otherwise("run")
+    return typed.withColumn("lineage", lineage).drop("source_file_name", "loaded_at")
+
+
 @query
 def stream_ingest(spark, sf):
     base = scratch_dir(spark, "ingest")
@@ -496,7 +512,7 @@ def stream_ingest(spark, sf):
     loaded = F.lit(LOADED_AT).cast(payload.TIMESTAMP)
     # finished runs land first; then all runs land, so that the second batch repeats most keys
     for drop in (runs.filter(F.col("status") == "completed"), runs):
-        lake.land(drop, f"{base}/lake", "workflow_runs", samples.HASHED, extracted_at=LANDED_AT)
+        lake.land(drop, f"{base}/lake", "workflow_runs", extracted_at=LANDED_AT)
         ingest.ingest_available(
             spark, f"{base}/lake", f"{base}/bronze", f"{base}/checkpoint", loaded_at=loaded, grain="year"
         )
@@ -574,5 +590,10 @@ def dq_suite(spark, sf):
 
 @query
 def dq_rule_lengths(spark, sf):
-    failures = _failures(spark, sf)
-    return quality.oversized(failures, {"category": 20, "assigned_team": 16, "recommended_fix": 500})
+    """The declared limits, on a rule table with a part's comment-long name for every pattern and fix."""
+    parts = samples.table(spark, sf, "part")
+    long = lambda n: F.repeat(F.col("p_name"), F.lit(n))
+    rules = parts.select(
+        long(15).alias("error_pattern"), long(6).alias("category"), F.col("p_name").alias("assigned_team"), long(30).alias("recommended_fix")
+    )
+    return quality.oversized(rules, schemas.RULE_TABLE_LENGTHS)

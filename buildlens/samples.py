@@ -313,10 +313,6 @@ def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Columns of a run record whose text form is the same in every engine.
-HASHED = ["id", "name", "head_branch", "head_sha", "event", "status", "conclusion", "run_attempt"]
-
-
 def event_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E: one step per event, starting and ending between whole seconds."""
     millis = F.round(F.col("value") * 1000).cast("bigint")

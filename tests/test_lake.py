@@ -171,6 +171,22 @@ def test_manifest_matches_a_plain_computation(spark):
     assert entry == ("acme", "repo0", "workflow_runs", "/repos/acme/repo0/actions/runs", 10, expected)
 
 
+def test_any_changed_field_changes_the_fingerprint(spark):
+    records = tagged(spark, 4).withColumns(
+        {"updated_at": F.lit("2024-01-01T00:00:00Z"), "actor": F.struct(F.lit("ann").alias("login"), F.lit(None).cast("int").alias("n"))}
+    )
+
+    def print_of(frame):
+        return [r.payload_hash for r in lake.manifest(frame, "workflow_runs").orderBy("repo_name").collect()]
+
+    first = print_of(records)
+    assert print_of(records.orderBy(F.desc("id"))) == first
+    later = F.when(F.col("id") == 0, "2024-01-02T00:00:00Z").otherwise(F.col("updated_at"))
+    renamed = F.struct(F.when(F.col("id") == 1, "bob").otherwise("ann").alias("login"), F.lit(None).cast("int").alias("n"))
+    assert print_of(records.withColumn("updated_at", later))[0] != first[0]
+    assert print_of(records.withColumn("actor", renamed))[1] != first[1]
+
+
 def test_rule_seed_round_trip(spark, tmp_path):
     rules = default_rules(spark)
     rules.coalesce(1).write.option("header", True).csv(str(tmp_path / "rules"))
