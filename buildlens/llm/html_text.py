@@ -357,29 +357,64 @@ def layout(rng: random.Random, prose: list[str], scraps: list[str]) -> str:
     def para(text: str) -> str:
         return f"<p>{text}</p>"
 
-    menu = lambda: box(["nav"], ["nav", "menu", "navbar", "navigation", "breadcrumb"], listed(rng.randint(2, 9)))
-    head = lambda: box(["header"], ["header", "masthead", "topbar", "banner"], f"<h1>{scrap()}</h1>" + rng.choice(["", para(scrap())]))  # noqa: E731, E501
-    foot = lambda: box(["footer"], ["footer", "copyright", "legal", "contentinfo"], rng.choice(["&copy; ", ""]) + scrap())
-    side = lambda: box(["aside"], ["sidebar", "aside", "widget", "related", "complementary"], f"<h3>{scrap()}</h3>" + rng.choice([listed(4), para(scrap()) * 2]))  # noqa: E731, E501
-    note = lambda: box(["dialog"], ["cookie-notice", "notice", "consent", "alert", "popup"], rng.choice([scrap(), para(scrap())]) + rng.choice(["", "<button>OK</button>"]))  # noqa: E731, E501
-    ad = lambda: box(["div"], ["ad", "ads", "advert", "sponsored", "promo"], rng.choice([scrap(), para(scrap()), para(esc(rng.choice(prose)))]))  # noqa: E731, E501
-    form = lambda: f"<form{rng.choice(['', attributes(['search', 'newsletter', 'signup', 'form'])])}>" + rng.choice([scrap(), para(scrap()), f"<label>{scrap()}</label>"]) + '<input name="q"><button>Go</button></form>'  # noqa: E731, E501
-    talk = lambda: box(["section"], ["comments", "comment-list", "discussion", "replies", "respond"], "".join(rng.choice([para, lambda x: f'<div class="comment">{x}</div>', lambda x: f"<div>{para(x)}</div>"])(esc(rng.choice(prose))) for _ in range(rng.randint(1, 5))))  # noqa: E731, E501
-    share = lambda: box(["div"], ["share", "social", "toolbar", "related", "tags"], listed(3))
-
-    parts = []
-    for k in range(rng.choice([1, 1, 2, 4, 8, 14])):
-        text = "M" + esc(rng.choice(prose))
-        parts.append(rng.choice([para, para, para, lambda x: f"<p><b>{x}<br>", lambda x: f"<h2>{x[:40]}</h2>", lambda x: f"<ul><li>{x}</li><li>{x[:30]}</li></ul>", lambda x: f"<blockquote>{x}</blockquote>"])(text))  # noqa: E501
+    def menu() -> str:
+        return box(["nav"], ["nav", "menu", "navbar", "navigation", "breadcrumb"], listed(rng.randint(2, 9)))
+
+    def head() -> str:
+        inner = f"<h1>{scrap()}</h1>" + rng.choice(["", para(scrap())])
+        return box(["header"], ["header", "masthead", "topbar", "banner"], inner)
+
+    def foot() -> str:
+        return box(["footer"], ["footer", "copyright", "legal", "contentinfo"], rng.choice(["&copy; ", ""]) + scrap())
+
+    def side() -> str:
+        inner = f"<h3>{scrap()}</h3>" + rng.choice([listed(4), para(scrap()) * 2])
+        return box(["aside"], ["sidebar", "aside", "widget", "related", "complementary"], inner)
+
+    def note() -> str:
+        inner = rng.choice([scrap(), para(scrap())]) + rng.choice(["", "<button>OK</button>"])
+        return box(["dialog"], ["cookie-notice", "notice", "consent", "alert", "popup"], inner)
+
+    def ad() -> str:
+        inner = rng.choice([scrap(), para(scrap()), para(esc(rng.choice(prose)))])
+        return box(["div"], ["ad", "ads", "advert", "sponsored", "promo"], inner)
+
+    def form() -> str:
+        inner = rng.choice([scrap(), para(scrap()), f"<label>{scrap()}</label>"])
+        named = rng.choice(["", attributes(["search", "newsletter", "signup", "form"])])
+        return f'<form{named}>{inner}<input name="q"><button>Go</button></form>'
+
+    def talk() -> str:
+        shapes = [para, lambda x: f'<div class="comment">{x}</div>', lambda x: f"<div>{para(x)}</div>"]
+        inner = "".join(rng.choice(shapes)(esc(rng.choice(prose))) for _ in range(rng.randint(1, 5)))
+        return box(["section"], ["comments", "comment-list", "discussion", "replies", "respond"], inner)
+
+    def share() -> str:
+        return box(["div"], ["share", "social", "toolbar", "related", "tags"], listed(3))
+
+    shapes = [
+        para,
+        para,
+        para,
+        lambda x: f"<p><b>{x}<br>",
+        lambda x: f"<h2>{x[:40]}</h2>",
+        lambda x: f"<ul><li>{x}</li><li>{x[:30]}</li></ul>",
+        lambda x: f"<blockquote>{x}</blockquote>",
+    ]
+    parts = [rng.choice(shapes)("M" + esc(rng.choice(prose))) for _ in range(rng.choice([1, 1, 2, 4, 8, 14]))]
     for _ in range(rng.choice([0, 0, 1, 2])):
         parts.insert(rng.randint(0, len(parts)), rng.choice([ad, share, form, note, side, talk])())
     if rng.random() < 0.2:
         parts.append(talk())
     title = rng.choice(["", f"<h1>M{scrap()[:60]}</h1>"])
     tag = rng.choice(["article", "main", "div", "div", "section"])
-    named = "" if tag in ("article", "main") and rng.random() < 0.7 else attributes(["content", "post", "entry", "story", "article-body", "main"]) if rng.random() < 0.75 else rng.choice(["", ' class="x"'])  # noqa: E501
-    inner = title + "".join(parts)
-    main = f"<{tag}{named}>{inner}</{tag}>"
+    if tag in ("article", "main") and rng.random() < 0.7:
+        named = ""
+    elif rng.random() < 0.75:
+        named = attributes(["content", "post", "entry", "story", "article-body", "main"])
+    else:
+        named = rng.choice(["", ' class="x"'])
+    main = f"<{tag}{named}>{title}{''.join(parts)}</{tag}>"
     if rng.random() < 0.3:
         main = f'<div class="{rng.choice(["wrap", "container", "row", "page"])}">{main}{rng.choice(["", side()])}</div>'
     above = [f() for f in (note, head, menu, ad, form) if rng.random() < 0.45]

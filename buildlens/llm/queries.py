@@ -46,7 +46,21 @@ def op10_near_duplicates(spark, sf_dir):
     return near_duplicates.components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_text, op2_language_id, op3_top_k, op4_class_lm, op5_secret_scan, op6_rule_ledger, op7_mixing, op8_byte_bpe, op9_licenses, op10_near_duplicates)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_html_text,
+        op2_language_id,
+        op3_top_k,
+        op4_class_lm,
+        op5_secret_scan,
+        op6_rule_ledger,
+        op7_mixing,
+        op8_byte_bpe,
+        op9_licenses,
+        op10_near_duplicates,
+    )
+}
 
 # the rules of the current policy, spelled out
 _OP6 = r"""
