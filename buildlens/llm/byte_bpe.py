@@ -32,7 +32,7 @@ NONE = np.int64(1 << 40)
 #: Parts of more bytes are merged one by one with a heap: the rounds of a matrix would cost the square of the length.
 MATRIX_BYTES = 512
 #: Rows of a matrix, and distinct chunks remembered by a task.
-ROWS, KNOWN_CHUNKS = 1 << 14, 300_000
+ROWS, KNOWN_CHUNKS = 1 << 14, 150_000
 _OPEN_SPACE = re.compile(r" (?:\s|\Z)")
 
 
