@@ -10,6 +10,7 @@ The rate is stricter for short strings, whose tests have little power.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -109,17 +110,24 @@ def _chi_squared_tail(statistic: float, degrees: int) -> float:
     return 0.5 * math.erfc(((statistic / degrees) ** (1 / 3) - 1 + spread) / math.sqrt(2 * spread))
 
 
+def key_of(run: str) -> int:
+    return int.from_bytes(hashlib.blake2b(run.encode(), digest_size=8).digest(), "big", signed=True)
+
+
 def length_range(n: int) -> int:
     return min(n.bit_length(), 12)
 
 
 def scan(text: Column) -> Column:
-    """``struct<known array<struct<start, end, kind>>, runs array<struct<start, end, encoding, p>>>`` of a text column.
+    """``struct<known array<struct<start, end, kind>>, runs array<struct<start, end, encoding, p, key>>>`` of a text column.
 
-    Places count code points, ends are exclusive. A null text is empty. Runs are the candidates of the tests.
+    Places count code points, ends are exclusive. A null text is empty. Runs are the candidates of the tests; ``key`` is
+    a 64-bit hash of the run.
     """
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())])
-    run = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("encoding", pa.string()), ("p", pa.float64())])
+    run = pa.struct(
+        [("start", pa.int32()), ("end", pa.int32()), ("encoding", pa.string()), ("p", pa.float64()), ("key", pa.int64())]
+    )
 
     def scanned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
@@ -134,7 +142,8 @@ def scan(text: Column) -> Column:
                     known[base + i] = known_spans(whole)
                     for m in CANDIDATE.finditer(whole):
                         if encoding := encoding_of(m.group()):
-                            runs[base + i].append((*m.span(), encoding, p_value(m.group(), encoding)))
+                            p = p_value(m.group(), encoding)
+                            runs[base + i].append((*m.span(), encoding, p, key_of(m.group())))
             yield pa.StructArray.from_arrays(
                 [_lists(known, span), _lists(runs, run)], ["known", "runs"]
             )
@@ -143,7 +152,7 @@ def scan(text: Column) -> Column:
     return arrow_udf(
         scanned,
         "struct<known array<struct<start int, end int, kind string>>,"
-        " runs array<struct<start int, end int, encoding string, p double>>>",
+        " runs array<struct<start int, end int, encoding string, p double, key long>>>",
     )(text)
 
 
@@ -172,15 +181,18 @@ def _worth_reading(texts: pa.Array) -> list[int]:
 
 
 def thresholds(runs: DataFrame) -> dict[tuple[str, int], float]:
-    """The least p-value taken for a secret, by encoding and range of lengths; from all candidates (encoding, n, p).
+    """The least p-value taken for a secret, by encoding and range of lengths; from all candidates
+    (encoding, n, p, key).
 
-    Spark counts them in bins, which are few however many candidates there are. Noise fills the upper half of the bins
+    A string counts once, however often it occurs: copies of one would pile up in its bin. Spark counts the strings in
+    bins, which are few however many candidates there are. Noise fills the upper half of the bins
     evenly, so twice that half tells the noise; what is found beyond it is other strings. The threshold is the lowest
     bin, going down from the middle, from which on other strings are at most the allowed share of what is found.
     """
     size = F.least(F.length(F.bin("n")), F.lit(12))
     bins = F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1))
-    counted = runs.groupBy("encoding", size.alias("size"), bins.alias("bin")).count().collect()
+    strings = runs.select("encoding", size.alias("size"), bins.alias("bin"), "key").distinct()
+    counted = strings.groupBy("encoding", "size", "bin").count().collect()
     by_kind: dict[tuple[str, int], np.ndarray] = {}
     for row in counted:
         by_kind.setdefault((row["encoding"], row["size"]), np.zeros(BINS))[row["bin"]] = row["count"]
@@ -205,10 +217,11 @@ def find(documents: DataFrame, text: str = "text") -> DataFrame:
 
     ``row`` holds the row's columns, whatever their names. A run that overlaps a known span is not added again. Nulls
     and empty texts have no spans; equal texts have equal spans; an empty table gives an empty result. The texts are
-    scanned twice, as the thresholds need all candidates before any is judged: the first time only counts leave a task.
+    scanned twice, as the thresholds need all candidates before any is judged: the first time only hashes of candidates,
+    each once, leave a task.
     """
     runs = documents.select(F.explode(scan(F.col(text))["runs"]).alias("r"))
-    least = thresholds(runs.select("r.encoding", (F.col("r.end") - F.col("r.start")).cast("long").alias("n"), "r.p"))
+    least = thresholds(runs.select("r.encoding", (F.col("r.end") - F.col("r.start")).cast("long").alias("n"), "r.p", "r.key"))
     scanned = documents.select(F.struct(*documents.columns).alias("row"), scan(F.col(text)).alias("s"))
 
     def taken(run: Column) -> Column:
