@@ -52,6 +52,8 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{%d,}" % RUN)
 BINS = 50
 #: Share of other strings allowed among the found ones of 32 characters or more; less for shorter ones.
 RATE = 0.05
+#: Bins of low p-values that are taken only where the candidates themselves tell the noise.
+LOW = 2
 
 _ENCODING = np.zeros(256, bool)
 _ENCODING[np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", np.uint8)] = True
@@ -200,16 +202,22 @@ def thresholds(runs: DataFrame) -> dict[tuple[str, int], float]:
 
 
 def threshold(counts: np.ndarray, size: int) -> float:
+    """The threshold of one range, from the counts of its bins.
+
+    To the counts comes one noise string a bin. So a few candidates, which tell nothing of the noise, are taken down to
+    a low p-value of ``LOW`` bins, and with more of them their own counts prevail.
+    """
     allowed = RATE * min(1.0, 2.0 ** (size - 6))
-    noise = 2 * counts[BINS // 2 :].sum() / BINS
-    found = counts[::-1].cumsum()[::-1]
+    own = 2 * counts[BINS // 2 :].sum() / BINS
+    noise = own + 1
+    found = (counts + 1)[::-1].cumsum()[::-1]
     # what is found beyond the noise, but for a standard deviation of the count
     other = found - noise * np.arange(BINS, 0, -1) - np.sqrt(found)
-    good = (found > 0) & (other <= allowed * found)
-    lowest = BINS // 2
-    while lowest > 0 and good[lowest - 1]:
+    good = other <= allowed * found
+    lowest, least = BINS // 2, 0 if own >= 1 else LOW
+    while lowest > least and good[lowest - 1]:
         lowest -= 1
-    return lowest / BINS if noise > 0 else 2.0
+    return lowest / BINS
 
 
 def find(documents: DataFrame, text: str = "text") -> DataFrame:

@@ -25,3 +25,11 @@ def test_a_repeated_secret_is_found_everywhere(spark):
     singles, (leaked,) = random_strings(1, 1000), random_strings(2, 1, least=0.28, below=0.32)
     found = masked(spark, singles + [leaked] * 400)
     assert leaked in found and len(found) >= 950
+
+
+def test_a_lone_secret_is_found_whatever_its_p(spark):
+    kinds = [("hex", 40), ("upper_hex", 40), ("base32", 40), ("base62", 40), ("base64", 300), ("base64url", 200)]
+    lone = [random_strings(3, 1, kind, size, 0.1, 0.4)[0] for kind, size in kinds[1:]]
+    assert masked(spark, lone) == set(lone)
+    word = "path2" + "/index/of/the/pages2/and/more/of/it/" * 2
+    assert masked(spark, [word, *lone]) == set(lone)
