@@ -1,11 +1,13 @@
 """License scans by conditional compression.
 
 A block of text is compressed alone and with each license template as raw dictionary. The templates that make it much
-smaller are its likely licenses, best first; the first whose wording is in the block, but for a few words, is confirmed.
+smaller are its likely licenses; the one whose wording is in the block best, but for a few words, is confirmed. Then the
+rest of the block, before and behind it, is judged anew, until nothing is confirmed.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
@@ -77,8 +79,8 @@ TEMPLATES = (
 CUE = "licen[sc]e|permission|redistribution|public domain|all rights reserved|public license"
 #: Words taken before and after a cue: more than the longest template has.
 REACH = 100
-#: Share of a template's words that may differ, and templates that are compared word by word, those of the largest gain.
-TOLERANCE, WINNERS = 0.1, 6
+#: Share of a template's words that may differ.
+TOLERANCE = 0.1
 _TOKEN = re.compile(r"\S+")
 _EDGE = re.compile(r"^\W+|\W+$")
 
@@ -134,50 +136,78 @@ class Scanner:
     def judge(self, block: str, words: list[str]) -> tuple[int, int, int, int, int] | None:
         """template, gain, differences, first and last word of the license that the block holds; of those confirmed,
         the one with the largest share of words in place, then the longest."""
-        gains, confirmed = self.gains(block), []
-        for k in np.argsort(-gains, kind="stable")[:WINNERS].tolist():
+        gains, confirmed, held = self.gains(block), [], set(words)
+        for k in np.flatnonzero(gains > 0).tolist():
             own = self.words[k]
-            if gains[k] <= 0:
-                break
+            # a word that the block lacks is a difference wherever the template is put
+            if sum(word not in held for word in own) > TOLERANCE * len(own):
+                continue
             wrong, first, last = differences(own, words)
             if wrong <= TOLERANCE * len(own):
-                confirmed.append((wrong / len(own), -len(own), k, int(gains[k]), wrong, first, last))
-        return min(confirmed)[2:] if confirmed else None
+                confirmed.append((wrong / len(own), -len(own), -int(gains[k]), k, wrong, first, last))
+        if not confirmed:
+            return None
+        _, _, less, k, wrong, first, last = min(confirmed)
+        return k, -less, wrong, first, last
+
+    def judged(self, text: str, spans: list[tuple[int, int]], a: int, b: int) -> tuple[int, int, int, int, int] | None:
+        """``judge`` of the words a to b of a text, whose words count from its start."""
+        block = text[spans[a][0] : spans[b - 1][1]]
+        if block not in self.known:
+            if len(self.known) > 20_000:
+                self.known.clear()
+            self.known[block] = self.judge(block, [plain(x) for x in block.split()])
+        if not (found := self.known[block]):
+            return None
+        return *found[:3], a + found[3], a + found[4]
+
+    def search(
+        self, text: str, spans: list[tuple[int, int]], a: int, b: int, left: int, right: int
+    ) -> list[tuple[int, int, int, int, int]]:
+        """template, gain, differences, first and last word of every license in the words a to b; each is looked for in
+        what those found before it leave free. One with differences that the block may have cut is judged again with the
+        words before and behind it, from left to right at most."""
+        out, free = [], [(a, b, left, right)]
+        while free:
+            a, b, left, right = free.pop()
+            if a >= b or not (found := self.judged(text, spans, a, b)):
+                continue
+            k, _, wrong, first, last = found
+            if wrong and (first == a > left or last == b < right):
+                size = len(self.words[k])
+                found = self.judged(text, spans, max(left, first - size), min(right, last + size)) or found
+                first, last = found[3:]
+            out.append(found)
+            free += [(a, first, left, first), (last, b, last, right)]
+        return out
 
     def find(self, text: str) -> list[tuple[str, int, int, int, int]]:
         """(license, start, end, gain, differences) by place; places count code points, ends are exclusive.
 
-        A block is a line, or the words about a cue if the line has more; after a license the search goes on behind it.
-        A license over several lines is looked for in the words about the cue.
+        A block is a line, or the words about a cue if the line has more, as far as no license was found in it yet. A
+        license over several lines is looked for in the words about each cue that is in none so far.
         """
         out: list[tuple[str, int, int, int, int]] = []
-        behind = 0
+        taken: list[tuple[int, int]] = []
         spans = None
         for cue in self.cue.finditer(text):
-            if cue.start() < behind:
-                continue
             if spans is None:
                 spans = [m.span() for m in _TOKEN.finditer(text)]
                 starts = np.array([a for a, _ in spans])
             at = int(np.searchsorted(starts, cue.start(), "right")) - 1
             line = (text.rfind("\n", 0, cue.start()) + 1, (text.find("\n", cue.end()) + 1 or len(text) + 1) - 1)
-            low = max(at - REACH, int(np.searchsorted(starts, max(line[0], behind))))
-            high = min(at + REACH, int(np.searchsorted(starts, line[1])))
-            wide = (max(at - REACH, int(np.searchsorted(starts, behind))), min(at + REACH, len(spans)))
-            for a, b in ((low, high), wide):
-                if a >= b:
-                    continue
-                block = text[spans[a][0] : spans[b - 1][1]]
-                if block not in self.known:
-                    if len(self.known) > 20_000:
-                        self.known.clear()
-                    self.known[block] = self.judge(block, [plain(x) for x in block.split()])
-                if found := self.known[block]:
-                    k, gain, wrong, first, last = found
-                    start, behind = spans[a + first][0], spans[a + last - 1][1]
-                    out.append((self.names[k], start, behind, gain, wrong))
+            low, high = (int(x) for x in np.searchsorted(starts, line))
+            for a, b in ((low, high), (0, len(spans))):
+                near = bisect.bisect(taken, (at, len(spans)))
+                left = taken[near - 1][1] if near else 0
+                right = taken[near][0] if near < len(taken) else len(spans)
+                if left > at:
                     break
-        return out
+                a, b = max(a, left, at - REACH), min(b, right, at + REACH)
+                for k, gain, wrong, first, last in self.search(text, spans, a, b, left, right):
+                    bisect.insort(taken, (first, last))
+                    out.append((self.names[k], spans[first][0], spans[last - 1][1], gain, wrong))
+        return sorted(out, key=lambda x: x[1])
 
 
 def scan(text: Column, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> Column:

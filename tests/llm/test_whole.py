@@ -2,7 +2,7 @@
 
 import random
 
-from buildlens.llm import secret_scan
+from buildlens.llm import licenses, secret_scan
 
 
 def random_strings(seed, n, encoding="base62", size=40, least=0.0, below=1.01):
@@ -33,3 +33,17 @@ def test_a_lone_secret_is_found_whatever_its_p(spark):
     assert masked(spark, lone) == set(lone)
     word = "path2" + "/index/of/the/pages2/and/more/of/it/" * 2
     assert masked(spark, [word, *lone]) == set(lone)
+
+
+def licenses_of(text):
+    return [(name, text[a:b]) for name, a, b, _, _ in licenses.Scanner().find(text)]
+
+
+def test_all_licenses_of_a_block_are_found():
+    mit, cc = "Released under the MIT License.", "This work is licensed under a Creative Commons Attribution 4.0 International License."
+    gpl = "This work is licensed under the GNU General Public License, version 2."
+    assert licenses_of(f"{mit} {cc}") == [("MIT", mit), ("CC-BY-4.0", cc)]
+    assert licenses_of(f"Dual license\n{mit}\n{gpl}") == [("MIT", mit), ("GPL-2.0", gpl)]
+    assert licenses_of(f"License: {mit} {mit} {gpl}\n") == [("MIT", mit), ("MIT", mit), ("GPL-2.0", gpl)]
+    lines = [(name, line) for name, line in licenses.TEMPLATES if len(line) < 100]
+    assert licenses_of("License " + " ".join(line for _, line in lines)) == lines
