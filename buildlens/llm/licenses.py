@@ -1,6 +1,7 @@
 """License scans by conditional compression.
 
-A block of text is compressed alone and with each license template as raw dictionary. The templates that make it much
+A block of text, in lower case and with single spaces, is compressed alone and with each license template, written
+alike, as raw dictionary. The templates that make it much
 smaller are its likely licenses; the one whose wording is in the block best, but for a few words, is confirmed. Then the
 rest of the block, before and behind it, is judged anew, until nothing is confirmed.
 """
@@ -76,7 +77,7 @@ TEMPLATES = (
 # end of fixed values
 
 #: Every template has one of these, so a text without them holds no license.
-CUE = "licen[sc]e|permission|redistribution|public domain|all rights reserved|public license"
+CUE = r"licen[sc]e|permission|redistribution|public\W+domain|all\W+rights\W+reserved"
 #: Words taken before and after a cue: more than the longest template has.
 REACH = 100
 #: Share of a template's words that may differ.
@@ -89,6 +90,10 @@ def plain(word: str) -> str:
     return _EDGE.sub("", word).lower()
 
 
+def normal(words: list[str]) -> str:
+    return " ".join(words).lower()
+
+
 def differences(template: list[str], block: list[str]) -> tuple[int, int, int]:
     """Least number of words to insert, drop or replace to find the template in the block; the first and the last word
     of the place, exclusive. The first of equal places."""
@@ -120,7 +125,10 @@ class Scanner:
         self.alone = zstandard.ZstdCompressor(**settings)
         self.given = [
             zstandard.ZstdCompressor(
-                dict_data=zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT), **settings
+                dict_data=zstandard.ZstdCompressionDict(
+                    normal(text.split()).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT
+                ),
+                **settings,
             )
             for _, text in templates
         ]
@@ -128,7 +136,7 @@ class Scanner:
         self.known: dict[str, list] = {}
 
     def gains(self, block: str) -> np.ndarray:
-        """Bytes that each template saves."""
+        """Bytes that each template saves of a block in normal form."""
         data = block.encode()
         size = len(self.alone.compress(data))
         return np.array([size - len(x.compress(data)) for x in self.given])
@@ -152,11 +160,12 @@ class Scanner:
 
     def judged(self, text: str, spans: list[tuple[int, int]], a: int, b: int) -> tuple[int, int, int, int, int] | None:
         """``judge`` of the words a to b of a text, whose words count from its start."""
-        block = text[spans[a][0] : spans[b - 1][1]]
+        words = [text[start:end] for start, end in spans[a:b]]
+        block = normal(words)
         if block not in self.known:
             if len(self.known) > 20_000:
                 self.known.clear()
-            self.known[block] = self.judge(block, [plain(x) for x in block.split()])
+            self.known[block] = self.judge(block, [plain(x) for x in words])
         if not (found := self.known[block]):
             return None
         return *found[:3], a + found[3], a + found[4]

@@ -47,3 +47,10 @@ def test_all_licenses_of_a_block_are_found():
     assert licenses_of(f"License: {mit} {mit} {gpl}\n") == [("MIT", mit), ("MIT", mit), ("GPL-2.0", gpl)]
     lines = [(name, line) for name, line in licenses.TEMPLATES if len(line) < 100]
     assert licenses_of("License " + " ".join(line for _, line in lines)) == lines
+
+
+def test_licenses_in_capitals_and_odd_spaces_are_found():
+    for name, line in licenses.TEMPLATES:
+        for own in (line.upper(), line.lower(), line.title(), line.replace(" ", " \t ")):
+            assert licenses_of(own) == [(name, own)]
+            assert licenses_of(f"Some words before it\n{own}\nand others after it") == [(name, own)]
