@@ -45,7 +45,7 @@ def refresh(
     """Load the lake into bronze, rebuild all tables, run the checks and classify the rest.
 
     Everything is kept under ``home``: also the check results, which are written before anything is classified, and the
-    rows that could not be loaded. Returns the tables, the results and these rows. ``stop_on_failed_checks`` raises an
+    rows that could not be loaded, of all rounds. Returns the tables, the results and these rows. ``stop_on_failed_checks`` raises an
     error instead of classifying when a check fails. ``jobs_entity`` names the lake's entity that holds the jobs, where
     they were fetched by themselves; else they are in the runs' payloads.
     """

@@ -193,3 +193,17 @@ def test_rule_seed_round_trip(spark, tmp_path):
     again = read_rules(spark, str(tmp_path / "rules"))
     assert rows(again, "error_pattern") == rows(rules, "error_pattern")
     assert again.schema == rules.schema
+
+
+def test_loads_keep_the_quarantine_of_earlier_loads(spark, tmp_path):
+    root, path = str(tmp_path / "lake"), str(tmp_path / "bronze")
+    good = {"id": 1, "run_attempt": 1, "status": "queued", "created_at": "2024-01-01T00:00:00Z", "updated_at": "2024-01-01T00:00:00Z"}
+    write(f"{root}/a/b/workflow_runs/2024/01/01/x.jsonl.gz", envelope(good, {**good, "id": None}), '{"data":[', '{"data":[')
+    write(f"{root}/a/b/workflow_runs/2024/01/02/y.jsonl.gz", envelope({**good, "id": 2}, {**good, "id": 3, "created_at": "soon"}))
+    days = [date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)]
+    held = [bronze.load(spark, root, path, since=a, until=b) for a, b in ((days[0], days[0]), (days[1], days[1]))]
+    kinds = [sorted(r.reject for r in x.collect()) for x in held]
+    assert kinds == [["key", "line", "line"], ["key", "line", "line", "value"]]
+    # loading all days again adds none twice
+    assert sorted(r.reject for r in bronze.load(spark, root, path).collect()) == kinds[1]
+    assert [sorted(r.reject for r in x.collect()) for x in held] == kinds
