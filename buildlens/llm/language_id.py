@@ -23,10 +23,10 @@ from pyspark.sql.functions import arrow_udf
 from buildlens.llm.common import fold, slices, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Longest piece in bytes: it fits one 64-bit key.
-LONGEST = 5
-#: Longer words are scored as consecutive parts of so many bytes, so that a lattice is bounded.
-WORD_BYTES = 32
+#: Longest piece of the vocabulary in bytes.
+LONGEST = 33
+#: Bytes of the words of one length that are taken at once, and after how many bytes sums over segmentations are scaled.
+TOGETHER, SCALED = 1 << 17, 16
 #: Documents of each language that the piece probabilities are fitted on (expected number; chosen by hash).
 SAMPLE = 500
 #: Languages that can be learned, the most frequent ones: bounds the model.
@@ -41,6 +41,8 @@ _LETTER = re.compile(r"[^\W\d_]")
 class Pieces:
     """keys[k], ids[k]: sorted 64-bit keys of the pieces of k bytes, and their numbers. size: number of pieces.
 
+    A key is the piece itself up to 8 bytes, then a hash.
+
     maybe[k] says for 18 bits of a key's hash whether any piece has them, so that most keys need no search.
     """
 
@@ -61,16 +63,29 @@ def _hash(key: np.ndarray) -> np.ndarray:
     return (key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)
 
 
+def _longer(key: np.ndarray, byte: np.ndarray, k: int) -> np.ndarray:
+    """Keys of k bytes from those of the first k - 1 and the last byte."""
+    return (key << np.uint64(8)) | byte if k <= 8 else (key * np.uint64(0xD6E8FEB86659FD93) + byte) ^ (key >> np.uint64(29))
+
+
+def _key(piece: bytes) -> int:
+    key = np.zeros(1, np.uint64)
+    for k, byte in enumerate(np.frombuffer(piece, np.uint8).astype(np.uint64), 1):
+        key = _longer(key, byte, k)
+    return int(key[0])
+
+
 def pieces(path: str = VOCABULARY) -> Pieces:
-    """The pieces of a rank file that have at most LONGEST bytes; all 256 single bytes are among them."""
+    """The pieces of a rank file; all 256 single bytes are among them."""
     by_length = defaultdict(set)
     with open(path, "rb") as file:
         for line in file:
             piece = base64.b64decode(line.split()[0])
-            if len(piece) <= LONGEST:
-                by_length[len(piece)].add(int.from_bytes(piece, "big"))
+            by_length[len(piece)].add(int.from_bytes(piece, "big") if len(piece) <= 8 else _key(piece))
+    if max(by_length) > LONGEST:
+        raise ValueError(f"{path} has a piece of {max(by_length)} bytes")
     by_length[1] |= set(range(256))
-    keys = [np.array(sorted(by_length[k] or {0}), np.uint64) for k in range(LONGEST + 1)]
+    keys = [np.array(sorted(by_length[k]), np.uint64) for k in range(LONGEST + 1)]
     starts = np.cumsum([0] + [len(x) for x in keys[1:]])
     ids = [np.zeros(1, np.int64)] + [np.arange(a, b) for a, b in zip(starts, starts[1:])]
     maybe = [np.zeros(1 << 18, bool) for _ in keys]
@@ -89,33 +104,54 @@ class LanguageModel:
 
 
 def lattices(words: list[bytes], known: Pieces) -> Iterator[tuple[np.ndarray, int, list]]:
-    """By length: the words' indexes, the length, and edges (start, end, places among the words, piece numbers)."""
+    """By length: the words' indexes, the length, and edges (start, end, places among the words, piece numbers), by start."""
     by_length = defaultdict(list)
     for i, word in enumerate(words):
         by_length[len(word)].append(i)
     for n, index in by_length.items():
-        for at in range(0, len(index), 8192):
-            part = index[at : at + 8192]
-            grid = np.frombuffer(b"".join([words[i] for i in part]), np.uint8).reshape(len(part), n)
+        step = max(1, min(8192, TOGETHER // n))
+        for at in range(0, len(index), step):
+            part = index[at : at + step]
+            m = len(part)
+            grid = np.frombuffer(b"".join([words[i] for i in part]), np.uint8).reshape(m, n)
             grid = np.ascontiguousarray(grid.T).astype(np.uint64)
-            edges = []
-            for start in range(n):
-                key = np.zeros(len(part), np.uint64)
-                for k in range(1, min(n - start, LONGEST) + 1):
-                    key = (key << np.uint64(8)) | grid[start + k - 1]
-                    edges.append((start, start + k, *known.find(key, k)))
+            edges, key = [], np.zeros((n, m), np.uint64)
+            for k in range(1, min(n, LONGEST) + 1):
+                key = _longer(key[: n - k + 1], grid[k - 1 :], k)
+                place, ids = known.find(key.ravel(), k)
+                start = place // m
+                cuts = np.flatnonzero(np.diff(start)) + 1
+                for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(start)]):
+                    if a < b:
+                        edges.append((int(start[a]), int(start[a]) + k, place[a:b] - start[a] * m, ids[a:b]))
+            edges.sort(key=lambda x: x[:2])
             yield np.array(part), n, edges
 
 
+def _forward(n: int, shape: tuple, edges: Iterator[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over the segmentations of the first 0 to n bytes, scaled, and the logarithms of their scales, a row for each.
+
+    edges: (start, end, places, probabilities), by start. After each SCALED bytes the sums are divided by the one there.
+    """
+    alpha, scale = np.zeros((n + 1, *shape)), np.zeros((n + 1, *shape))
+    alpha[0], due = 1, SCALED
+    for start, end, at, p in edges:
+        if start >= due:
+            by = alpha[start].copy()
+            alpha[start : start + LONGEST] /= by
+            scale[start:] = scale[start] + np.log(by)
+            due = start + SCALED
+        alpha[end][at] += alpha[start][at] * p
+    return alpha, scale
+
+
 def log_likelihoods(words: list[bytes], model: LanguageModel) -> np.ndarray:
-    """A row for each word (1 to WORD_BYTES bytes), a column for each language."""
+    """A row for each word (1 byte or more), a column for each language."""
     out = np.zeros((len(words), model.p.shape[1]))
     for index, n, edges in lattices(words, model.pieces):
-        alpha = np.zeros((n + 1, len(index), model.p.shape[1]))
-        alpha[0] = 1
-        for start, end, at, ids in edges:
-            alpha[end][at] += alpha[start][at] * model.p[ids]
-        out[index] = np.log(alpha[n])
+        weighed = ((start, end, at, model.p[ids]) for start, end, at, ids in edges)
+        alpha, scale = _forward(n, (len(index), model.p.shape[1]), weighed)
+        out[index] = np.log(alpha[n]) + scale[n]
     return out
 
 
@@ -126,16 +162,13 @@ def expected_counts(words: list[bytes], weight: np.ndarray, lang: np.ndarray, mo
     for index, n, edges in lattices(words, model.pieces):
         own = lang[index]
         edges = [(start, end, at, ids, model.p[ids, own[at]]) for start, end, at, ids in edges]
-        alpha, beta = np.zeros((n + 1, len(index))), np.zeros((n + 1, len(index)))
-        alpha[0] = beta[n] = 1
-        for start, end, at, _, p in edges:
-            alpha[end][at] += alpha[start][at] * p
-        for start, end, at, _, p in reversed(edges):
-            beta[start][at] += beta[end][at] * p
-        share = weight[index] / alpha[n]
-        cells = np.concatenate([ids * langs + own[at] for _, _, at, ids, _ in edges])
-        gains = np.concatenate([alpha[start][at] * p * beta[end][at] * share[at] for start, end, at, _, p in edges])
-        total += np.bincount(cells, gains, size * langs)
+        alpha, before = _forward(n, (len(index),), ((start, end, at, p) for start, end, at, _, p in edges))
+        back = sorted(edges, key=lambda x: -x[1])
+        beta, behind = _forward(n, (len(index),), ((n - end, n - start, at, p) for start, end, at, _, p in back))
+        whole = np.log(alpha[n]) + before[n]
+        for start, end, at, ids, p in edges:
+            share = np.exp(before[start][at] + behind[n - end][at] - whole[at])
+            np.add.at(total, ids * langs + own[at], alpha[start][at] * p * beta[n - end][at] * share * weight[index[at]])
     return total.reshape(size, langs)
 
 
@@ -144,22 +177,9 @@ def encoded(word: str) -> bytes:
     return b" " + word.encode("utf-8", "replace")
 
 
-def parts(data: bytes) -> list[bytes]:
-    return [data[i : i + WORD_BYTES] for i in range(0, len(data), WORD_BYTES)]
-
-
 def word_scores(words: list[str], model: LanguageModel) -> np.ndarray:
     """Log-likelihoods of words of any length, a row for each."""
-    data = [encoded(x) for x in words]
-    long = [i for i, x in enumerate(data) if len(x) > WORD_BYTES]
-    split = [parts(data[i]) for i in long]
-    for i in long:
-        data[i] = b" "
-    out = log_likelihoods(data, model)
-    if long:
-        starts = np.cumsum([0] + [len(x) for x in split[:-1]])
-        out[long] = np.add.reduceat(log_likelihoods([x for y in split for x in y], model), starts, axis=0)
-    return out
+    return log_likelihoods([encoded(x) for x in words], model)
 
 
 def fit(
@@ -189,8 +209,7 @@ def fit(
             counts: dict[int, Counter] = defaultdict(Counter)
             for own, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for word, n in Counter(whole.lower().split()).items():
-                    for part in parts(encoded(word)):
-                        counts[own][part] += n
+                    counts[own][encoded(word)] += n
             for own, found in counts.items():
                 yield pa.RecordBatch.from_arrays(
                     [

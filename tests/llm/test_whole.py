@@ -1,8 +1,14 @@
 """Whole results where an operator once gave less."""
 
+import base64
+import math
 import random
+from fractions import Fraction
 
-from buildlens.llm import licenses, secret_scan
+import numpy as np
+import pytest
+
+from buildlens.llm import language_id, licenses, secret_scan
 
 
 def random_strings(seed, n, encoding="base62", size=40, least=0.0, below=1.01):
@@ -54,3 +60,23 @@ def test_licenses_in_capitals_and_odd_spaces_are_found():
         for own in (line.upper(), line.lower(), line.title(), line.replace(" ", " \t ")):
             assert licenses_of(own) == [(name, own)]
             assert licenses_of(f"Some words before it\n{own}\nand others after it") == [(name, own)]
+
+
+def test_words_are_summed_over_all_pieces_of_the_vocabulary():
+    known = language_id.pieces()
+    with open(language_id.VOCABULARY, "rb") as file:
+        whole = {base64.b64decode(line.split()[0]) for line in file} | {bytes([i]) for i in range(256)}
+    assert known.size == len(whole)
+    even = language_id.LanguageModel(["a"], known, np.full((known.size, 1), 1e-3))
+    for word in (b" international", " правительство".encode(), b" which" * 30):
+        # sums over the segmentations of the first bytes, as fractions
+        sums = [Fraction(1)]
+        for end in range(1, len(word) + 1):
+            sums.append(sum(sums[a] for a in range(max(0, end - 33), end) if word[a:end] in whole) * Fraction(1, 1000))
+        log = math.log(sums[-1].numerator) - math.log(sums[-1].denominator)
+        assert language_id.log_likelihoods([word], even)[0, 0] == pytest.approx(log)
+        counts = language_id.expected_counts([word], np.ones(1), np.zeros(1, np.int64), even)
+        lengths = np.zeros(known.size)
+        for k in range(1, language_id.LONGEST + 1):
+            lengths[known.ids[k]] = k
+        assert counts[:, 0] @ lengths == pytest.approx(len(word))
