@@ -34,6 +34,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A key that holds at least this share of all rows is frequent; so there are at most 1 / SHARE frequent keys.
+SHARE = 1e-3
+
+
+def handed_back(rows: DataFrame, labels: DataFrame, key: str, weight: str) -> DataFrame:
+    """Inner join of rows with the written ``labels`` of their keys, where a few keys may hold most rows.
+
+    ``weight`` is the number of rows of a label's key. The at most 1 / SHARE frequent keys are broadcast, so that their rows
+    stay where they are; no other key is of a size that could hold up a task.
+    """
+    total = labels.agg(F.sum(weight)).first()[0] or 0
+    often = F.broadcast(labels.filter(F.col(weight) >= max(2, total * SHARE)))
+    seldom = rows.join(often.select(key), key, "left_anti").join(labels.filter(F.col(weight) < max(2, total * SHARE)), key)
+    return rows.join(often, key).unionByName(seldom).drop(weight)
+
+
 def slices(texts: pa.Array, most: int = 1 << 20) -> Iterator[pa.Array]:
     """The array in consecutive slices of about ``most`` bytes, one text at least; nulls become empty texts."""
     if isinstance(texts, pa.ChunkedArray):

@@ -58,7 +58,7 @@ def test_sql_twins(spark, sf_dir, name):
 
 def test_entry_lists_all():
     names = __spark_entry__.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if re.match(r"op\d", x)}
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if re.match(r"op\d", x)}
     assert "pipeline" in names
 
 
