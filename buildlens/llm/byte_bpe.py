@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from buildlens.llm.common import slices
+from buildlens.llm.common import slices, tidied
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: No pair: larger than any rank.
@@ -211,6 +211,7 @@ def encode(text: Column, tokenizer: Tokenizer, pattern: str = public_tokenizers.
                 out[i] = x
             yield pa.array(out, pa.binary())
 
+    ids = tidied(ids)
     ids.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return arrow_udf(ids, "binary")(text)
 
@@ -226,6 +227,7 @@ def decode(ids: Column, tokenizer: Tokenizer) -> Column:
                 out = [x and b"".join(map(tokens.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in part]
                 yield pa.array(out, pa.binary())
 
+    data = tidied(data)
     data.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return arrow_udf(data, "binary")(ids)
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,25 @@ def handed_back(rows: DataFrame, labels: DataFrame, key: str, weight: str) -> Da
     return rows.join(often, key).unionByName(seldom).drop(weight)
 
 
+def tidied(function: Callable) -> Callable:
+    """A function over an iterator of batches that gives its memory back to the system when a task ends.
+
+    Python workers outlive their tasks, so what one stage has taken would stay beside what the next ones take.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        yield from function(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):
+            # another C library than that of Linux
+            pass
+
+    return run
+
+
 def slices(texts: pa.Array, most: int = 1 << 20) -> Iterator[pa.Array]:
     """The array in consecutive slices of about ``most`` bytes, one text at least; nulls become empty texts."""
     if isinstance(texts, pa.ChunkedArray):

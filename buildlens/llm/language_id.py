@@ -20,20 +20,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from buildlens.llm.common import fold, slices, written
+from buildlens.llm.common import fold, slices, tidied, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Longest piece of the vocabulary in bytes.
 LONGEST = 33
-#: Bytes of the words of one length that are taken at once, and after how many bytes sums over segmentations are scaled.
-TOGETHER, SCALED = 1 << 17, 16
+#: Bytes of the words of one length whose pieces are held at once, of one word as well, and after how many bytes sums over
+#: segmentations are scaled.
+TOGETHER, STARTS, SCALED = 1 << 16, 1 << 12, 16
 #: Documents of each language that the piece probabilities are fitted on (expected number; chosen by hash).
 SAMPLE = 500
-#: Languages that can be learned, the most frequent ones: bounds the model.
-MOST_LANGUAGES = 256
 ROUNDS = 3
 FLOOR = 1e-9
-KNOWN_WORDS = 300_000
+#: Scores of words (words x languages) that a task remembers.
+KNOWN_SCORES = 600_000
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -103,55 +103,95 @@ class LanguageModel:
     p: np.ndarray
 
 
-def lattices(words: list[bytes], known: Pieces) -> Iterator[tuple[np.ndarray, int, list]]:
-    """By length: the words' indexes, the length, and edges (start, end, places among the words, piece numbers), by start."""
+def _by_length(words: list[bytes], languages: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The indexes of words of one length and their bytes, a column for each word."""
     by_length = defaultdict(list)
     for i, word in enumerate(words):
         by_length[len(word)].append(i)
     for n, index in by_length.items():
-        step = max(1, min(8192, TOGETHER // n))
+        step = max(1, min(8192, _cells(languages) // n))
         for at in range(0, len(index), step):
             part = index[at : at + step]
-            m = len(part)
-            grid = np.frombuffer(b"".join([words[i] for i in part]), np.uint8).reshape(m, n)
-            grid = np.ascontiguousarray(grid.T).astype(np.uint64)
-            edges, key = [], np.zeros((n, m), np.uint64)
-            for k in range(1, min(n, LONGEST) + 1):
-                key = _longer(key[: n - k + 1], grid[k - 1 :], k)
-                place, ids = known.find(key.ravel(), k)
-                start = place // m
-                cuts = np.flatnonzero(np.diff(start)) + 1
-                for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(start)]):
-                    if a < b:
-                        edges.append((int(start[a]), int(start[a]) + k, place[a:b] - start[a] * m, ids[a:b]))
-            edges.sort(key=lambda x: x[:2])
-            yield np.array(part), n, edges
-
-
-def _forward(n: int, shape: tuple, edges: Iterator[tuple]) -> tuple[np.ndarray, np.ndarray]:
-    """Sums over the segmentations of the first 0 to n bytes, scaled, and the logarithms of their scales, a row for each.
-
-    edges: (start, end, places, probabilities), by start. After each SCALED bytes the sums are divided by the one there.
-    """
-    alpha, scale = np.zeros((n + 1, *shape)), np.zeros((n + 1, *shape))
-    alpha[0], due = 1, SCALED
-    for start, end, at, p in edges:
-        if start >= due:
-            by = alpha[start].copy()
-            alpha[start : start + LONGEST] /= by
-            scale[start:] = scale[start] + np.log(by)
-            due = start + SCALED
-        alpha[end][at] += alpha[start][at] * p
-    return alpha, scale
+            grid = np.frombuffer(b"".join([words[i] for i in part]), np.uint8).reshape(len(part), n)
+            yield np.array(part), np.ascontiguousarray(grid.T)
+
+
+def _cells(languages: int) -> int:
+    """Bytes of words whose edges are held at once: fewer for many languages."""
+    return max(256, TOGETHER * 4 // max(4, languages))
+
+
+@dataclass
+class Edges:
+    """Pieces found in words, by their start: edges bounds[i] to bounds[i + 1] start at byte first + i."""
+
+    first: int
+    bounds: list[int]
+    length: np.ndarray
+    word: np.ndarray
+    ids: np.ndarray
+
+    def starts(self) -> range:
+        return range(self.first, self.first + len(self.bounds) - 1)
+
+    def at(self, start: int) -> slice:
+        return slice(self.bounds[start - self.first], self.bounds[start - self.first + 1])
+
+
+def _edges(grid: np.ndarray, known: Pieces, first: int, last: int) -> Edges:
+    """All pieces that start at the bytes first to last - 1 of the words; they may end beyond."""
+    n, m = grid.shape
+    rows = min(last, n) - first
+    own = grid[first : first + rows + LONGEST - 1].astype(np.uint64)
+    starts, lengths, places, numbers = [], [], [], []
+    key = np.zeros((rows, m), np.uint64)
+    for k in range(1, min(n - first, LONGEST) + 1):
+        rows = min(rows, n - first - k + 1)
+        key = _longer(key[:rows], own[k - 1 : k - 1 + rows], k)
+        place, ids = known.find(key.ravel(), k)
+        starts.append(place // m)
+        places.append(place % m)
+        lengths.append(np.full(len(place), k, np.int64))
+        numbers.append(ids)
+    start = np.concatenate(starts)
+    order = np.argsort(start.astype(np.uint16), kind="stable")
+    bounds = np.searchsorted(start[order], np.arange(min(last, n) - first + 1)).tolist()
+    return Edges(first, bounds, *(np.concatenate(x)[order] for x in (lengths, places, numbers)))
+
+
+def _blocks(grid: np.ndarray, languages: int) -> list[tuple[int, int]]:
+    """Ranges of starts whose edges are held at once."""
+    n, m = grid.shape
+    step = min(STARTS, max(1, _cells(languages) // m))
+    return [(a, min(n, a + step)) for a in range(0, n, step)]
 
 
 def log_likelihoods(words: list[bytes], model: LanguageModel) -> np.ndarray:
-    """A row for each word (1 byte or more), a column for each language."""
-    out = np.zeros((len(words), model.p.shape[1]))
-    for index, n, edges in lattices(words, model.pieces):
-        weighed = ((start, end, at, model.p[ids]) for start, end, at, ids in edges)
-        alpha, scale = _forward(n, (len(index), model.p.shape[1]), weighed)
-        out[index] = np.log(alpha[n]) + scale[n]
+    """A row for each word (1 byte or more), a column for each language.
+
+    The sums over the segmentations of the first bytes are held for as many bytes as a piece can have. After each SCALED
+    bytes they are divided by the one there, so time grows with a word's length and memory does not.
+    """
+    languages = model.p.shape[1]
+    out = np.zeros((len(words), languages))
+    for index, grid in _by_length(words, languages):
+        n, m = grid.shape
+        sums, scale = np.zeros((LONGEST + 1, m, languages)), np.zeros((m, languages))
+        sums[0] = 1
+        for first, last in _blocks(grid, languages):
+            edges = _edges(grid, model.pieces, first, last)
+            p = model.p[edges.ids]
+            for start in edges.starts():
+                here, own = sums[start % (LONGEST + 1)], edges.at(start)
+                if start and start % SCALED == 0:
+                    by = here.copy()
+                    sums /= by
+                    scale += np.log(by)
+                word = edges.word[own]
+                # a word has one piece of a length from here, so no place occurs twice
+                sums[(start + edges.length[own]) % (LONGEST + 1), word] += here[word] * p[own]
+                here[:] = 0
+        out[index] = np.log(sums[n % (LONGEST + 1)]) + scale
     return out
 
 
@@ -159,16 +199,44 @@ def expected_counts(words: list[bytes], weight: np.ndarray, lang: np.ndarray, mo
     """How often each piece is expected in the words, over all segmentations: pieces x languages."""
     size, langs = model.p.shape
     total = np.zeros(size * langs)
-    for index, n, edges in lattices(words, model.pieces):
-        own = lang[index]
-        edges = [(start, end, at, ids, model.p[ids, own[at]]) for start, end, at, ids in edges]
-        alpha, before = _forward(n, (len(index),), ((start, end, at, p) for start, end, at, _, p in edges))
-        back = sorted(edges, key=lambda x: -x[1])
-        beta, behind = _forward(n, (len(index),), ((n - end, n - start, at, p) for start, end, at, _, p in back))
-        whole = np.log(alpha[n]) + before[n]
-        for start, end, at, ids, p in edges:
-            share = np.exp(before[start][at] + behind[n - end][at] - whole[at])
-            np.add.at(total, ids * langs + own[at], alpha[start][at] * p * beta[n - end][at] * share * weight[index[at]])
+    for index, grid in _by_length(words, 1):
+        n, m = grid.shape
+        own, heavy = lang[index], weight[index]
+        # sums over the segmentations of the first bytes, each under the scale of its place
+        alpha, scale, now = np.zeros((n + 1, m)), np.zeros((n + 1, m)), np.zeros(m)
+        alpha[0] = 1
+        blocks = _blocks(grid, 1)
+        for block in blocks:
+            edges = _edges(grid, model.pieces, *block)
+            p = model.p[edges.ids, own[edges.word]]
+            for start in edges.starts():
+                if start and start % SCALED == 0:
+                    by = alpha[start].copy()
+                    alpha[start : start + LONGEST + 1] /= by
+                    now = now + np.log(by)
+                scale[start] = now
+                part = edges.at(start)
+                word = edges.word[part]
+                alpha[start + edges.length[part], word] += alpha[start, word] * p[part]
+        whole = np.log(alpha[n]) + now
+        # the same from the end, one scale for the window in use
+        beta, behind = np.zeros((n + 1, m)), np.zeros(m)
+        beta[n] = 1
+        for block in reversed(blocks):
+            edges = _edges(grid, model.pieces, *block)
+            p = model.p[edges.ids, own[edges.word]]
+            share = np.zeros(len(p))
+            for start in reversed(edges.starts()):
+                part = edges.at(start)
+                word = edges.word[part]
+                on = p[part] * beta[start + edges.length[part], word]
+                share[part] = alpha[start, word] * on * np.exp(scale[start] + behind - whole)[word]
+                beta[start] = np.bincount(word, on, m)
+                if (n - start) % SCALED == 0:
+                    by = beta[start].copy()
+                    beta[start : start + LONGEST + 1] /= by
+                    behind = behind + np.log(by)
+            np.add.at(total, edges.ids * langs + own[edges.word], share * heavy[edges.word])
     return total.reshape(size, langs)
 
 
@@ -188,12 +256,13 @@ def fit(
     """Learn from the rows with a language and a text.
 
     Of each language ``sample`` documents are expected in the fit, with their whole texts: a row is taken if the hash
-    of its text falls below ``sample`` over the language's row count. With no usable row there are no languages.
+    of its text falls below ``sample`` over the language's row count. With no usable row there are no languages. The
+    model takes 0.4 MB for each language.
     """
     rows = documents.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter(
         "lang IS NOT NULL AND text IS NOT NULL"
     )
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    sizes = rows.groupBy("lang").count().collect()
     languages = sorted(row["lang"] for row in sizes)
     known = pieces(path)
     if not languages:
@@ -221,7 +290,7 @@ def fit(
                 )
 
     words = written(
-        chosen.mapInArrow(count_words, "lang int, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")),
+        chosen.mapInArrow(tidied(count_words), "lang int, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")),
         "lang-words",
     )
     model = LanguageModel(languages, known, np.full((known.size, len(languages)), 1.0 / known.size))
@@ -247,7 +316,7 @@ def _maximised(words: DataFrame, model: LanguageModel) -> np.ndarray:
             [pa.array(piece, pa.int32()), pa.array(lang, pa.int32()), pa.array(total[piece, lang])], ["piece", "lang", "n"]
         )
 
-    sums = words.mapInArrow(expect, "piece int, lang int, n double").groupBy("piece", "lang").agg(F.sum("n")).toPandas()
+    sums = words.mapInArrow(tidied(expect), "piece int, lang int, n double").groupBy("piece", "lang").agg(F.sum("n")).toPandas()
     count = np.full(model.p.shape, 0.01)
     np.add.at(count, (sums["piece"].to_numpy(), sums["lang"].to_numpy()), sums.iloc[:, 2].to_numpy())
     return np.maximum(count / count.sum(0), FLOOR)
@@ -266,13 +335,13 @@ def predict(text: Column, model: LanguageModel) -> Column:
         known = np.zeros((0, len(model.languages)))
         for batch in batches:
             best, score = [], []
-            for texts in slices(batch, 6 << 20):
+            for texts in slices(batch):
                 per_text = [x.lower().split() if _LETTER.search(x) else [] for x in texts.to_pylist()]
                 if not model.languages:
                     per_text = [[] for _ in per_text]
                 words = [word for x in per_text for word in x]
                 new = list(set(words).difference(row))
-                if len(row) + len(new) > KNOWN_WORDS:
+                if (len(row) + len(new)) * len(model.languages) > KNOWN_SCORES:
                     row, new, known = {}, list(set(words)), known[:0]
                 if new:
                     row.update(zip(new, range(len(known), len(known) + len(new))))
@@ -294,6 +363,7 @@ def predict(text: Column, model: LanguageModel) -> Column:
 
 
 def _iterator_udf(function, returned: str):
+    function = tidied(function)
     function.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return arrow_udf(function, returned)
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from buildlens.llm.common import SPACES, raw, slices, written
+from buildlens.llm.common import SPACES, handed_back, raw, slices, tidied, written
 
 BANDS, ROWS = 56, 6
 HASHES = BANDS * ROWS
@@ -154,6 +154,7 @@ def signature(text: Column, width: int) -> Column:
                 [pa.array(x, f.type) for x, f in zip((n, digest, sig, keys), kind)], fields=list(kind)
             )
 
+    signed = tidied(signed)
     signed.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return arrow_udf(signed, "struct<n long, digest binary, sig binary, keys array<long>>")(text)
 
@@ -214,7 +215,7 @@ def plausible(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFram
         return signatures.select(*[F.col(c).alias(d) for c, d in (("id", name), ("sig", "sig_" + name), ("n", "n_" + name))])
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return joined.select("a", "b", "sig_a", "sig_b", "n_a", "n_b").mapInArrow(compare, pairs.select("a", "b").schema)
+    return joined.select("a", "b", "sig_a", "sig_b", "n_a", "n_b").mapInArrow(tidied(compare), pairs.select("a", "b").schema)
 
 
 def _sets_of(ids: DataFrame, documents: DataFrame, width: int) -> DataFrame:
@@ -238,6 +239,7 @@ def _sets_of(ids: DataFrame, documents: DataFrame, width: int) -> DataFrame:
         for texts in (part for batch in batches for part in slices(batch, SLICE)):
             yield pa.array([x.tobytes() for x in shingle_sets(texts, width)], pa.binary())
 
+    sets = tidied(sets)
     sets.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     own = documents.withColumn("bit", bit(F.col("id")))
     own = own.withColumns({"part": F.bitmap_bucket_number("bit"), "at": F.bitmap_bit_position("bit")})
@@ -260,10 +262,11 @@ def confirmed(pairs: DataFrame, documents: DataFrame, width: int, percent: int)
             yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = _sets_of(ids, documents, width)
+    # either side of a pair joins them: read and hashed once, of the round's texts only
+    sets = written(_sets_of(ids, documents, width).join(ids, "id", "left_semi"), "sets")
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
     joined = joined.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b")
-    return joined.select("a", "b", "set_a", "set_b").mapInArrow(compare, pairs.select("a", "b").schema)
+    return joined.select("a", "b", "set_a", "set_b").mapInArrow(tidied(compare), pairs.select("a", "b").schema)
 
 
 def roots(edges: DataFrame) -> DataFrame:
@@ -354,7 +357,7 @@ def _open_pairs(buckets: DataFrame, signatures: DataFrame, percent: int) -> Data
 
     kind = buckets.schema["id"].dataType.simpleString()
     sides = [*["l_" + c for c in _MEMBER], *_MEMBER]
-    return pairs.select(*sides).mapInArrow(compare, f"a {kind}, b {kind}")
+    return pairs.select(*sides).mapInArrow(tidied(compare), f"a {kind}, b {kind}")
 
 
 _MEMBER = ("id", "comp", "n", "sig")
@@ -372,7 +375,7 @@ def find(
     texts = documents.select(F.col(id).alias("id"), F.col(text).alias("text"))
     signed = written(texts.select("id", signature(F.col("text"), width).alias("s")).select("id", "s.*"), "signatures")
     full = signed.filter("n > 0 AND id IS NOT NULL")
-    classes = full.groupBy("digest").agg(F.min("id").alias("rep"))
+    classes = written(full.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("size")), "classes")
     heads = full.join(classes.select("digest", F.col("rep").alias("id")), ["digest", "id"], "left_semi")
     bands = heads.select("id", "n", F.explode("keys").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
@@ -399,12 +402,16 @@ def find(
             links = links.join(own, side, "left").withColumn("c" + side, F.coalesce("c" + side, side))
         moved = roots(links.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         labels = written(_relabelled(labels, moved), "labels")
-    every = signed.select("id", "n", "digest").join(classes, "digest", "left")
     if labels is None:
-        every = every.withColumn("comp", F.col("rep"))
+        classes = classes.withColumn("component", F.col("rep"))
     else:
-        every = every.join(labels.select(F.col("id").alias("rep"), "comp"), "rep", "left")
-    return every.select("id", F.col("n").alias("n_shingles"), F.coalesce("comp", "rep", "id").alias("component"))
+        own = labels.select(F.col("id").alias("rep"), "comp")
+        classes = classes.join(own, "rep", "left").withColumn("component", F.coalesce("comp", "rep"))
+    known = written(classes.select("digest", "size", "component"), "classes")
+    rows = signed.select("id", F.col("n").alias("n_shingles"), "digest")
+    alone = rows.filter("n_shingles = 0 OR id IS NULL").select("id", "n_shingles", F.col("id").alias("component"))
+    named = handed_back(rows.filter("n_shingles > 0 AND id IS NOT NULL"), known, "digest", "size")
+    return alone.union(named.select("id", "n_shingles", "component"))
 
 
 def _relabelled(labels: DataFrame, moved: DataFrame) -> DataFrame:

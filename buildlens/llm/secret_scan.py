@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import StringType, StructField, StructType
 
 from buildlens.llm.common import raw, slices
 
@@ -275,6 +276,30 @@ def report(documents: DataFrame) -> DataFrame:
     )
 
 
+def masked(rows: DataFrame, text: str, spans: str, mark: str) -> DataFrame:
+    """``rows`` with ``clean``: the column ``text`` with ``mark`` in the place of its ``spans`` (start, end), ordered by
+    start; null where there are no spans. One pass over a text, however many spans it has.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for own, found in zip(batch.column(text), batch.column(spans)):
+                if not own.is_valid or not found.is_valid or not len(found):
+                    out.append(None)
+                    continue
+                own, parts, at = own.as_py(), [], 0
+                for span in found.as_py():
+                    if span["start"] > at or not at:
+                        parts += [own[at : span["start"]], mark]
+                    at = max(at, span["end"])
+                out.append("".join([*parts, own[at:]]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, "clean"])
+
+    schema = StructType([*rows.schema.fields, StructField("clean", StringType())])
+    return rows.mapInArrow(cut, schema)
+
+
 def redact(documents: DataFrame, text: str = "text", mark: str = "[secret]", size: str = "n_chars") -> DataFrame:
     """``documents`` with each secret replaced by ``mark``; spans that touch or overlap become one mark.
 
@@ -284,23 +309,11 @@ def redact(documents: DataFrame, text: str = "text", mark: str = "[secret]", siz
     spans = F.array_sort(
         F.transform(F.concat("known", "random"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
     )
-    whole = F.col(f"row.{text}")
-    none = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
-
-    def step(acc: Column, span: Column) -> Column:
-        clear = (span["start"] > acc["at"]) | (acc["at"] == 0)
-        gap = whole.substr(acc["at"] + 1, F.greatest(span["start"] - acc["at"], F.lit(0)))
-        return F.struct(
-            F.when(clear, F.concat(acc["done"], gap, F.lit(mark))).otherwise(acc["done"]).alias("done"),
-            F.greatest(acc["at"], span["end"]).alias("at"),
-        )
-
-    clean = F.when(
-        F.size(spans) > 0,
-        F.aggregate(spans, none, step, lambda acc: F.concat(acc["done"], whole.substr(acc["at"] + 1, F.length(whole)))),
-    ).otherwise(whole)
-    row = F.col("row").withField(text, clean)
+    # texts without spans need not be handed on twice
+    own = F.when(F.size(spans) > 0, F.col(f"row.{text}"))
+    found = masked(found.select("row", own.alias("own"), spans.alias("spans")), "own", "spans", mark)
+    row = F.col("row").withField(text, F.coalesce("clean", f"row.{text}"))
     if size in documents.columns:
-        kept = F.when(F.size(spans) > 0, F.length(clean).cast(documents.schema[size].dataType)).otherwise(F.col(f"row.{size}"))
+        kept = F.coalesce(F.length("clean").cast(documents.schema[size].dataType), F.col(f"row.{size}"))
         row = row.withField(size, kept)
     return found.select(row.alias("row")).select("row.*")

@@ -80,3 +80,37 @@ def test_words_are_summed_over_all_pieces_of_the_vocabulary():
         for k in range(1, language_id.LONGEST + 1):
             lengths[known.ids[k]] = k
         assert counts[:, 0] @ lengths == pytest.approx(len(word))
+
+
+def test_a_word_of_a_million_bytes():
+    known = language_id.pieces()
+    rng = np.random.default_rng(4)
+    model = language_id.LanguageModel(["a", "b"], known, rng.random((known.size, 2)) / known.size)
+    part, n = "international правительство 政府的工作".encode().replace(b" ", b""), 20_000
+    whole = language_id.log_likelihoods([part, part * n], model)
+    assert whole[1] / n == pytest.approx(whole[0], rel=0.05)
+    counts = language_id.expected_counts([part * 200], np.ones(1), np.zeros(1, np.int64), model)
+    lengths = np.zeros(known.size)
+    for k in range(1, language_id.LONGEST + 1):
+        lengths[known.ids[k]] = k
+    assert counts[:, 0] @ lengths == pytest.approx(len(part) * 200)
+
+
+def test_any_number_of_languages(spark):
+    names = [f"l{i:03}" for i in range(300)]
+    rows = [(i * 10 + k, f"wort{i} nur{i} hier{i} so{i}", x) for i, x in enumerate(names) for k in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    assert language_id.fit(frame).languages == names
+
+
+def test_spans_that_touch_become_one_mark(spark):
+    text = "ab\U0001f600 cd " * 3000
+    spans = [(0, 2), (2, 4), (3, 6), *[(100 + 10 * k, 105 + 10 * k) for k in range(2000)], (len(text) - 1, len(text))]
+    frame = spark.createDataFrame(
+        [(1, text, spans), (2, text, []), (3, None, spans)], "id long, t string, s array<struct<start:int,end:int>>"
+    )
+    found = {r.id: r.clean for r in secret_scan.masked(frame, "t", "s", "#").collect()}
+    plain, covered = [], set().union(*[range(a, b) for a, b in spans])
+    for i, c in enumerate(text):
+        plain.append(c if i not in covered else "" if i - 1 in covered else "#")
+    assert found == {1: "".join(plain), 2: None, 3: None}
