@@ -13,7 +13,7 @@ import base64
 import heapq
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -181,7 +181,18 @@ def encode_parts(parts: list[str], known: Tokenizer, whole: dict[bytes, int]) ->
 
 def encode(text: Column, tokenizer: Tokenizer, pattern: str = public_tokenizers.PATTERN) -> Column:
     """Ids of each text as binary: little-endian unsigned 32-bit integers. A null text counts as empty."""
+    return _udf(_encoder(tokenizer, pattern), "binary")(text)
 
+
+def _udf(function: Callable, returned: str) -> Callable:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from function(batches)
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return arrow_udf(run, returned)
+
+
+def _encoder(tokenizer: Tokenizer, pattern: str) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         split = regex.compile(pattern).findall
         whole = {token: i for i, token in enumerate(tokenizer.tokens) if token}
@@ -211,13 +222,15 @@ def encode(text: Column, tokenizer: Tokenizer, pattern: str = public_tokenizers.
                 out[i] = x
             yield pa.array(out, pa.binary())
 
-    ids = tidied(ids)
-    ids.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return arrow_udf(ids, "binary")(text)
+    return ids
 
 
 def decode(ids: Column, tokenizer: Tokenizer) -> Column:
     """The bytes that such ids stand for. Null for null; an id outside the vocabulary raises an error."""
+    return _udf(_decoder(tokenizer), "binary")(ids)
+
+
+def _decoder(tokenizer: Tokenizer) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
     tokens = tokenizer.tokens
 
     def data(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -227,9 +240,21 @@ def decode(ids: Column, tokenizer: Tokenizer) -> Column:
                 out = [x and b"".join(map(tokens.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in part]
                 yield pa.array(out, pa.binary())
 
-    data = tidied(data)
-    data.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return arrow_udf(data, "binary")(ids)
+    return data
+
+
+def coded(text: Column, tokenizer: Tokenizer, pattern: str = public_tokenizers.PATTERN) -> Column:
+    """``struct<ids, decoded>``: a text's ids and the bytes they decode to, in one pass and one Python worker a task."""
+    encoder, decoder = _encoder(tokenizer, pattern), _decoder(tokenizer)
+
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for ids in encoder(batches):
+            for at in range(0, len(ids), 500):
+                part = ids.slice(at, 500)
+                for decoded in decoder(iter([part])):
+                    yield pa.StructArray.from_arrays([part, decoded], ["ids", "decoded"])
+
+    return _udf(tidied(both), "struct<ids binary, decoded binary>")(text)
 
 
 def round_trip(documents: DataFrame, path: str = VOCABULARY) -> DataFrame:

@@ -10,6 +10,7 @@ The rate is stricter for short strings, whose tests have little power.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -21,9 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import StringType, StructField, StructType
 
-from buildlens.llm.common import raw, slices
+from buildlens.llm.common import raw, slices, tidied
 
 # fixed values: the patterns of the known kinds, in the order in which spans at one place are listed
 KINDS = ("assign", "access", "hex")
@@ -221,6 +221,11 @@ def threshold(counts: np.ndarray, size: int) -> float:
     return lowest / BINS
 
 
+def _least(documents: DataFrame, text: str) -> dict[tuple[str, int], float]:
+    runs = documents.select(F.explode(scan(F.col(text))["runs"]).alias("r"))
+    return thresholds(runs.select("r.encoding", (F.col("r.end") - F.col("r.start")).cast("long").alias("n"), "r.p", "r.key"))
+
+
 def find(documents: DataFrame, text: str = "text") -> DataFrame:
     """known, random, row for every row: its spans of the fixed patterns, and those that the tests add.
 
@@ -229,8 +234,7 @@ def find(documents: DataFrame, text: str = "text") -> DataFrame:
     scanned twice, as the thresholds need all candidates before any is judged: the first time only hashes of candidates,
     each once, leave a task.
     """
-    runs = documents.select(F.explode(scan(F.col(text))["runs"]).alias("r"))
-    least = thresholds(runs.select("r.encoding", (F.col("r.end") - F.col("r.start")).cast("long").alias("n"), "r.p", "r.key"))
+    least = _least(documents, text)
     scanned = documents.select(F.struct(*documents.columns).alias("row"), scan(F.col(text)).alias("s"))
 
     def taken(run: Column) -> Column:
@@ -276,28 +280,56 @@ def report(documents: DataFrame) -> DataFrame:
     )
 
 
-def masked(rows: DataFrame, text: str, spans: str, mark: str) -> DataFrame:
-    """``rows`` with ``clean``: the column ``text`` with ``mark`` in the place of its ``spans`` (start, end), ordered by
-    start; null where there are no spans. One pass over a text, however many spans it has.
-    """
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for own, found in zip(batch.column(text), batch.column(spans)):
-                if not own.is_valid or not found.is_valid or not len(found):
-                    out.append(None)
-                    continue
-                own, parts, at = own.as_py(), [], 0
-                for span in found.as_py():
-                    if span["start"] > at or not at:
-                        parts += [own[at : span["start"]], mark]
-                    at = max(at, span["end"])
-                out.append("".join([*parts, own[at:]]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, "clean"])
-
-    schema = StructType([*rows.schema.fields, StructField("clean", StringType())])
-    return rows.mapInArrow(cut, schema)
+def masked(text: str, spans: list[tuple[int, int]], mark: str) -> str:
+    """The text with ``mark`` in the place of spans that are in order; one pass, however many there are."""
+    parts, at = [], 0
+    for start, end in spans:
+        if start > at or not at:
+            parts += [text[at:start], mark]
+        at = max(at, end)
+    return "".join([*parts, text[at:]])
+
+
+def _mask(text: Column, least: dict[tuple[str, int], float], mark: str) -> Column:
+    """``struct<clean, n>``: texts with spans after masking, and their length; null for others."""
+
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in (part for batch in batches for part in slices(batch)):
+            out: list[str | None] = [None] * len(texts)
+            for i in _worth_reading(texts):
+                whole = texts[i].as_py()
+                spans = [x[:2] for x in known_spans(whole)]
+                known = _apart(spans)
+                for m in CANDIDATE.finditer(whole):
+                    if not (encoding := encoding_of(m.group())):
+                        continue
+                    bar = least.get((encoding, length_range(len(m.group()))), 2.0)
+                    if p_value(m.group(), encoding) >= bar and not _meets(known, *m.span()):
+                        spans.append(m.span())
+                if spans:
+                    out[i] = masked(whole, sorted(spans), mark)
+            sizes = pa.array([x if x is None else len(x) for x in out], pa.int64())
+            yield pa.StructArray.from_arrays([pa.array(out, pa.string()), sizes], ["clean", "n"])
+
+    clean = tidied(clean)
+    clean.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return arrow_udf(clean, "struct<clean string, n long>")(text)
+
+
+def _apart(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the spans cover, as spans in order that do not overlap."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def _meets(covered: list[tuple[int, int]], start: int, end: int) -> bool:
+    at = bisect.bisect_left(covered, (end,))
+    return at > 0 and covered[at - 1][1] > start
 
 
 def redact(documents: DataFrame, text: str = "text", mark: str = "[secret]", size: str = "n_chars") -> DataFrame:
@@ -305,15 +337,9 @@ def redact(documents: DataFrame, text: str = "text", mark: str = "[secret]", siz
 
     A column named ``size``, if there is one, gets the new length of changed texts. All rows stay.
     """
-    found = find(documents, text)
-    spans = F.array_sort(
-        F.transform(F.concat("known", "random"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
-    )
-    # texts without spans need not be handed on twice
-    own = F.when(F.size(spans) > 0, F.col(f"row.{text}"))
-    found = masked(found.select("row", own.alias("own"), spans.alias("spans")), "own", "spans", mark)
-    row = F.col("row").withField(text, F.coalesce("clean", f"row.{text}"))
+    found = documents.select(F.struct(*documents.columns).alias("row"))
+    found = found.withColumn("new", _mask(F.col(f"row.{text}"), _least(documents, text), mark))
+    row = F.col("row").withField(text, F.coalesce("new.clean", f"row.{text}"))
     if size in documents.columns:
-        kept = F.coalesce(F.length("clean").cast(documents.schema[size].dataType), F.col(f"row.{size}"))
-        row = row.withField(size, kept)
+        row = row.withField(size, F.coalesce(F.col("new.n").cast(documents.schema[size].dataType), F.col(f"row.{size}")))
     return found.select(row.alias("row")).select("row.*")

@@ -1,6 +1,7 @@
 """Whole results where an operator once gave less."""
 
 import base64
+import hashlib
 import math
 import random
 from fractions import Fraction
@@ -103,14 +104,27 @@ def test_any_number_of_languages(spark):
     assert language_id.fit(frame).languages == names
 
 
-def test_spans_that_touch_become_one_mark(spark):
+def test_spans_that_touch_become_one_mark():
     text = "ab\U0001f600 cd " * 3000
     spans = [(0, 2), (2, 4), (3, 6), *[(100 + 10 * k, 105 + 10 * k) for k in range(2000)], (len(text) - 1, len(text))]
-    frame = spark.createDataFrame(
-        [(1, text, spans), (2, text, []), (3, None, spans)], "id long, t string, s array<struct<start:int,end:int>>"
-    )
-    found = {r.id: r.clean for r in secret_scan.masked(frame, "t", "s", "#").collect()}
     plain, covered = [], set().union(*[range(a, b) for a, b in spans])
     for i, c in enumerate(text):
         plain.append(c if i not in covered else "" if i - 1 in covered else "#")
-    assert found == {1: "".join(plain), 2: None, 3: None}
+    assert secret_scan.masked(text, spans, "#") == "".join(plain)
+
+
+def test_masks_are_the_reported_spans(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = {r.doc_id: r.spans for r in secret_scan.report(docs).collect()}
+    clean = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    assert any(found.values())
+    for r in docs.collect():
+        spans = sorted(tuple(map(int, x.split(":")[1:])) for x in found[r.doc_id].split(",") if x)
+        assert clean[r.doc_id] == (secret_scan.masked(r.text, spans, "[secret]") if spans else r.text)
+
+
+def test_a_text_of_many_secrets(spark):
+    text = " ".join(f"password = {hashlib.sha256(str(i).encode()).hexdigest()}" for i in range(20_000))
+    frame = spark.createDataFrame([(1, text, len(text))], "doc_id long, text string, n_chars long")
+    row = secret_scan.redact(frame).first()
+    assert row.text.split() == ["[secret]"] * 20_000 and row.n_chars == len(row.text)
