@@ -9,31 +9,40 @@ from buildlens.llm import byte_bpe, language_id, mixing, near_duplicates, secret
 from buildlens.llm.common import table, written
 
 
+#: Rows that tasks and Python workers hand each other at once: texts may be long, and both sides hold a batch.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or of no clear language, go."""
+    spark.conf.set(*BATCH)
     return language_id.recognised(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: five-word shingles, similarity 0.8 or more."""
+    spark.conf.set(*BATCH)
     return near_duplicates.deduplicated(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts become a mark."""
+    spark.conf.set(*BATCH)
     return secret_scan.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are taken up to twice, so that the sources come to their target weights."""
+    spark.conf.set(*BATCH)
     return mixing.mix(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids (little-endian 32-bit), ids_sha256, and the digest of the decoded bytes."""
+    spark.conf.set(*BATCH)
     tokenizer = byte_bpe.load()
-    encoded = docs.select("doc_id", "lang", "source", byte_bpe.encode(F.col("text"), tokenizer).alias("ids"))
-    decoded = encoded.select("*", byte_bpe.decode(F.col("ids"), tokenizer).alias("decoded"))
+    coded = docs.select("doc_id", "lang", "source", byte_bpe.coded(F.col("text"), tokenizer).alias("coded"))
+    decoded = coded.select("doc_id", "lang", "source", "coded.*")
     return decoded.select(
         "doc_id",
         "lang",
