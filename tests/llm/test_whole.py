@@ -114,7 +114,7 @@ def test_spans_that_touch_become_one_mark():
 
 
 def test_masks_are_the_reported_spans(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet")
     found = {r.doc_id: r.spans for r in secret_scan.report(docs).collect()}
     clean = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
     assert any(found.values())
