@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -81,28 +82,77 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
-def _publish(spark: SparkSession, merged: DataFrame, path: str, partition: str) -> None:
+#: Distinct values of a key column in a batch up to which a table is asked for the values themselves.
+ASKED = 1000
+
+
+def key_filters(writer: DataFrameWriter, keys: list[str]) -> DataFrameWriter:
+    """Let the written files hold a Bloom filter of each key column, of a size that fits its values."""
+    for key in keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", True)
+    return writer.option("parquet.bloom.filter.adaptive.enabled", True)
+
+
+def _publish(spark: SparkSession, merged: DataFrame, path: str, partition: str, keys: list[str]) -> None:
     """Replace the partitions that ``merged``, a written table, holds; Spark's committer moves them in. Can be repeated."""
-    writer = merged.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition)
+    # in the order of the keys, so that files and row groups have narrow ranges of them
+    ordered = merged.hint("rebalance", partition).sortWithinPartitions(partition, *keys)
+    writer = key_filters(ordered.write.mode("overwrite").partitionBy(partition), keys)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def recover(spark: SparkSession, path: str, partition: str = "created_date") -> int:
+def near(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of a table that could have a key of ``batch``, a written table: by the range of each key column and, if
+    the batch has few values of it, by these. Parquet skips files and row groups by range and by Bloom filter.
+    """
+    few = F.array_sort(F.collect_set("value"))
+    for key in keys:
+        values = batch.select(F.col(key).alias("value")).filter("value IS NOT NULL").distinct()
+        least, most, count = values.agg(F.min("value"), F.max("value"), F.count("*")).first()
+        if not count:
+            return target.limit(0)
+        if count <= ASKED:
+            target = target.filter(F.col(key).isin(values.agg(few).first()[0]))
+        else:
+            target = target.filter(F.col(key).between(F.lit(least), F.lit(most)))
+    return target
+
+
+@contextlib.contextmanager
+def _values_pushed(spark: SparkSession) -> Iterator[None]:
+    """Push lists of up to ASKED values to Parquet, where their Bloom filters are; Spark pushes ranges of longer lists."""
+    name = "spark.sql.parquet.pushdown.inFilterThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ASKED)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def recover(spark: SparkSession, path: str, partition: str = "created_date", keys: list[str] | None = None) -> int:
     """Finish the merges into a table that were cut off after their result was written; returns how many."""
     base = path.rstrip("/")
     fs, pattern = _path(spark, f"{base}__merge-*/merged/_SUCCESS")
     done = fs.globStatus(pattern) or []
     for entry in done:
         folder = entry.getPath().getParent().toString()
-        _publish(spark, spark.read.parquet(folder), base, partition)
+        _publish(spark, spark.read.parquet(folder), base, partition, keys or [])
         remove(spark, folder.rpartition("/")[0])
     return len(done)
 
 
-def read_table(spark: SparkSession, path: str, like: StructType, partition: str) -> DataFrame:
-    """A partitioned table with the columns it has and those of ``like``; the partition is read as the type that it has
-    in ``like``, whatever its values look like."""
-    held = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(path).schema
+def held_columns(spark: SparkSession, path: str) -> StructType:
+    """The columns that any file of a table has: reads all their footers."""
+    return spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(path).schema
+
+
+def read_table(
+    spark: SparkSession, path: str, like: StructType, partition: str, held: StructType | None = None
+) -> DataFrame:
+    """A partitioned table with the columns it has (``held``, where known) and those of ``like``; the partition is read as
+    the type that it has in ``like``, whatever its values look like."""
+    held = held or held_columns(spark, path)
     more = [f for f in like.fields if f.name not in held.names]
     return spark.read.schema(StructType([*held.fields, *more])).parquet(path)
 
@@ -116,25 +166,30 @@ def upsert_path(
     fixed_partition: bool = False,
     combine: Callable[[DataFrame, DataFrame, list[str]], DataFrame] = upsert,
     evolve: bool = False,
+    schema: StructType | None = None,
 ) -> None:
     """Upsert into a Parquet table, rewriting only the partitions the source touches.
 
     ``source`` holds one row per key; ``combine`` merges it with the touched partitions. Columns that the table lacks are
     refused, unless ``evolve`` adds them; columns that the source lacks become NULL in its rows.
 
-    A key stays in the partition it was first written to. Finding that partition reads the key columns of the whole
-    table; ``fixed_partition`` skips this when a key's partition never changes. Everything is staged beside the table in
+    A key stays in the partition it was first written to. Finding that partition reads the key columns of the files whose
+    ranges and Bloom filters admit a key of the source; ``fixed_partition`` skips this when a key's partition never changes.
+    Where the table's columns are known, ``schema`` spares a look into all its files. Everything is staged beside the table in
     a folder of the run's own, so the plan never overwrites what it reads, and a run cut off while partitions are
     replaced is finished by the next one. Of two runs at once the later wins in the partitions that both touch.
     """
     base = path.rstrip("/")
-    recover(spark, base, partition)
+    recover(spark, base, partition, keys)
     stage = f"{base}__merge-{uuid.uuid4().hex}"
     target = None
     if exists(spark, base):
-        target = read_table(spark, base, source.schema, partition)
-        held = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(base).columns
-        extra = [c for c in source.columns if c not in held and c != partition]
+        held = schema or held_columns(spark, base)
+        if schema is None:
+            target = read_table(spark, base, source.schema, partition, held)
+        else:
+            target = spark.read.schema(schema).parquet(base)
+        extra = [c for c in source.columns if c not in held.names and c != partition]
         if extra and not evolve:
             raise ValueError(f"columns not in the table: {extra}")
     # written once: it is read for its keys, for its partitions, for the anti-join and the union, and a small batch is
@@ -146,7 +201,8 @@ def upsert_path(
         return
     if target is not None and not fixed_partition:
         homes = target.select(*keys, F.col(partition).alias("_home"), F.lit(True).alias("_known"))
-        homes.join(source.select(*keys), keys, "left_semi").write.parquet(f"{stage}/homes")
+        with _values_pushed(spark):
+            near(homes, source, keys).join(source.select(*keys), keys, "left_semi").write.parquet(f"{stage}/homes")
         source = source.join(spark.read.schema(homes.schema).parquet(f"{stage}/homes"), keys, "left")
         # a known key's home can be the NULL partition
         home = F.when(F.col("_known"), F.col("_home")).otherwise(F.col(partition))
@@ -160,5 +216,5 @@ def upsert_path(
         lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields if f.name not in source.columns]
         source = combine(old, source.select("*", *lacking).select(*target.columns), keys)
     source.write.parquet(f"{stage}/merged")
-    _publish(spark, spark.read.schema(source.schema).parquet(f"{stage}/merged"), base, partition)
+    _publish(spark, spark.read.schema(source.schema).parquet(f"{stage}/merged"), base, partition, keys)
     remove(spark, stage)

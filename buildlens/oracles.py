@@ -224,6 +224,11 @@ def _first_line(order: str) -> str:
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {order}) AS rn FROM lineitem) WHERE rn = 1"""
 
 
+# the lines in the order of three loads, A, N and R: rn counts from the last one, place from the first
+_LOADED = f"""SELECT *,
+  row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_returnflag DESC, {_NEWEST}) AS rn,
+  row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_returnflag, {_NEWEST}) AS place FROM lineitem"""
+
 _LATE = f"""WITH flagged AS (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_returnflag = 'R' ORDER BY {_NEWEST}) AS rn
   FROM lineitem),
@@ -485,6 +490,12 @@ ORACLES: dict[str, str] = {
       WHERE o_orderkey % 3 IN (1, 2)""",
     "bronze_upsert": """SELECT DISTINCT l_orderkey, l_linenumber, lpad(CAST(l_orderkey % 12 AS VARCHAR), 2, '0') AS bucket,
       CASE WHEN l_linenumber <= 2 THEN 'second' ELSE 'first' END AS state FROM lineitem""",
+    "bronze_delta": f"""SELECT lines.* EXCLUDE (rn, place), lpad(CAST(l_orderkey % 12 AS VARCHAR), 2, '0') AS bucket, stage
+      FROM ({_LOADED}) AS lines, (VALUES ('loaded'), ('compacted')) AS stages(stage) WHERE rn = 1""",
+    # a line stays in the month that the first load with it gave it
+    "upsert_by_filter": f"""SELECT lines.* EXCLUDE (rn, place), first.month FROM ({_LOADED}) AS lines
+      JOIN (SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m') AS month FROM ({_LOADED}) WHERE place = 1) AS first
+      USING (l_orderkey, l_linenumber) WHERE rn = 1""",
     "latest_attempts": _with(_RUNS)
     + """ SELECT workflow_run_id, workflow_run_id % 3 + 1 AS run_attempt, status,
       workflow_run_id || '_' || (workflow_run_id % 3 + 1) AS composite_key FROM runs""",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from buildlens import samples, schemas
 from buildlens.functions import payload, scalars
-from buildlens.operators import classify, dedupe, merge, quality
+from buildlens.operators import classify, dedupe, delta, merge, quality
 from buildlens.plans import bronze, build, gold, insight, refresh, silver
 from buildlens.session import scratch_dir
 from buildlens.sources import lake
@@ -475,6 +475,40 @@ def bronze_upsert(spark, sf):
     return merge.read_table(spark, path, first.schema, "bucket")
 
 
+def _line_loads(spark, sf):
+    """All lines as three loads, one for each return flag, one row per key; the last one wins."""
+    lines = samples.table(spark, sf, "lineitem").withColumn("bucket", F.lpad((F.col("l_orderkey") % 12).cast("string"), 2, "0"))
+    for flag in "ANR":
+        yield dedupe.latest_per_key(lines.filter(F.col("l_returnflag") == flag), samples.LINE_KEYS, samples.line_order())
+
+
+@query
+def bronze_delta(spark, sf):
+    """Three appended loads, the first compacted, read between load and compaction and after it."""
+    path, found = f"{scratch_dir(spark, 'delta')}/lines", []
+    for i, load in enumerate(_line_loads(spark, sf)):
+        delta.append(spark, path, load, load.schema, samples.LINE_KEYS)
+        if not i:
+            delta.compact(spark, path, load.schema, samples.LINE_KEYS, "bucket")
+    for stage in ("loaded", "compacted"):
+        rows = delta.read(spark, path, load.schema, samples.LINE_KEYS, "bucket").withColumn("stage", F.lit(stage))
+        # written, as compaction takes away what the first reading reads
+        rows.write.parquet(f"{path}-{stage}")
+        found.append(spark.read.schema(rows.schema).parquet(f"{path}-{stage}"))
+        delta.compact(spark, path, load.schema, samples.LINE_KEYS, "bucket")
+    return found[0].unionByName(found[1])
+
+
+@query
+def upsert_by_filter(spark, sf):
+    """Loads merged into a table kept by month of shipping; the partition of a known line is found by the files' filters."""
+    path = f"{scratch_dir(spark, 'filters')}/lines"
+    for load in _line_loads(spark, sf):
+        load = load.withColumn("month", F.date_format("l_shipdate", "yyyy-MM")).drop("bucket")
+        merge.upsert_path(spark, path, load, samples.LINE_KEYS, "month", schema=load.schema)
+    return spark.read.schema(load.schema).parquet(path)
+
+
 @query
 def latest_attempts(spark, sf):
     """Runs of one to three attempts; the highest stands for the run."""
