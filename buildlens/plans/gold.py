@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from buildlens import schemas
@@ -13,8 +13,11 @@ from buildlens.operators.joins import join_grouped
 RUN_LABELS = ["workflow_name", "head_branch", "head_sha", "triggered_by", "event_type"]
 
 
-def fct_workflow_runs(runs: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Runs with job counts. Without jobs ``total_jobs`` stays NULL while the other counts are 0."""
+def fct_workflow_runs(runs: DataFrame, jobs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Runs with job counts. Without jobs ``total_jobs`` stays NULL while the other counts are 0.
+
+    ``carry`` here and below names run columns to keep beside those of the table.
+    """
     per_run = jobs.groupBy("workflow_run_id").agg(
         F.count("job_id").alias("total_jobs"),
         F.count_if(F.col("conclusion") == "success").alias("successful_jobs"),
@@ -23,11 +26,11 @@ def fct_workflow_runs(runs: DataFrame, jobs: DataFrame) -> DataFrame:
         F.max("completed_at").alias("last_job_completed_at"),
     )
     base = ["workflow_run_id", "workflow_name", "head_branch", "head_sha", "event_type", "status", "conclusion",
-            "triggered_by", "run_attempt", "created_at", "updated_at"]
+            "triggered_by", "run_attempt", "created_at", "updated_at", *carry]
     joined = join_grouped(runs.select(*base), per_run, ["workflow_run_id"], "left")
     failed = F.coalesce("failed_jobs", F.lit(0).cast("bigint"))
     return joined.select(
-        *base,
+        *[c for c in base if c not in carry],
         "total_jobs",
         F.coalesce("successful_jobs", F.lit(0).cast("bigint")).alias("successful_jobs"),
         failed.alias("failed_jobs"),
@@ -37,6 +40,7 @@ def fct_workflow_runs(runs: DataFrame, jobs: DataFrame) -> DataFrame:
             "total_execution_duration_seconds"
         ),
         (failed > 0).alias("has_job_failure"),
+        *carry,
     )
 
 
@@ -52,10 +56,12 @@ def _step_columns(steps: DataFrame) -> DataFrame:
     )
 
 
-def fct_step_executions(steps: DataFrame, jobs: DataFrame, runs: DataFrame) -> DataFrame:
+def fct_step_executions(
+    steps: DataFrame, jobs: DataFrame, runs: DataFrame, carry: tuple[str, ...] = ()
+) -> DataFrame:
     # jobs meet their run first: the steps, by far the largest side, are then shuffled once
     owners = jobs.select("job_id", "workflow_run_id", "job_name", "runner_name").join(
-        runs.select("workflow_run_id", *RUN_LABELS), "workflow_run_id"
+        runs.select("workflow_run_id", *RUN_LABELS, *carry), "workflow_run_id"
     )
     joined = _step_columns(steps).join(owners, "job_id")
     return joined.select(
@@ -72,11 +78,12 @@ def fct_step_executions(steps: DataFrame, jobs: DataFrame, runs: DataFrame) -> D
         "job_name",
         "runner_name",
         *RUN_LABELS,
+        *carry,
     )
 
 
 def int_failure_events(
-    steps: DataFrame, jobs: DataFrame, runs: DataFrame, failed_steps_only: bool = False
+    steps: DataFrame, jobs: DataFrame, runs: DataFrame, failed_steps_only: bool = False, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """Steps that failed or whose job failed, with the names of job and run.
 
@@ -89,13 +96,69 @@ def int_failure_events(
         failed = failed | F.col("_failed_job")
     # filtered between the joins, so that only failures are shuffled to their run
     events = _step_columns(steps).join(owners, "job_id").filter(failed).drop("_failed_job")
-    joined = events.join(runs.select("workflow_run_id", *RUN_LABELS), "workflow_run_id")
-    return joined.select(*_step_columns(steps).columns, "workflow_run_id", "job_name", "runner_name", *RUN_LABELS)
+    joined = events.join(runs.select("workflow_run_id", *RUN_LABELS, *carry), "workflow_run_id")
+    return joined.select(*_step_columns(steps).columns, "workflow_run_id", "job_name", "runner_name", *RUN_LABELS, *carry)
 
 
-def fct_actionable_failures(events: DataFrame, rules: tuple[schemas.NameRule, ...] = schemas.NAME_RULES) -> DataFrame:
+def fct_actionable_failures(
+    events: DataFrame, rules: tuple[schemas.NameRule, ...] = schemas.NAME_RULES, carry: tuple[str, ...] = ()
+) -> DataFrame:
     named = events.withColumn("failure_reason", F.coalesce("step_conclusion", F.lit("failure")))
-    return classify.classify_by_names(named, rules).select(*schemas.ACTIONABLE_SCHEMA.fieldNames())
+    return classify.classify_by_names(named, rules).select(*schemas.ACTIONABLE_SCHEMA.fieldNames(), *carry)
+
+
+def _days_of(rows: DataFrame, keys: list[str], counted: dict[str, str], day: str, *more: Column) -> DataFrame:
+    """Per key and day: how many distinct values of each column of ``counted`` (result name: column) came up with the key
+    for the first time on that day, and other aggregates. The counts of all days add up to those of the key."""
+    parts = rows.groupBy(*keys, day).agg(*more)
+    for name, column in counted.items():
+        firsts = rows.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.min(day).alias(day))
+        own = firsts.groupBy(*[F.col(c).alias(f"_{c}") for c in (*keys, day)]).agg(F.count("*").alias("_first"))
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*keys, day)]
+        count = F.coalesce("_first", F.lit(0)).cast("bigint").alias(name)
+        parts = parts.join(own, same, "left").select(*parts.columns, count)
+    return parts
+
+
+def repository_days(runs: DataFrame, day: str = "created_date") -> DataFrame:
+    """What :func:`dim_repositories` needs of each day; days are merged by :func:`repositories_of`."""
+    seen = F.min("created_at").alias("first_seen_at"), F.max("created_at").alias("last_seen_at")
+    return _days_of(runs, ["workflow_name", "head_branch"], {"total_runs": "workflow_run_id"}, day, *seen)
+
+
+def repositories_of(days: DataFrame) -> DataFrame:
+    return days.groupBy("workflow_name", "head_branch").agg(
+        F.sum("total_runs").alias("total_runs"),
+        F.min("first_seen_at").alias("first_seen_at"),
+        F.max("last_seen_at").alias("last_seen_at"),
+    )
+
+
+def commit_days(runs: DataFrame, day: str = "created_date") -> DataFrame:
+    """What :func:`dim_commits` needs of each day; days are merged by :func:`commits_of`."""
+    seen = F.min("created_at").alias("first_commit_run_at"), F.max("created_at").alias("last_commit_run_at")
+    keys = ["head_sha", "head_branch", "triggered_by"]
+    return _days_of(runs.filter(F.col("head_sha").isNotNull()), keys, {"total_runs": "workflow_run_id"}, day, *seen)
+
+
+def commits_of(days: DataFrame) -> DataFrame:
+    return days.groupBy("head_sha", "head_branch", "triggered_by").agg(
+        F.sum("total_runs").alias("total_runs"),
+        F.min("first_commit_run_at").alias("first_commit_run_at"),
+        F.max("last_commit_run_at").alias("last_commit_run_at"),
+    )
+
+
+def error_days(failed_logs: DataFrame, day: str = "created_date") -> DataFrame:
+    """What :func:`dim_error_categories` needs of each day; days are merged by :func:`errors_of`."""
+    reasons = failed_logs.filter(F.col("failure_reason").isNotNull())
+    counted = {"affected_workflow_runs": "workflow_run_id", "affected_jobs": "job_id"}
+    return _days_of(reasons, ["failure_reason"], counted, day, F.count("*").alias("total_occurrences"))
+
+
+def errors_of(days: DataFrame) -> DataFrame:
+    counts = ("affected_workflow_runs", "affected_jobs", "total_occurrences")
+    return days.groupBy("failure_reason").agg(*[F.sum(c).alias(c) for c in counts])
 
 
 def dim_repositories(runs: DataFrame) -> DataFrame:

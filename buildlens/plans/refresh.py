@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from buildlens.operators import classify, merge, quality
-from buildlens.plans import bronze, build
+from buildlens.plans import bronze, build, incremental
+from buildlens.session import scratch_dir
 
 
 def triage(
@@ -41,6 +43,7 @@ def refresh(
     until: date | None = None,
     stop_on_failed_checks: bool = False,
     jobs_entity: str | None = None,
+    incremental: bool = False,
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
     """Load the lake into bronze, rebuild all tables, run the checks and classify the rest.
 
@@ -48,7 +51,16 @@ def refresh(
     rows that could not be loaded, of all rounds. Returns the tables, the results and these rows. ``stop_on_failed_checks`` raises an
     error instead of classifying when a check fails. ``jobs_entity`` names the lake's entity that holds the jobs, where
     they were fetched by themselves; else they are in the runs' payloads.
+
+    ``incremental`` rebuilds the days of the loaded runs only (the others' files stay as they are), with the same tables as
+    a result; a home is kept either way from its first round on. Jobs must then be in the payloads. A job or step with an
+    unreadable field is then set aside too, instead of failing the round.
     """
+    if incremental:
+        if jobs_entity:
+            raise ValueError("jobs of an entity of their own are not built by days")
+        tables, rejected = _refresh_days(spark, lake_root, home, attempts, failed_steps_only, since, until)
+        return _finished(spark, tables, home, classifier, stop_on_failed_checks, rejected)
     rejected = bronze.load(spark, lake_root, f"{home}/bronze", since=since, until=until)
     landed = None
     if jobs_entity:
@@ -57,9 +69,48 @@ def refresh(
         landed = bronze.read(spark, f"{home}/bronze_{jobs_entity}")
     typed = build.from_bronze(bronze.read(spark, f"{home}/bronze"), attempts, landed)
     tables = build.build_all(spark, typed, f"{home}/tables", failed_steps_only)
+    return _finished(spark, tables, home, classifier, stop_on_failed_checks, rejected)
+
+
+def _finished(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    home: str,
+    classifier: classify.Classifier,
+    stop_on_failed_checks: bool,
+    rejected: DataFrame,
+) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
+    """Check the tables, and classify what the rules left."""
     checks = build.write(quality.run_suite(tables), f"{home}/checks", "checks")
     if stop_on_failed_checks and not (failed := checks.filter("status = 'fail'")).isEmpty():
         raise RuntimeError(f"failed checks: {sorted(row['check_name'] for row in failed.collect())}")
     done = triage(spark, tables["fct_actionable_failures"], classifier, f"{home}/answers")
     tables["classified_failures"] = build.write(done, f"{home}/tables/classified_failures", "classified_failures")
     return tables, checks, rejected
+
+
+def _refresh_days(
+    spark: SparkSession,
+    lake_root: str,
+    home: str,
+    attempts: str,
+    failed_steps_only: bool,
+    since: date | None,
+    until: date | None,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Load, then rebuild the days of the runs that this round, or one that died before its end, has loaded."""
+    notes, path = f"{home}/touched", f"{home}/bronze"
+    bronze.load(spark, lake_root, path, since=since, until=until, touched=notes)
+    held = bronze.read(spark, path)
+    folders = incremental.noted(spark, notes)
+    staged = scratch_dir(spark, "touched")
+    spark.read.schema("run_id bigint").parquet(*folders).distinct().write.parquet(staged)
+    runs = spark.read.schema("run_id bigint").parquet(staged)
+    days = incremental.touched_days(spark, held, runs, f"{home}/ties")
+    tables, lost = incremental.build_days(spark, held, f"{home}/tables", days, attempts, failed_steps_only)
+    # one folder for a round's days: a job that stays broken is set aside again whenever its day is built
+    lost.write.parquet(f"{bronze.beside(path)}/batch=build-{uuid.uuid4().hex}")
+    for folder in folders:
+        merge.remove(spark, f"{folder}/_SUCCESS")
+        merge.remove(spark, folder)
+    return tables, bronze.quarantined(spark, bronze.beside(path))

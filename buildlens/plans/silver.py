@@ -43,10 +43,10 @@ def split_unreadable(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     return bronze.filter(~unreadable()), bronze.filter(unreadable())
 
 
-def unreadable(payload_column: str = "raw_payload") -> Column:
-    """Whether a typed run field is there but cannot be read."""
+def unreadable(payload_column: str = "raw_payload", typed: dict[str, str] = TYPED) -> Column:
+    """Whether a typed field, of a run if not told otherwise, is there but cannot be read."""
     broken = F.lit(False)
-    for path, kind in TYPED.items():
+    for path, kind in typed.items():
         given = field(payload_column, path, "variant", strict=False)
         given = given.isNotNull() & ~F.is_variant_null(given)
         broken = broken | (given & field(payload_column, path, kind, strict=False).isNull())
@@ -73,12 +73,26 @@ def workflow_runs(bronze: DataFrame, attempts: str = "all", lineage: tuple[str,
     return typed.filter(F.col("workflow_run_id").isNotNull())
 
 
-def jobs(bronze: DataFrame, synthesize: bool = True, attempts: str = "all") -> DataFrame:
+# Job and step fields with such a type.
+JOB_TYPED = {"id": "bigint", "started_at": payload.TIMESTAMP, "completed_at": payload.TIMESTAMP}
+STEP_TYPED = {"number": "bigint", "started_at": payload.TIMESTAMP, "completed_at": payload.TIMESTAMP}
+
+
+def jobs(
+    bronze: DataFrame,
+    synthesize: bool = True,
+    attempts: str = "all",
+    carry: tuple[str, ...] = (),
+    strict: bool = True,
+) -> DataFrame:
     """One row per job. With ``synthesize`` a run without jobs counts as one job with one step.
 
     A missing ``jobs`` list, JSON null and an empty list all give one job that stands for the run. A
     job field that is missing or null falls back to the run's. A job without a ``steps`` key gets one
-    step made from the run, while ``steps: null`` and ``[]`` stay without steps.
+    step made from the run, while ``steps: null`` and ``[]`` stay without steps. ``carry`` names bronze columns to keep.
+
+    A typed field that cannot be read fails the job, as a strict cast should. Not ``strict``, it reads as missing, and
+    ``reject`` holds the text of such a job, for :func:`split_rejected`.
     """
     p = "raw_payload"
     # run fields are read once per run, before its jobs multiply the row
@@ -92,15 +106,26 @@ def jobs(bronze: DataFrame, synthesize: bool = True, attempts: str = "all") -> D
         field(p, "jobs", "variant").alias("_jobs"),
         "source_file_name",
         "loaded_at",
+        *carry,
     )
     if not synthesize:
         exploded = payload.explode(run, "_jobs", "_job")
-        return _job_columns(exploded, lambda own, _: own, field("_job", "steps", "variant"), lambda own, _: own)
+        return _job_columns(exploded, lambda own, _: own, field("_job", "steps", "variant"), lambda own, _: own, carry, strict)
     whole = F.coalesce("_jobs", F.parse_json(F.lit("[{}]")))
     exploded = payload.explode(run.withColumn("_jobs", whole), "_jobs", "_job", outer=True)
     stand_in = run_as_step("run_name", "run_status", "run_conclusion", "run_started", "run_updated")
     steps = F.coalesce(field("_job", "steps", "variant"), stand_in)
-    return _job_columns(exploded, F.coalesce, steps, F.coalesce)
+    return _job_columns(exploded, F.coalesce, steps, F.coalesce, carry, strict)
+
+
+def split_rejected(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(jobs or steps that were read, without ``reject``; those with an unreadable field)."""
+    return rows.filter("reject IS NULL").drop("reject"), rows.filter("reject IS NOT NULL")
+
+
+def _unread(element: str, typed: dict[str, str]) -> Column:
+    """The text of an element that has a typed field which is there but cannot be read, else NULL."""
+    return F.when(unreadable(element, typed), F.to_json(element)).alias("reject")
 
 
 def run_as_step(name: str, status: str, conclusion: str, started: str, completed: str) -> Column:
@@ -116,45 +141,58 @@ def run_as_step(name: str, status: str, conclusion: str, started: str, completed
     return F.to_variant_object(F.array(step))
 
 
-def _job_columns(exploded: DataFrame, fallback, steps: Column, default) -> DataFrame:
+def _job_columns(
+    exploded: DataFrame, fallback, steps: Column, default, carry: tuple[str, ...] = (), strict: bool = True
+) -> DataFrame:
     j = "_job"
+
+    def typed_field(path: str) -> Column:
+        return field(j, path, JOB_TYPED[path], strict)
+
     typed = exploded.select(
         "workflow_run_id",
-        fallback(field(j, "id", "bigint"), F.col("workflow_run_id")).alias("job_id"),
+        fallback(typed_field("id"), F.col("workflow_run_id")).alias("job_id"),
         default(fallback(field(j, "name"), F.col("run_name")), F.lit(schemas.DEFAULT_JOB_NAME)).alias("job_name"),
         fallback(field(j, "status"), F.col("run_status")).alias("status"),
         fallback(field(j, "conclusion"), F.col("run_conclusion")).alias("conclusion"),
-        fallback(field(j, "started_at", payload.TIMESTAMP), F.col("run_started").cast(payload.TIMESTAMP)).alias("started_at"),
-        fallback(field(j, "completed_at", payload.TIMESTAMP), F.col("run_updated").cast(payload.TIMESTAMP)).alias(
-            "completed_at"
-        ),
+        fallback(typed_field("started_at"), F.col("run_started").cast(payload.TIMESTAMP)).alias("started_at"),
+        fallback(typed_field("completed_at"), F.col("run_updated").cast(payload.TIMESTAMP)).alias("completed_at"),
         default(field(j, "runner_name"), F.lit(schemas.DEFAULT_RUNNER)).alias("runner_name"),
         steps.alias("raw_steps_array"),
         "source_file_name",
         "loaded_at",
+        *carry,
+        *([] if strict else [_unread(j, JOB_TYPED)]),
     )
     return typed.filter(F.col("job_id").isNotNull())
 
 
-def steps(jobs: DataFrame) -> DataFrame:
-    """One row per numbered step. Elements without a number are dropped, so an inner explode is enough."""
+def steps(jobs: DataFrame, carry: tuple[str, ...] = (), strict: bool = True) -> DataFrame:
+    """One row per numbered step. Elements without a number are dropped, so an inner explode is enough.
+
+    ``carry`` names job columns to keep; ``strict`` as for :func:`jobs`.
+    """
     s = "_step"
-    exploded = payload.explode(jobs.select("job_id", "workflow_run_id", "raw_steps_array"), "raw_steps_array", s)
+    kept = jobs.select("job_id", "workflow_run_id", "raw_steps_array", *carry)
+    exploded = payload.explode(kept, "raw_steps_array", s)
     typed = exploded.select(
         "job_id",
         "workflow_run_id",
-        field(s, "number", "bigint").alias("step_number"),
+        field(s, "number", "bigint", strict).alias("step_number"),
         field(s, "name").alias("step_name"),
         field(s, "status").alias("status"),
         field(s, "conclusion").alias("conclusion"),
-        field(s, "started_at", payload.TIMESTAMP).alias("started_at"),
-        field(s, "completed_at", payload.TIMESTAMP).alias("completed_at"),
+        field(s, "started_at", payload.TIMESTAMP, strict).alias("started_at"),
+        field(s, "completed_at", payload.TIMESTAMP, strict).alias("completed_at"),
+        *carry,
+        *([] if strict else [_unread(s, STEP_TYPED)]),
     )
-    numbered = typed.filter(F.col("step_number").isNotNull())
+    known = F.col("step_number").isNotNull()
+    numbered = typed.filter(known if strict else known | F.col("reject").isNotNull())
     return numbered.withColumn("duration_seconds", scalars.duration_seconds(F.col("started_at"), F.col("completed_at")))
 
 
-def failed_logs(steps: DataFrame) -> DataFrame:
+def failed_logs(steps: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Steps that neither succeeded nor were skipped; without a conclusion the status decides."""
     conclusion = F.col("conclusion")
     unfinished = conclusion.isNull() & (F.col("status") == "failure")
@@ -168,6 +206,7 @@ def failed_logs(steps: DataFrame) -> DataFrame:
         "duration_seconds",
         "started_at",
         "completed_at",
+        *carry,
     )
 
 
