@@ -496,6 +496,25 @@ ORACLES: dict[str, str] = {
     "upsert_by_filter": f"""SELECT lines.* EXCLUDE (rn, place), first.month FROM ({_LOADED}) AS lines
       JOIN (SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m') AS month FROM ({_LOADED}) WHERE place = 1) AS first
       USING (l_orderkey, l_linenumber) WHERE rn = 1""",
+    "refresh_incremental": _with(_LINES, _NESTED)
+    + """, runs AS (
+      SELECT run_id AS workflow_run_id, run_name AS workflow_name, c_mktsegment AS head_branch, 'sha' || o_custkey AS head_sha,
+        'push' AS event_type, run_status AS status, run_conclusion AS conclusion, c_name AS triggered_by,
+        CAST(1 AS BIGINT) AS run_attempt, run_started AS created_at, run_updated AS updated_at FROM n_runs),
+      jobs AS (
+      SELECT workflow_run_id, job_id, conclusion, started_at, completed_at FROM n_jobs
+      UNION ALL SELECT run_id, run_id, run_conclusion, run_started, run_updated FROM n_alone),"""
+    + _FCT_RUNS
+    + " SELECT * FROM fct_runs",
+    "quarantine_jobs": _with(_LINES, _NESTED)
+    + """, steps AS (
+      SELECT run_id, CASE WHEN run_id % 50 = 0 THEN NULL WHEN run_id % 50 = 4 AND number = 1 THEN 'rejected' ELSE 'read' END AS outcome
+      FROM n_lines JOIN (VALUES (1, 1), (1, 2), (2, 1), (2, 2), (7, 1)) AS listed(line, number) ON l_linenumber = line
+      UNION ALL SELECT run_id, 'read' FROM n_lines WHERE l_linenumber = 5 AND run_id % 50 <> 0
+      UNION ALL SELECT run_id, 'read' FROM n_alone)
+      SELECT 'job' AS level, CASE WHEN workflow_run_id % 50 = 0 THEN 'rejected' ELSE 'read' END AS outcome, count(*) AS n
+      FROM (SELECT workflow_run_id FROM n_jobs UNION ALL SELECT 1 FROM n_alone) GROUP BY 2
+      UNION ALL SELECT 'step', outcome, count(*) FROM steps WHERE outcome IS NOT NULL GROUP BY 2""",
     "latest_attempts": _with(_RUNS)
     + """ SELECT workflow_run_id, workflow_run_id % 3 + 1 AS run_attempt, status,
       workflow_run_id || '_' || (workflow_run_id % 3 + 1) AS composite_key FROM runs""",
@@ -540,3 +559,6 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'assigned_team', count(*) FILTER (length(p_name) > 100) FROM part
       UNION ALL SELECT 'recommended_fix', count(*) FILTER (length(repeat(p_name, 30)) > 500) FROM part""",
 }
+
+ORACLES["dim_commits_by_days"] = ORACLES["dim_commits"]
+ORACLES["dim_error_categories_by_days"] = ORACLES["dim_error_categories"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from buildlens import samples, schemas
 from buildlens.functions import payload, scalars
 from buildlens.operators import classify, dedupe, delta, merge, quality
-from buildlens.plans import bronze, build, gold, insight, refresh, silver
+from buildlens.plans import bronze, build, gold, incremental, insight, refresh, silver
 from buildlens.session import scratch_dir
 from buildlens.sources import lake
 from buildlens.streaming import ingest, status
@@ -509,6 +510,55 @@ def upsert_by_filter(spark, sf):
     return spark.read.schema(load.schema).parquet(path)
 
 
+@query
+def refresh_incremental(spark, sf):
+    """All runs built once, one year of them still queued; then that year's runs arrive, and its tables are built anew."""
+    base = scratch_dir(spark, "rounds")
+    rows = samples.nested_bronze(spark, sf).withColumn("created_date", F.trunc("created_date", "year"))
+    late = F.year("created_date") == 1995
+    queued = F.parse_json(F.to_json(F.struct(F.col("run_id").alias("id"), "run_attempt", F.lit("queued").alias("status"))))
+    first = rows.withColumn("raw_payload", F.when(late, queued).otherwise(F.col("raw_payload")))
+    for number, batch in enumerate((first, rows.filter(late))):
+        merge.upsert_path(spark, f"{base}/bronze", batch, schemas.BRONZE_KEYS, schema=rows.schema)
+        batch.select("run_id").write.parquet(f"{base}/runs-{number}")
+        held = spark.read.schema(rows.schema).parquet(f"{base}/bronze")
+        runs = spark.read.parquet(f"{base}/runs-{number}")
+        days = incremental.touched_days(spark, held, runs, f"{base}/ties")
+        tables, _ = incremental.build_days(spark, held, f"{base}/tables", days)
+    return tables["fct_workflow_runs"]
+
+
+@query
+def dim_commits_by_days(spark, sf):
+    runs = samples.runs(spark, sf).withColumn("created_date", F.to_date("created_at"))
+    return gold.commits_of(gold.commit_days(runs))
+
+
+@query
+def dim_error_categories_by_days(spark, sf):
+    """Runs and jobs that fail on several days count once."""
+    steps = samples.s_steps(spark, sf).withColumn("created_date", F.to_date("started_at"))
+    return gold.errors_of(gold.error_days(silver.failed_logs(steps, ("created_date",))))
+
+
+@query
+def quarantine_jobs(spark, sf):
+    """Jobs whose start, and steps whose number cannot be read: what is typed and what is set aside."""
+    n, text = F.col("run_id") % 50, F.to_json("raw_payload")
+    broken = F.when(n == 0, F.regexp_replace(text, '"started_at":"[^"]*"', '"started_at":"soon"')).when(
+        n == 4, F.regexp_replace(text, '"number":1', '"number":"first"')
+    )
+    rows = samples.nested_bronze(spark, sf).withColumn("raw_payload", F.coalesce(F.parse_json(broken), F.col("raw_payload")))
+    jobs, lost_jobs = silver.split_rejected(silver.jobs(rows, strict=False))
+    steps, lost_steps = silver.split_rejected(silver.steps(jobs, strict=False))
+    parts = {("job", "read"): jobs, ("job", "rejected"): lost_jobs, ("step", "read"): steps, ("step", "rejected"): lost_steps}
+    counts = [
+        part.agg(F.lit(level).alias("level"), F.lit(outcome).alias("outcome"), F.count("*").alias("n"))
+        for (level, outcome), part in parts.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def latest_attempts(spark, sf):
     """Runs of one to three attempts; the highest stands for the run."""
