@@ -486,6 +486,8 @@ ORACLES: dict[str, str] = {
       true AS bounded FROM orders JOIN customer ON o_custkey = c_custkey""",
     "load_quarantine": """SELECT CASE o_orderkey % 50 WHEN 0 THEN 'line' WHEN 1 THEN 'key' WHEN 2 THEN 'value' WHEN 3 THEN 'key'
         ELSE 'merged' END AS outcome, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
+    "load_unreadable_file": """SELECT 'merged' AS outcome, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey
+      WHERE o_orderkey % 3 <> 2 UNION ALL SELECT 'file', 1""",
     "load_since": """SELECT o_orderkey AS run_id, CAST(1 AS BIGINT) AS run_attempt FROM orders JOIN customer ON o_custkey = c_custkey
       WHERE o_orderkey % 3 IN (1, 2)""",
     "bronze_upsert": """SELECT DISTINCT l_orderkey, l_linenumber, lpad(CAST(l_orderkey % 12 AS VARCHAR), 2, '0') AS bucket,

@@ -452,6 +452,21 @@ def load_quarantine(spark, sf):
     return merged.union(rejected.groupBy("reject").agg(F.count("*")))
 
 
+@query
+def load_unreadable_file(spark, sf):
+    """Runs landed over three days, the last day's file named as packed but plain: the others are loaded, it is set aside."""
+    base = scratch_dir(spark, "unreadable")
+    lines, days = _run_lines(spark, sf), f"{base}/lake/acme/app/workflow_runs/2024/01"
+    for day in range(2):
+        own = lines.filter(F.col("n") % 3 == day).select("value")
+        own.write.option("compression", "gzip").text(f"{days}/0{day + 1}")
+    lines.filter("n % 3 = 2").select("value").coalesce(1).write.text(f"{base}/plain")
+    samples.move_file(spark, f"{base}/plain/part-*", f"{days}/03/runs.jsonl.gz")
+    rejected = bronze.load(spark, f"{base}/lake", f"{base}/bronze", grain="year")
+    merged = bronze.read(spark, f"{base}/bronze").agg(F.lit("merged").alias("outcome"), F.count("*").alias("n"))
+    return merged.union(rejected.groupBy("reject").agg(F.count("*")))
+
+
 @query
 def load_since(spark, sf):
     """Runs landed over three days, loaded from the second on."""

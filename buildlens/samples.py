@@ -313,6 +313,14 @@ def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def move_file(spark: SparkSession, pattern: str, path: str) -> None:
+    """Give the one file that the pattern names another place and name."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop_path(path).getParent())
+    fs.rename(fs.globStatus(hadoop_path(pattern))[0].getPath(), hadoop_path(path))
+
+
 def event_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E: one step per event, starting and ending between whole seconds."""
     millis = F.round(F.col("value") * 1000).cast("bigint")

@@ -207,3 +207,37 @@ def test_loads_keep_the_quarantine_of_earlier_loads(spark, tmp_path):
     # loading all days again adds none twice
     assert sorted(r.reject for r in bronze.load(spark, root, path).collect()) == kinds[1]
     assert [sorted(r.reject for r in x.collect()) for x in held] == kinds
+
+
+def test_unreadable_files_are_set_aside_whole(spark, tmp_path):
+    root, path = str(tmp_path / "lake"), str(tmp_path / "bronze")
+    day = f"{root}/acme/app/workflow_runs/2024/05"
+
+    def run(i):
+        return {"id": i, "run_attempt": 1, "created_at": "2024-05-01T09:00:00Z", "updated_at": "2024-05-01T09:00:00Z"}
+
+    write(f"{day}/01/good.jsonl.gz", envelope(run(1)), "no json")
+    write(f"{day}/02/cut.jsonl.gz", *[envelope(run(i), {"text": hashlib.sha256(b"%d" % i).hexdigest()}) for i in range(2, 300)])
+    whole = open(f"{day}/02/cut.jsonl.gz", "rb").read()
+    with open(f"{day}/02/cut.jsonl.gz", "wb") as out:
+        out.write(whole[: len(whole) // 2])
+    os.makedirs(f"{day}/03")
+    with open(f"{day}/03/plain %41.jsonl.gz", "w") as out:
+        out.write("never packed")
+    rejected = bronze.load(spark, root, path)
+    assert rows(bronze.read(spark, path).select("run_id")) == [(1,)]
+    found = {(r.reject, r.source_file_name.rpartition("/")[2]) for r in rejected.collect()}
+    assert found == {("line", "good.jsonl.gz"), ("file", "cut.jsonl.gz"), ("file", "plain%20%2541.jsonl.gz")}
+    # mended and loaded again: nothing but its past is left of the fault
+    with open(f"{day}/02/cut.jsonl.gz", "wb") as out:
+        out.write(whole)
+    os.remove(f"{day}/03/plain %41.jsonl.gz")
+    bronze.load(spark, root, path)
+    assert bronze.read(spark, path).count() == 299
+
+
+def test_days_without_landings_give_no_lines(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    write(f"{root}/acme/app/workflow_runs/2024/05/01/a.jsonl.gz", envelope({"id": 1}))
+    assert lake.read_lines(spark, root, "workflow_runs", since=date(2024, 6, 1), until=date(2024, 6, 2)).count() == 0
+    assert lake.read_lines(spark, root, "workflow_runs", since=date(2024, 5, 1), until=date(2024, 6, 2)).count() == 1
