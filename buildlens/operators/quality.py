@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -68,6 +68,19 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return counted.select(F.expr(f"stack({len(columns)}, {pairs}) as (column_name, failures)"))
 
 
+def watched(df: DataFrame, table: str, checks: tuple[Check, ...] = DECLARED) -> tuple[DataFrame, Observation | None]:
+    """``df`` as it is, and the NULLs of a table's not-null columns, counted by whatever action reads it next.
+
+    So a table is checked while it is written. Where a lost executor makes Spark repeat a part, failures may be counted
+    twice, but never missed.
+    """
+    columns = [c.column for c in checks if c.kind == "not_null" and c.table == table]
+    if not columns:
+        return df, None
+    seen = Observation()
+    return df.observe(seen, *[F.count_if(F.col(c).isNull()).alias(c) for c in columns]), seen
+
+
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their count. NULL keys are ignored."""
     return df.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
@@ -117,14 +130,21 @@ def _count(check: Check, tables: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
-def run_suite(tables: dict[str, DataFrame], checks: tuple[Check, ...] = DECLARED) -> DataFrame:
+def run_suite(
+    tables: dict[str, DataFrame], checks: tuple[Check, ...] = DECLARED, nulls: dict[str, dict[str, int]] | None = None
+) -> DataFrame:
     """All checks as one result table: check_name, check_kind, table_name, column_name, failures, status.
 
-    The not-null checks of a table share one scan. Pass written tables rather than long plans: every
-    other check reads its table once more, though only the columns it names.
+    ``nulls`` are the counts by table and column that :func:`watched` writes gave; these tables need no scan for them. The
+    not-null checks of any other table share one. Pass written tables rather than long plans: every other check reads its
+    table once more, though only the columns it names.
     """
-    parts = []
-    for name in dict.fromkeys(c.table for c in checks if c.kind == "not_null"):
+    parts, nulls = [], nulls or {}
+    known = [(c.name, c.kind, c.table, c.column, nulls[c.table][c.column]) for c in checks if c.kind == "not_null" and c.table in nulls]
+    if known:
+        schema = "check_name string, check_kind string, table_name string, column_name string, failures bigint"
+        parts.append(next(iter(tables.values())).sparkSession.createDataFrame(known, schema))
+    for name in dict.fromkeys(c.table for c in checks if c.kind == "not_null" and c.table not in nulls):
         columns = [c.column for c in checks if c.kind == "not_null" and c.table == name]
         counts = null_counts(tables[name], columns)
         parts.append(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from buildlens.operators import quality
 from buildlens.plans import gold, silver
 from buildlens.sources.rules import default_rules
 
@@ -72,18 +73,38 @@ def build_all(
     out: str,
     failed_steps_only: bool = False,
     buckets: int | None = None,
+    nulls: dict[str, dict[str, int]] | None = None,
 ) -> dict[str, DataFrame]:
     """Write the silver frames and the marts under ``out``; views stay plans, registered by name.
 
+    The writes count the NULLs that the not-null checks ask for, of the views too as far as a mart reads them whole; a
+    dictionary given as ``nulls`` takes the counts, for :func:`quality.run_suite`.
+
     ``buckets`` stores jobs and steps hashed by job. The two marts that join them then shuffle neither,
     for one shuffle when they are written. Leave it out when single jobs may hold much of the steps:
     the split of a skewed join needs a shuffle.
     """
     keys = {"stg_jobs": "job_id", "stg_steps": "job_id"}
-    tables = {n: write(typed[n], f"{out}/{n}", n, keys.get(n), buckets) for n in SILVER}
+    counts = {} if nulls is None else nulls
+    tables = {}
+    for name in SILVER:
+        frame, seen = quality.watched(typed[name], name)
+        tables[name] = write(frame, f"{out}/{name}", name, keys.get(name), buckets)
+        counts[name] = seen.get
     plans = derive(tables, failed_steps_only)
+    # the marts that read every row of a view
+    events, seen_events = quality.watched(plans["int_failure_events"], "int_failure_events")
+    logs, seen_logs = quality.watched(plans["stg_failed_logs"], "stg_failed_logs")
+    whole = {
+        **plans,
+        "fct_actionable_failures": gold.fct_actionable_failures(events),
+        "dim_error_categories": gold.dim_error_categories(logs),
+    }
     for name in MARTS:
-        tables[name] = write(plans[name], f"{out}/{name}", name)
+        frame, seen = quality.watched(whole[name], name)
+        tables[name] = write(frame, f"{out}/{name}", name)
+        counts[name] = seen.get
+    counts |= {"int_failure_events": seen_events.get, "stg_failed_logs": seen_logs.get}
     for name in VIEWS:
         plans[name].createOrReplaceTempView(name)
         tables[name] = plans[name]

@@ -68,8 +68,9 @@ def refresh(
         rejected = rejected.union(lost)
         landed = bronze.read(spark, f"{home}/bronze_{jobs_entity}")
     typed = build.from_bronze(bronze.read(spark, f"{home}/bronze"), attempts, landed)
-    tables = build.build_all(spark, typed, f"{home}/tables", failed_steps_only)
-    return _finished(spark, tables, home, classifier, stop_on_failed_checks, rejected)
+    nulls: dict[str, dict[str, int]] = {}
+    tables = build.build_all(spark, typed, f"{home}/tables", failed_steps_only, nulls=nulls)
+    return _finished(spark, tables, home, classifier, stop_on_failed_checks, rejected, nulls)
 
 
 def _finished(
@@ -79,9 +80,10 @@ def _finished(
     classifier: classify.Classifier,
     stop_on_failed_checks: bool,
     rejected: DataFrame,
+    nulls: dict[str, dict[str, int]] | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
     """Check the tables, and classify what the rules left."""
-    checks = build.write(quality.run_suite(tables), f"{home}/checks", "checks")
+    checks = build.write(quality.run_suite(tables, nulls=nulls), f"{home}/checks", "checks")
     if stop_on_failed_checks and not (failed := checks.filter("status = 'fail'")).isEmpty():
         raise RuntimeError(f"failed checks: {sorted(row['check_name'] for row in failed.collect())}")
     done = triage(spark, tables["fct_actionable_failures"], classifier, f"{home}/answers")

@@ -682,9 +682,10 @@ def dq_no_success_classified(spark, sf):
 
 @query
 def dq_suite(spark, sf):
-    # the suite reads tables built once, as a build is followed by its checks
-    tables = build.build_all(spark, samples.s_tables(spark, sf), scratch_dir(spark, "suite"))
-    return quality.run_suite(tables)
+    # the tables are built once and checked as they are written; what no write can tell is looked up after it
+    nulls: dict[str, dict[str, int]] = {}
+    tables = build.build_all(spark, samples.s_tables(spark, sf), scratch_dir(spark, "suite"), nulls=nulls)
+    return quality.run_suite(tables, nulls=nulls)
 
 
 @query
