@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, GroupedData
@@ -153,6 +154,56 @@ def classify_contexts(contexts: DataFrame, classify: Classifier, parallelism: in
     return distinct.mapInPandas(run, schemas.CLASSIFICATION_SCHEMA)
 
 
+@dataclass(frozen=True)
+class Quota:
+    """What a classification service allows: calls a minute over all tasks, contexts a call, and which of its errors say
+    that the quota is spent. The calls are divided among ``tasks``; each task makes ``calls`` of them in one wave."""
+
+    calls_per_minute: float
+    is_spent: Callable[[Exception], bool]
+    contexts_per_call: int = 20
+    tasks: int = 1
+    calls: int = 5
+
+    @property
+    def pause(self) -> float:
+        """Seconds before each call of a task."""
+        return 60.0 * self.tasks / self.calls_per_minute
+
+    @property
+    def wave(self) -> int:
+        return self.tasks * self.calls * self.contexts_per_call
+
+
+def classify_wave(
+    contexts: DataFrame, classify: Classifier, quota: Quota, sleep: Callable[[float], None] = time.sleep
+) -> DataFrame:
+    """Answers to distinct contexts, at most one wave of them, within a quota.
+
+    A task that is told that the quota is spent asks no more and hands on the answers it has; the other contexts stay
+    without one. Any other error fails the job.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            asked = batch["failure_context"]
+            for at in range(0, len(asked), quota.contexts_per_call):
+                part = asked[at : at + quota.contexts_per_call].reset_index(drop=True)
+                sleep(quota.pause)
+                try:
+                    answers = classify(part)
+                except Exception as error:
+                    if not quota.is_spent(error):
+                        raise
+                    return
+                columns = {n: answers[n].to_numpy() for n in RESULT_FIELDS}
+                yield pd.DataFrame({"failure_context": part.to_numpy(), **columns})
+
+    # dealt by turns, so that the tasks have about as many calls each
+    dealt = contexts.select("failure_context").repartition(quota.tasks)
+    return dealt.mapInPandas(run, schemas.CLASSIFICATION_SCHEMA)
+
+
 def pending_contexts(failures: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Distinct contexts of unclassified rows that have no stored answer yet."""
     contexts = with_context(unclassified(failures)).select("failure_context").distinct()
@@ -196,16 +247,6 @@ def one_answer(grouped: GroupedData) -> DataFrame:
     return best.select("*", *[F.col(f"_best.{n}").alias(n) for n in RESULT_FIELDS]).drop("_best")
 
 
-def fallback_classify(
-    failures: DataFrame, classify: Classifier, known: DataFrame | None = None, parallelism: int | None = None
-) -> DataFrame:
-    """Classify the open rows with ``classify``, reusing the ``known`` answers, and return all rows."""
-    answers = classify_contexts(pending_contexts(failures, known), classify, parallelism)
-    if known is not None:
-        answers = known.select("failure_context", *RESULT_FIELDS).unionByName(answers)
-    return overlay_contexts(failures, answers)
-
-
 # Offline classifier: (token in the lowered context, category, team, fix), first match wins.
 OFFLINE_ANSWERS = (
     ("reason: timed_out", "Execution Timeout", "Platform SRE", "Raise the step time limit or split the step."),

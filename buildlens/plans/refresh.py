@@ -5,8 +5,10 @@ from __future__ import annotations
 import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from buildlens import schemas
 from buildlens.operators import classify, merge, quality
 from buildlens.plans import bronze, build, incremental
 from buildlens.session import scratch_dir
@@ -18,20 +20,44 @@ def triage(
     classifier: classify.Classifier,
     answers_path: str,
     parallelism: int | None = None,
+    quota: classify.Quota | None = None,
 ) -> DataFrame:
     """Classify the open failures, asking only for contexts that were never answered before.
 
     Answers are written before they are used, keyed by context: a table rebuilt later gets them back
     without a question, and a lost executor does not repeat finished work.
+
+    With a ``quota`` contexts are asked in waves, each written before the next one. When the service says that the quota
+    is spent the round ends: its answers are kept, failures without one stay open, and the next round goes on there.
     """
     known = spark.read.parquet(answers_path) if merge.exists(spark, answers_path) else None
     fresh = classify.pending_contexts(failures, known)
-    classify.classify_contexts(fresh, classifier, parallelism).write.mode("append").parquet(answers_path)
+    if quota is None:
+        classify.classify_contexts(fresh, classifier, parallelism).write.mode("append").parquet(answers_path)
+    else:
+        _ask_in_waves(spark, fresh, classifier, answers_path, quota)
     # two rounds running at once may both have answered a context
     answers = spark.read.parquet(answers_path).groupBy("failure_context")
     return classify.overlay_contexts(failures, classify.one_answer(answers))
 
 
+def _ask_in_waves(
+    spark: SparkSession, contexts: DataFrame, classifier: classify.Classifier, answers_path: str, quota: classify.Quota
+) -> None:
+    staged = scratch_dir(spark, "contexts")
+    contexts.write.parquet(staged)
+    open_ = contexts = spark.read.schema(contexts.schema).parquet(staged)
+    while True:
+        seen = Observation()
+        wave = classify.classify_wave(open_.limit(quota.wave), classifier, quota)
+        wave.observe(seen, F.count("*").alias("answered")).write.mode("append").parquet(answers_path)
+        if seen.get["answered"] < quota.wave:
+            # the last wave, or one that the service has cut short
+            return
+        answers = spark.read.schema(schemas.CLASSIFICATION_SCHEMA).parquet(answers_path)
+        open_ = contexts.join(answers, "failure_context", "left_anti")
+
+
 def refresh(
     spark: SparkSession,
     lake_root: str,
@@ -44,6 +70,7 @@ def refresh(
     stop_on_failed_checks: bool = False,
     jobs_entity: str | None = None,
     incremental: bool = False,
+    quota: classify.Quota | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
     """Load the lake into bronze, rebuild all tables, run the checks and classify the rest.
 
@@ -54,13 +81,14 @@ def refresh(
 
     ``incremental`` rebuilds the days of the loaded runs only (the others' files stay as they are), with the same tables as
     a result; a home is kept either way from its first round on. Jobs must then be in the payloads. A job or step with an
-    unreadable field is then set aside too, instead of failing the round.
+    unreadable field is then set aside too, instead of failing the round. ``quota`` bounds the classifier's calls, see
+    :func:`triage`.
     """
     if incremental:
         if jobs_entity:
             raise ValueError("jobs of an entity of their own are not built by days")
         tables, rejected = _refresh_days(spark, lake_root, home, attempts, failed_steps_only, since, until)
-        return _finished(spark, tables, home, classifier, stop_on_failed_checks, rejected)
+        return _finished(spark, tables, home, classifier, quota, stop_on_failed_checks, rejected)
     rejected = bronze.load(spark, lake_root, f"{home}/bronze", since=since, until=until)
     landed = None
     if jobs_entity:
@@ -70,7 +98,7 @@ def refresh(
     typed = build.from_bronze(bronze.read(spark, f"{home}/bronze"), attempts, landed)
     nulls: dict[str, dict[str, int]] = {}
     tables = build.build_all(spark, typed, f"{home}/tables", failed_steps_only, nulls=nulls)
-    return _finished(spark, tables, home, classifier, stop_on_failed_checks, rejected, nulls)
+    return _finished(spark, tables, home, classifier, quota, stop_on_failed_checks, rejected, nulls)
 
 
 def _finished(
@@ -78,6 +106,7 @@ def _finished(
     tables: dict[str, DataFrame],
     home: str,
     classifier: classify.Classifier,
+    quota: classify.Quota | None,
     stop_on_failed_checks: bool,
     rejected: DataFrame,
     nulls: dict[str, dict[str, int]] | None = None,
@@ -86,7 +115,7 @@ def _finished(
     checks = build.write(quality.run_suite(tables, nulls=nulls), f"{home}/checks", "checks")
     if stop_on_failed_checks and not (failed := checks.filter("status = 'fail'")).isEmpty():
         raise RuntimeError(f"failed checks: {sorted(row['check_name'] for row in failed.collect())}")
-    done = triage(spark, tables["fct_actionable_failures"], classifier, f"{home}/answers")
+    done = triage(spark, tables["fct_actionable_failures"], classifier, f"{home}/answers", quota=quota)
     tables["classified_failures"] = build.write(done, f"{home}/tables/classified_failures", "classified_failures")
     return tables, checks, rejected
 

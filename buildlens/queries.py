@@ -247,8 +247,7 @@ def classify_by_long_rule_table(spark, sf):
 
 @query
 def fallback_classify(spark, sf):
-    failures = classify.fallback_classify(_failures(spark, sf), classify.offline_classifier())
-    return failures.select("job_id", "step_number", *classify.RESULT_FIELDS, "classification_source")
+    return fallback_classify_all(spark, sf).select("job_id", "step_number", *classify.RESULT_FIELDS, "classification_source")
 
 
 @query
@@ -341,7 +340,8 @@ def failure_kpis(spark, sf):
 
 
 def fallback_classify_all(spark, sf):
-    return classify.fallback_classify(_failures(spark, sf), classify.offline_classifier())
+    answers = f"{scratch_dir(spark, 'answers')}/contexts"
+    return refresh.triage(spark, _failures(spark, sf), classify.offline_classifier(), answers)
 
 
 @query

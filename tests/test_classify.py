@@ -1,5 +1,6 @@
 """Name rules, the rule table and the batch classifier."""
 
+import os
 import re
 
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from buildlens import schemas
 from buildlens.operators import classify, quality
+from buildlens.plans import refresh
 from buildlens.sources.rules import default_rules
 
 EVENTS = "step_name string, workflow_name string, job_name string, failure_reason string, job_id bigint, step_number bigint"
@@ -134,8 +136,7 @@ def test_fallback_asks_once_per_context_and_reuses_answers(spark, tmp_path):
     answers.write.parquet(str(tmp_path / "answers"))
     asked = open(log).read().splitlines()
     assert sorted(asked) == ["Workflow: CI | Step: None | Reason: cancelled", "Workflow: CI | Step: deploy | Reason: failure"]
-    known = spark.read.parquet(str(tmp_path / "answers"))
-    done = classify.fallback_classify(failures(spark), ask, known)
+    done = refresh.triage(spark, failures(spark), ask, str(tmp_path / "answers"))
     assert rows(done.select("job_id", "classification_source"), "job_id") == [
         (1, "LLM_FALLBACK"), (2, "LLM_FALLBACK"), (3, "DETERMINISTIC_RULE"), (4, "LLM_FALLBACK"),
     ]
@@ -143,12 +144,48 @@ def test_fallback_asks_once_per_context_and_reuses_answers(spark, tmp_path):
     assert len(open(log).read().splitlines()) == 2
 
 
-def test_a_failing_classifier_fails_the_job(spark):
+def test_a_failing_classifier_fails_the_job(spark, tmp_path):
     def broken(contexts):
         raise RuntimeError("service is down")
 
     with pytest.raises(Exception, match="service is down"):
-        classify.fallback_classify(failures(spark), broken).collect()
+        refresh.triage(spark, failures(spark), broken, str(tmp_path / "answers"))
+
+
+def test_a_spent_quota_ends_the_round_and_the_next_one_goes_on(spark, tmp_path):
+    log, answers = str(tmp_path / "asked"), str(tmp_path / "answers")
+    rows_ = [(f"step {i}", "CI", "j", "failure", i, 1) for i in range(40)]
+    quota = classify.Quota(60_000, lambda e: "429" in str(e), contexts_per_call=3, tasks=2, calls=2)
+
+    def service(most):
+        def ask(contexts):
+            asked = open(log).read().splitlines() if os.path.exists(log) else []
+            if len(asked) + len(contexts) > most:
+                raise OSError("429 RESOURCE_EXHAUSTED")
+            with open(log, "a") as out:
+                out.write("".join(c + "\n" for c in contexts))
+            return pd.DataFrame({n: contexts + f" {n}" for n in classify.RESULT_FIELDS})
+
+        return ask
+
+    for most in (0, 20, 21, 100, 100):
+        done = refresh.triage(spark, classified(spark, *rows_), service(most), answers, quota=quota)
+        asked = open(log).read().splitlines() if os.path.exists(log) else []
+        # no answer is lost, none is asked for twice
+        assert len(asked) == len(set(asked)) <= most
+        found = {r.failure_context for r in spark.read.parquet(answers).collect()}
+        assert found == set(asked)
+        assert done.filter("classification_source = 'LLM_FALLBACK'").count() == len(asked)
+    assert len(asked) == 40 and done.filter("category LIKE '%category'").count() == 40
+
+
+def test_calls_are_spread_over_the_minute(spark):
+    pauses = spark.sparkContext.accumulator(0.0)
+    quota = classify.Quota(5, lambda e: False, contexts_per_call=2, tasks=3)
+    assert quota.pause == 36 and quota.wave == 30
+    contexts = spark.range(0, 12, 1, 1).select(F.col("id").cast("string").alias("failure_context"))
+    answers = classify.classify_wave(contexts, classify.offline_classifier(), quota, sleep=pauses.add)
+    assert answers.count() == 12 and pauses.value == 6 * 36
 
 
 def test_retrying():

@@ -8,7 +8,7 @@ from buildlens.functions import scalars
 from buildlens.operators import classify
 from buildlens.operators.dedupe import latest_per_key, top_per_group
 from buildlens.operators.joins import children_or_none, join_grouped
-from buildlens.plans import gold
+from buildlens.plans import gold, refresh
 
 
 def hot(spark, n=6000):
@@ -144,7 +144,7 @@ def test_spark_splits_the_hot_context(spark, small_skew):
     assert "skew=true" in done._jdf.queryExecution().executedPlan().toString()
 
 
-def test_overlay_with_one_hot_context(spark):
+def test_overlay_with_one_hot_context(spark, tmp_path):
     failures = spark.range(900).select(
         F.when(F.col("id") < 600, "same").otherwise(F.col("id").cast("string")).alias("workflow_name"),
         F.lit("s").alias("step_name"),
@@ -152,5 +152,5 @@ def test_overlay_with_one_hot_context(spark):
         *[F.lit("old").alias(c) for c in classify.RESULT_FIELDS],
         F.lit("UNCLASSIFIED_FALLBACK").alias("classification_source"),
     )
-    done = classify.fallback_classify(failures, classify.offline_classifier(), parallelism=3)
+    done = refresh.triage(spark, failures, classify.offline_classifier(), str(tmp_path / "answers"), parallelism=3)
     assert rows(done.groupBy("classification_source").count()) == [("LLM_FALLBACK", 900)]
