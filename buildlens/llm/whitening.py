@@ -30,7 +30,7 @@ from buildlens.llm.common import written
 #: A component c becomes floor(SCALE * c) + SHIFT; beyond +-LIMIT it stays there (doubles hold such integers exactly).
 SCALE, SHIFT, LIMIT = 1024, 100_000, 1 << 52
 #: Columns of the block beyond the wanted ones, and the greatest degree of the filter.
-GUARDS, DEGREE = 16, 10
+GUARDS, DEGREE = 24, 10
 #: Growth of one filter that rounding allows.
 GROWTH = 1e8
 #: Residual, as a share of the greatest eigenvalue, at which a component is found, and passes after which it must be.
