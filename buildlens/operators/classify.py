@@ -14,6 +14,9 @@ from buildlens import schemas
 from buildlens.functions import scalars
 from buildlens.operators.joins import join_grouped
 
+#: Rules that one expression may hold.
+INLINE_RULES = 1000
+
 RESULT_FIELDS = ["category", "assigned_team", "recommended_fix"]
 
 Classifier = Callable[[pd.Series], pd.DataFrame]
@@ -80,15 +83,17 @@ def like_pattern(text: Column, pattern: str) -> Column:
 def classify_by_rule_table(logs: DataFrame, rules: DataFrame, text: str) -> DataFrame:
     """Best matching rule per log row: lowest priority number, then pattern, then the other fields. NULLs when none matches.
 
-    Patterns are ILIKE patterns with ``\\`` as escape. The rules, which people write, are read to the driver, whatever
-    their number, and become one CASE expression tried in order of preference: the logs are only mapped over, and each
-    row is judged by itself.
+    Patterns are ILIKE patterns with ``\\`` as escape. The rules, which people write, are read to the driver, at most
+    ``INLINE_RULES`` of them, and become one CASE expression tried in order of preference: the logs are only mapped over,
+    and each row is judged by itself. More rules are refused; ``pattern_index`` takes any number.
     """
     fields = schemas.RULE_TABLE_SCHEMA.fieldNames()
     others = [n for n in fields if n not in ("priority", "error_pattern")]
     # a rule without a priority comes last
     ordered = rules.select(*fields).dropna(subset=["error_pattern"]).distinct()
-    found = ordered.orderBy(F.col("priority").asc_nulls_last(), "error_pattern", *others).collect()
+    found = ordered.orderBy(F.col("priority").asc_nulls_last(), "error_pattern", *others).limit(INLINE_RULES + 1).collect()
+    if len(found) > INLINE_RULES:
+        raise ValueError(f"more than {INLINE_RULES} rules: use pattern_index.classify_by_pattern_index")
     if not found:
         return logs.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.RULE_TABLE_SCHEMA])
     # The lowered text is a column of its own, so that it is computed once for all patterns.

@@ -407,6 +407,18 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, log_key, r.*, row_number() OVER (PARTITION BY doc_id ORDER BY priority, error_pattern) AS rn
         FROM logs LEFT JOIN rules r ON text ILIKE error_pattern)
       SELECT * EXCLUDE (rn, doc_id) FROM ranked WHERE rn = 1""",
+    "classify_by_passage_rules": r"""WITH words AS (
+        SELECT item_id, regexp_replace(substr(text, 1, 30), '([\\%_])', '\\\1', 'g') AS a,
+          regexp_replace(substr(text, 41, 30), '([\\%_])', '\\\1', 'g') AS b FROM benchmark),
+      rules AS (
+        SELECT '%' || a || '%' || b || '%' AS error_pattern, 'Passage ' || item_id AS category,
+          CASE WHEN item_id % 3 <> 0 THEN 'Team' END AS assigned_team, CAST(item_id % 7 AS INTEGER) AS priority,
+          'Leave it out' AS recommended_fix
+        FROM words),
+      ranked AS (
+        SELECT doc_id, r.*, row_number() OVER (PARTITION BY doc_id ORDER BY priority, error_pattern, category) AS rn
+        FROM documents LEFT JOIN rules r ON text ILIKE error_pattern ESCAPE '\')
+      SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""",
     "fallback_classify": _with(*_FAILURES, _fallback())
     + """ SELECT job_id, step_number, category, assigned_team, recommended_fix, classification_source FROM answered""",
     "triage_remembered": _with(*_FAILURES, _fallback())

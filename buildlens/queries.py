@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from buildlens import samples, schemas
 from buildlens.functions import payload, scalars
-from buildlens.operators import classify, dedupe, delta, merge, quality
+from buildlens.operators import classify, dedupe, delta, merge, pattern_index, quality
 from buildlens.plans import bronze, build, gold, incremental, insight, refresh, silver
 from buildlens.session import scratch_dir
 from buildlens.sources import lake
@@ -242,7 +242,25 @@ def classify_by_long_rule_table(spark, sf):
         F.when(F.col("doc_id") % 5 != 0, F.floor(F.col("doc_id") / 3)).alias("log_key"), "text"
     )
     table = spark.createDataFrame(rules, schemas.RULE_TABLE_SCHEMA)
-    return classify.classify_by_rule_table(logs, table, "text").drop("text")
+    return pattern_index.classify_by_pattern_index(logs, table, "text").drop("text")
+
+
+@query
+def classify_by_passage_rules(spark, sf):
+    """A rule table as large as the data make it: every passage is a pattern of its first and its later words."""
+
+    def words(start):
+        return F.regexp_replace(F.substring("text", start, 30), r"([\\%_])", r"\\$1")
+
+    passages = samples.table(spark, sf, "benchmark").select(
+        F.concat(F.lit("%"), words(1), F.lit("%"), words(41), F.lit("%")).alias("error_pattern"),
+        F.concat(F.lit("Passage "), "item_id").alias("category"),
+        F.when(F.col("item_id") % 3 != 0, F.lit("Team")).alias("assigned_team"),
+        (F.col("item_id") % 7).cast("int").alias("priority"),
+        F.lit("Leave it out").alias("recommended_fix"),
+    )
+    logs = samples.table(spark, sf, "documents").select("doc_id", "text")
+    return pattern_index.classify_by_pattern_index(logs, passages, "text").drop("text")
 
 
 @query
