@@ -541,6 +541,8 @@ ORACLES: dict[str, str] = {
       FROM runs w LEFT JOIN jobs j ON w.workflow_run_id = j.workflow_run_id""",
     "stream_ingest": _with(_RUNS) + f" SELECT {_RUN_FIELDS} FROM runs",
     "stream_status": _first_line(_NEWEST),
+    "stream_state": f"""SELECT *, l_linestatus = 'O' AND l_shipdate + INTERVAL 30 DAY <= (SELECT max(l_shipdate) FROM lineitem) AS stuck
+      FROM ({_first_line(_NEWEST)})""",
     "quarantine_split": """SELECT event_id,
       CASE WHEN event_id % 50 <> 0 THEN CAST(props->>'$.k' AS BIGINT) END AS k,
       CASE WHEN event_id % 50 = 0 THEN substr(props, 1, length(props) - 1) END AS rejected_line FROM events""",

@@ -15,7 +15,7 @@ from buildlens.operators import classify, dedupe, delta, merge, pattern_index, q
 from buildlens.plans import bronze, build, gold, incremental, insight, refresh, silver
 from buildlens.session import scratch_dir
 from buildlens.sources import lake
-from buildlens.streaming import ingest, status
+from buildlens.streaming import ingest, state, status
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -650,6 +650,19 @@ def stream_status(spark, sf):
     return spark.read.parquet(f"{base}/status").select(*LINE_COLUMNS)
 
 
+@query
+def stream_state(spark, sf):
+    """The newest event of each line from a state store, and which lines were open for 30 days at the last event."""
+    base = scratch_dir(spark, "state")
+    schema = samples.table(spark, sf, "lineitem").schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet")
+    tracking = state.Tracking(
+        samples.LINE_KEYS, ["l_shipdate", "l_partkey", "l_suppkey"], "l_shipdate", "l_linestatus", "O", 30 * 86_400
+    )
+    state.track_state(spark, reader.parquet(sf).select(*LINE_COLUMNS), f"{base}/changes", f"{base}/checkpoint", tracking)
+    return state.current(spark, f"{base}/changes", tracking)
+
+
 @query
 def quarantine_split(spark, sf):
     cut = F.expr("substring(props, 1, length(props) - 1)")
