@@ -1,9 +1,9 @@
 """License scans by conditional compression.
 
 A block of text, in lower case and with single spaces, is compressed alone and with each license template, written
-alike, as raw dictionary. The templates that make it much
-smaller are its likely licenses; the one whose wording is in the block best, but for a few words, is confirmed. Then the
-rest of the block, before and behind it, is judged anew, until nothing is confirmed.
+alike, as raw dictionary. The templates that make it
+smaller are its likely licenses; the one whose wording is in the block best, but for a few words, is confirmed. Words that
+tell licenses apart (names, variants, versions, denials) must be the template's own, none more or less. Then the rest of the block, before and behind it, is judged anew, until nothing is confirmed.
 """
 
 from __future__ import annotations
@@ -71,23 +71,91 @@ TEMPLATES = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC0-1.0", "Released under CC0 1.0."),
+    ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version.",
+    ),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "All rights reserved. No part of this work may be reproduced without permission."),
 )
+GNU = (("GPL", "GNU", "1 2 3"), ("LGPL", "GNU Lesser", "2.1 3"), ("AGPL", "GNU Affero", "3"))
+CREATIVE = (
+    ("BY", "Attribution"),
+    ("BY-SA", "Attribution-ShareAlike"),
+    ("BY-NC", "Attribution-NonCommercial"),
+    ("BY-ND", "Attribution-NoDerivatives"),
+    ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+)
+CREATIVE_VERSIONS = (("2.0", "Generic"), ("3.0", "Unported"), ("4.0", "International"))
+IDENTIFIERS = "MIT Apache-2.0 BSD-2-Clause BSD-3-Clause ISC MPL-2.0 EPL-2.0 BSL-1.0 CC0-1.0 Unlicense"
+#: Words that tell licenses apart, besides those with a digit.
+TELLING = frozenset(
+    "mit apache bsd isc gnu gpl lgpl agpl lesser affero general public mozilla mpl eclipse epl boost cc cc0 by sa nc nd "
+    "creative commons attribution noncommercial sharealike noderivatives noderivs spdx unlicense clause domain proprietary".split()
+)
+#: Words that turn a notice into its opposite.
+DENIALS = frozenset("not no never neither nor isn't aren't wasn't cannot can't".split())
+#: Nearly every template has one of these; those without are found by their rarest telling word.
+CUES = r"licen[sc]e|permission|redistribution|public\W+domain|all\W+rights\W+reserved"
 # end of fixed values
 
-#: Every template has one of these, so a text without them holds no license.
-CUE = r"licen[sc]e|permission|redistribution|public\W+domain|all\W+rights\W+reserved"
-#: Words taken before and after a cue: more than the longest template has.
-REACH = 100
-#: Share of a template's words that may differ.
+#: Share of a template's words that may differ; telling words and denials may not.
 TOLERANCE = 0.1
+#: Words before a notice in which a denial counts, as far as its sentence goes.
+BEFORE = 4
 _TOKEN = re.compile(r"\S+")
 _EDGE = re.compile(r"^\W+|\W+$")
 
 
+def _notices() -> Iterator[tuple[str, str]]:
+    """The templates that differ in name and version alone."""
+    for short, name, versions in GNU:
+        for version in versions.split():
+            whole = version if "." in version else f"{version}.0"
+            for kind in ("work", "program", "library"):
+                yield f"{short}-{whole}", f"This {kind} is licensed under the {name} General Public License, version {version}."
+            yield f"{short}-{whole}", f"SPDX-License-Identifier: {short}-{whole}"
+            for clause in ("only", "or-later"):
+                yield f"{short}-{whole}", f"SPDX-License-Identifier: {short}-{whole}-{clause}"
+    for short, name in CREATIVE:
+        for version, kind in CREATIVE_VERSIONS:
+            yield f"CC-{short}-{version}", f"Licensed under CC {short} {version}."
+            yield f"CC-{short}-{version}", f"This work is licensed under a Creative Commons {name} {version} {kind} License."
+            yield f"CC-{short}-{version}", f"SPDX-License-Identifier: CC-{short}-{version}"
+    for name in IDENTIFIERS.split():
+        yield name, f"SPDX-License-Identifier: {name}"
+
+
+def tells(word: str) -> bool:
+    """Whether a word in plain form may not differ. Addresses may: they are written in many ways."""
+    if "://" in word:
+        return False
+    return word in DENIALS or any(c.isdigit() for c in word) or any(part in TELLING for part in word.split("-"))
+
+
+def cue_pattern(templates: tuple[tuple[str, str], ...]) -> str:
+    """A pattern that every template matches: the common cues, and a word of each template that has none of them."""
+    lacking = [text for _, text in templates if not re.search(CUES, text, re.IGNORECASE)]
+    words = set()
+    for text in lacking:
+        own = [x for x in map(plain, text.split()) if x]
+        words.add(max([x for x in own if tells(x)] or own or [""], key=len))
+    # looked for alone, in the templates' own spelling; a template without any word finds nothing
+    return "|".join([CUES, *(r"\b" + re.escape(x) for x in sorted(words) if x)])
+
+
 def plain(word: str) -> str:
-    return _EDGE.sub("", word).lower()
+    """A word without case and outer marks, in one of the two spellings of license."""
+    return _EDGE.sub("", word).lower().replace("licence", "license")
 
 
 def normal(words: list[str]) -> str:
@@ -115,12 +183,30 @@ def differences(template: list[str], block: list[str]) -> tuple[int, int, int]:
     return int(cost[end]), int(begin[end]), end
 
 
+#: All built-in templates; a text that stands there twice counts once.
+ALL = tuple(dict.fromkeys((*TEMPLATES, *_notices())))
+
+
+def denied(text: str, spans: list[tuple[int, int]], first: int) -> bool:
+    """Whether the sentence of a notice denies it before it begins."""
+    for start, end in spans[max(0, first - BEFORE) : first][::-1]:
+        word = text[start:end]
+        if word[-1] in ".!?;:":
+            return False
+        if plain(word).replace("\u2019", "'") in DENIALS:
+            return True
+    return False
+
+
 class Scanner:
     """Finds licenses in texts; remembers equal blocks."""
 
-    def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> None:
+    def __init__(self, templates: tuple[tuple[str, str], ...] = ALL) -> None:
         self.names = [name for name, _ in templates]
         self.words = [[plain(x) for x in text.split()] for _, text in templates]
+        self.telling = [[x for x in own if tells(x)] for own in self.words]
+        # words taken before and after a cue: as many as the longest template can have in a text
+        self.reach = max([100, *(int(len(own) * (1 + TOLERANCE)) + 1 for own in self.words)])
         settings = {"level": 3, "write_content_size": False, "write_checksum": False}
         self.alone = zstandard.ZstdCompressor(**settings)
         self.given = [
@@ -132,7 +218,7 @@ class Scanner:
             )
             for _, text in templates
         ]
-        self.cue = re.compile(CUE, re.IGNORECASE)
+        self.cue = re.compile(cue_pattern(templates), re.IGNORECASE)
         self.known: dict[str, list] = {}
 
     def gains(self, block: str) -> np.ndarray:
@@ -147,11 +233,14 @@ class Scanner:
         gains, confirmed, held = self.gains(block), [], set(words)
         for k in np.flatnonzero(gains > 0).tolist():
             own = self.words[k]
-            # a word that the block lacks is a difference wherever the template is put
+            # a word that the block lacks is a difference wherever the template is put; a telling one may not be lacking
+            if any(word not in held for word in self.telling[k]):
+                continue
             if sum(word not in held for word in own) > TOLERANCE * len(own):
                 continue
             wrong, first, last = differences(own, words)
-            if wrong <= TOLERANCE * len(own):
+            # the words that tell licenses apart are the template's, in its order, and none is added
+            if wrong <= TOLERANCE * len(own) and [x for x in words[first:last] if tells(x)] == self.telling[k]:
                 confirmed.append((wrong / len(own), -len(own), -int(gains[k]), k, wrong, first, last))
         if not confirmed:
             return None
@@ -212,14 +301,15 @@ class Scanner:
                 right = taken[near][0] if near < len(taken) else len(spans)
                 if left > at:
                     break
-                a, b = max(a, left, at - REACH), min(b, right, at + REACH)
+                a, b = max(a, left, at - self.reach), min(b, right, at + self.reach)
                 for k, gain, wrong, first, last in self.search(text, spans, a, b, left, right):
                     bisect.insort(taken, (first, last))
-                    out.append((self.names[k], spans[first][0], spans[last - 1][1], gain, wrong))
+                    if not denied(text, spans, first):
+                        out.append((self.names[k], spans[first][0], spans[last - 1][1], gain, wrong))
         return sorted(out, key=lambda x: x[1])
 
 
-def scan(text: Column, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> Column:
+def scan(text: Column, templates: tuple[tuple[str, str], ...] = ALL) -> Column:
     """``array<struct<license, start, end, gain, differences>>`` of a text column; empty for null and empty texts."""
     kind = pa.list_(
         pa.struct(
@@ -229,10 +319,11 @@ def scan(text: Column, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> Co
 
     def scanned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scanner = Scanner(templates)
+        pattern = f"(?i){cue_pattern(templates)}"
         names = [x.name for x in kind.value_type]
         for texts in (part for batch in batches for part in slices(batch)):
             out: list[list[dict]] = [[] for _ in range(len(texts))]
-            cued = pc.match_substring_regex(texts, f"(?i){CUE}").to_numpy(zero_copy_only=False)
+            cued = pc.match_substring_regex(texts, pattern).to_numpy(zero_copy_only=False)
             for i in np.flatnonzero(cued).tolist():
                 out[i] = [dict(zip(names, x)) for x in scanner.find(texts[i].as_py())]
             yield pa.array(out, kind)
