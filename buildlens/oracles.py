@@ -391,6 +391,11 @@ ORACLES: dict[str, str] = {
       ranked AS (SELECT doc_id, r.*, row_number() OVER (PARTITION BY doc_id ORDER BY priority, error_pattern) AS rn
         FROM documents LEFT JOIN rules r ON text ILIKE error_pattern)
       SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""",
+    "classify_by_csv_rules": f"""WITH {_log_rules()},
+      seed AS (SELECT * FROM rules UNION ALL SELECT '%, and%', 'Lists, "and" more', 'Docs "A", Team', 2, 'Say "and", once'),
+      ranked AS (SELECT doc_id, r.*, row_number() OVER (PARTITION BY doc_id ORDER BY priority, error_pattern) AS rn
+        FROM documents LEFT JOIN seed r ON text ILIKE error_pattern)
+      SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""",
     "classify_by_long_rule_table": """WITH syllables AS (
         SELECT row_number() OVER () - 1 AS i, s FROM (SELECT unnest(
           ['th','en','er','on','an','re','in','ti','es','or','st','ed','to','it','is','ha']) AS s)),
@@ -468,6 +473,9 @@ ORACLES: dict[str, str] = {
     "counts_by_category": _with(*_FAILURES) + " SELECT category, count(*) AS failures FROM failures GROUP BY 1",
     "counts_by_team": _with(*_FAILURES)
     + " SELECT assigned_team AS team, count(*) AS incidents FROM failures GROUP BY 1",
+    "ranked_teams": _with(*_FAILURES)
+    + """ SELECT team, incidents, CAST(row_number() OVER (ORDER BY incidents DESC, team) AS INTEGER) AS place
+      FROM (SELECT assigned_team AS team, count(*) AS incidents FROM failures GROUP BY 1)""",
     "category_share": _with(*_FAILURES)
     + """ SELECT category, count(*) AS failures, round(count(*) / (SELECT count(*) FROM failures), 6) AS share
       FROM failures GROUP BY 1""",
@@ -491,6 +499,10 @@ ORACLES: dict[str, str] = {
       FROM (SELECT *, {_RECORD_DIGEST} AS h FROM runs) GROUP BY head_branch, workflow_name""",
     "payload_fingerprint": f"""SELECT l_returnflag, l_linestatus, {_FINGERPRINT} AS payload_hash
       FROM (SELECT *, {_LINE_DIGEST} AS h FROM lineitem) GROUP BY 1, 2""",
+    "land_by_status": _with(_RUNS)
+    + """ SELECT s.status, count(workflow_run_id) > 0 AS landed, count(workflow_run_id) AS records
+      FROM (VALUES ('completed'), ('in_progress'), ('lost')) s(status) LEFT JOIN runs ON runs.status = s.status
+      GROUP BY s.status""",
     "lake_roundtrip": _with(_RUNS)
     + f""" SELECT {_RUN_FIELDS}, head_branch AS lake_owner, workflow_name AS lake_repo, 'workflow_runs' AS lake_entity,
       DATE '2024-01-01' AS lake_date FROM runs""",

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from buildlens import samples, schemas
@@ -15,6 +15,7 @@ from buildlens.operators import classify, dedupe, delta, merge, pattern_index, q
 from buildlens.plans import bronze, build, gold, incremental, insight, refresh, silver
 from buildlens.session import scratch_dir
 from buildlens.sources import lake
+from buildlens.sources.rules import read_rules
 from buildlens.streaming import ingest, state, status
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -229,6 +230,16 @@ def classify_by_rule_table(spark, sf):
     return classify.classify_by_rule_table(logs, rules, "text").drop("text")
 
 
+@query
+def classify_by_csv_rules(spark, sf):
+    """The rule table as a CSV seed, with commas and quotation marks in its fields."""
+    seed = f"{scratch_dir(spark, 'seed')}/rules"
+    table = spark.createDataFrame([*samples.SAMPLE_RULES, samples.QUOTED_RULE], schemas.RULE_TABLE_SCHEMA)
+    table.write.option("header", True).option("escape", '"').csv(seed)
+    logs = samples.table(spark, sf, "documents").select("doc_id", "text")
+    return classify.classify_by_rule_table(logs, read_rules(spark, seed), "text").drop("text")
+
+
 @query
 def classify_by_long_rule_table(spark, sf):
     """Hundreds of patterns, some equal but for their priority, over logs whose keys repeat or are NULL."""
@@ -372,6 +383,17 @@ def counts_by_team(spark, sf):
     return insight.value_counts(_board(spark, sf), "ASSIGNED_TEAM", "team", "incidents")
 
 
+@query
+def ranked_teams(spark, sf):
+    """The place of each team in the order in which the counts come."""
+    ordered = insight.value_counts(_board(spark, sf), "ASSIGNED_TEAM", "team", "incidents")
+    # numbers that grow with the rows as they come, whatever the partitions; one row for each team
+    come = Window.orderBy("_come")
+    return ordered.withColumn("_come", F.monotonically_increasing_id()).select(
+        "team", "incidents", F.row_number().over(come).alias("place")
+    )
+
+
 @query
 def category_share(spark, sf):
     return insight.value_share(_board(spark, sf), "FAILURE_CATEGORY", "category")
@@ -425,6 +447,22 @@ def _land(spark, sf, label):
     return root
 
 
+@query
+def land_by_status(spark, sf):
+    """The runs of each status land in a lake of their own; of a status that no run has, nothing lands."""
+    runs, landed = _tagged(spark, sf), []
+    for name in ("completed", "in_progress", "lost"):
+        root = f"{scratch_dir(spark, 'land')}/lake"
+        path = lake.land(runs.filter(F.col("status") == name), root, "workflow_runs", extracted_at=LANDED_AT)
+        if path:
+            envelopes = quality.envelope_counts(lake.read_envelopes(spark, path, "workflow_runs"))
+            counted = envelopes.agg(F.sum("record_count").alias("records"))
+        else:
+            counted = spark.range(0).agg(F.count("*").alias("records"))
+        landed.append(counted.select(F.lit(name).alias("status"), F.lit(path == root).alias("landed"), "records"))
+    return reduce(DataFrame.unionByName, landed)
+
+
 @query
 def lake_roundtrip(spark, sf):
     envelopes = lake.read_envelopes(spark, _land(spark, sf, "roundtrip"), "workflow_runs")

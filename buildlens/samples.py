@@ -341,7 +341,8 @@ SAMPLE_RULES = (
     ("%de%la%", "Romance Prose", "Docs Team", 3, "Ask a translator"),
     ("%no-such-token%", "Never", "Nobody", 1, "Unreachable"),
 )
-
+#: A rule whose fields need quotation marks in a CSV.
+QUOTED_RULE = ('%, and%', 'Lists, "and" more', 'Docs "A", Team', 2, 'Say "and", once')
 
 #: Beginnings of words in the sample documents: pairs of them make a long rule table.
 SYLLABLES = tuple("th en er on an re in ti es or st ed to it is ha".split())
