@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from buildlens import samples
 from buildlens.plans import build, gold, silver
 
 RUN = (
@@ -134,3 +135,24 @@ def test_bucketed_jobs_and_steps_meet_without_a_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in ("stg_jobs", "stg_steps"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _depth(line):
+    return next(i for i, c in enumerate(line) if c.isalpha() or c == "*")
+
+
+def test_nested_payloads_are_made_after_all_shuffles(spark, sf_dir):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = samples.nested_payloads(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = [x for x in text.splitlines() if any(c.isalpha() for c in x)]
+    at = next(i for i, x in enumerate(lines) if "collect_list" in x)
+    above, depth = [], _depth(lines[at])
+    for line in reversed(lines[:at]):
+        if _depth(line) < depth:
+            depth = _depth(line)
+            above.append(line)
+    assert above and not [x for x in above if "Exchange" in x]
