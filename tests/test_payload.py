@@ -156,3 +156,11 @@ def test_nested_payloads_are_made_after_all_shuffles(spark, sf_dir):
             depth = _depth(line)
             above.append(line)
     assert above and not [x for x in above if "Exchange" in x]
+
+
+def test_rejected_jobs_and_steps_are_counted_from_one_reading_of_the_payloads(spark, sf_dir):
+    from buildlens.queries import QUERIES
+
+    found = QUERIES["quarantine_jobs"](spark, sf_dir)
+    assert "variant" not in found._jdf.queryExecution().optimizedPlan().toString().lower().replace("raw_steps_array", "")
+    assert {(r.level, r.outcome) for r in found.collect()} == {(a, b) for a in ("job", "step") for b in ("read", "rejected")}
