@@ -73,3 +73,25 @@ def test_the_store_setting_is_left_as_it_was(spark):
     with state._state_store(spark):
         assert spark.conf.get(state.STORE) == state.ROCKSDB
     assert spark.conf.get(state.STORE) == before
+
+
+def test_no_event_passes_through_python(spark, tmp_path):
+    land(spark, str(tmp_path), [(1, "queued", at(0), None)])
+    events = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
+    plan = state.newest_events(events, TRACKING)._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" not in plan and "Aggregate" in plan
+
+
+def test_a_key_gets_stuck_in_a_later_batch_unless_it_was_closed(spark, tmp_path):
+    base = str(tmp_path)
+    land(spark, base, [(1, "in_progress", at(1), None), (2, "in_progress", at(1), None)])
+    assert follow(spark, base) == {1: ("in_progress", 1, False), 2: ("in_progress", 1, False)}
+    # key 2 is closed by the batch that moves the clock; an event that is not the newest of its key is no change
+    land(spark, base, [(2, "completed", at(2), None), (2, "queued", at(0), None), (3, "completed", at(20), None)])
+    assert follow(spark, base) == {1: ("in_progress", 1, True), 2: ("completed", 2, False), 3: ("completed", 20, False)}
+    land(spark, base, [(3, "queued", at(19), "old"), (2, "queued", at(0), "old")])
+    assert follow(spark, base)[3] == ("completed", 20, False)
+    changes = spark.read.parquet(f"{base}/out")
+    assert sorted((r.id, r.state, r.stuck) for r in changes.collect()) == [
+        (1, "in_progress", False), (1, "in_progress", True), (2, "completed", False), (2, "in_progress", False), (3, "completed", False)
+    ]
