@@ -241,3 +241,21 @@ def test_days_without_landings_give_no_lines(spark, tmp_path):
     write(f"{root}/acme/app/workflow_runs/2024/05/01/a.jsonl.gz", envelope({"id": 1}))
     assert lake.read_lines(spark, root, "workflow_runs", since=date(2024, 6, 1), until=date(2024, 6, 2)).count() == 0
     assert lake.read_lines(spark, root, "workflow_runs", since=date(2024, 5, 1), until=date(2024, 6, 2)).count() == 1
+
+
+def test_large_unreadable_files_are_streamed(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "lake")
+    day = f"{root}/acme/app/workflow_runs/2024/05/01"
+    write(f"{day}/good.jsonl.gz", envelope({"id": 1}))
+    write(f"{day}/cut.jsonl.gz", *[envelope({"id": i, "text": hashlib.sha256(b"%d" % i).hexdigest()}) for i in range(300)])
+    whole = open(f"{day}/cut.jsonl.gz", "rb").read()
+    with open(f"{day}/cut.jsonl.gz", "wb") as out:
+        out.write(whole[: len(whole) // 2])
+    with open(f"{day}/plain %41.jsonl.gz", "w") as out:
+        out.write("never packed")
+    for bytes_held in (0, 100):
+        # all files are too large to be held by a task, or some
+        monkeypatch.setattr(lake, "WHOLE", bytes_held)
+        found = lake.broken_files(spark, root, "workflow_runs").collect()
+        assert sorted(r.source_file_name.rpartition("/")[2] for r in found) == ["cut.jsonl.gz", "plain%20%2541.jsonl.gz"]
+        assert all(r.error for r in found)
