@@ -93,6 +93,11 @@ def key_filters(writer: DataFrameWriter, keys: list[str]) -> DataFrameWriter:
     return writer.option("parquet.bloom.filter.adaptive.enabled", True)
 
 
+def _staged(writer: DataFrameWriter) -> DataFrameWriter:
+    """For files that are read a few times and removed."""
+    return writer.option("compression", "zstd")
+
+
 def _publish(spark: SparkSession, merged: DataFrame, path: str, partition: str, keys: list[str]) -> None:
     """Replace the partitions that ``merged``, a written table, holds; Spark's committer moves them in. Can be repeated."""
     # in the order of the keys, so that files and row groups have narrow ranges of them
@@ -137,7 +142,9 @@ def recover(spark: SparkSession, path: str, partition: str = "created_date", key
     done = fs.globStatus(pattern) or []
     for entry in done:
         folder = entry.getPath().getParent().toString()
-        _publish(spark, spark.read.parquet(folder), base, partition, keys or [])
+        merged = spark.read.parquet(folder)
+        if not merged.isEmpty():
+            _publish(spark, merged, base, partition, keys or [])
         remove(spark, folder.rpartition("/")[0])
     return len(done)
 
@@ -193,28 +200,33 @@ def upsert_path(
         if extra and not evolve:
             raise ValueError(f"columns not in the table: {extra}")
     # written once: it is read for its keys, for its partitions, for the anti-join and the union, and a small batch is
-    # then known to be small, so that the table is not shuffled to meet it
-    source.write.parquet(f"{stage}/incoming")
-    source = spark.read.schema(source.schema).parquet(f"{stage}/incoming")
+    # then known to be small, so that the table is not shuffled to meet it. The first batch is the merged table
+    incoming = f"{stage}/{'merged' if target is None else 'incoming'}"
+    _staged(source.write).parquet(incoming)
+    source = spark.read.schema(source.schema).parquet(incoming)
     if source.isEmpty():
         remove(spark, stage)
         return
-    if target is not None and not fixed_partition:
+    if target is None:
+        _publish(spark, source, base, partition, keys)
+        remove(spark, stage)
+        return
+    if not fixed_partition:
         homes = target.select(*keys, F.col(partition).alias("_home"), F.lit(True).alias("_known"))
         with _values_pushed(spark):
-            near(homes, source, keys).join(source.select(*keys), keys, "left_semi").write.parquet(f"{stage}/homes")
+            found = near(homes, source, keys).join(source.select(*keys), keys, "left_semi")
+            _staged(found.write).parquet(f"{stage}/homes")
         source = source.join(spark.read.schema(homes.schema).parquet(f"{stage}/homes"), keys, "left")
         # a known key's home can be the NULL partition
         home = F.when(F.col("_known"), F.col("_home")).otherwise(F.col(partition))
         source = source.withColumn(partition, home).drop("_home", "_known")
-    if target is not None:
-        # the comparison marks the small side as a filter, by which Spark prunes the table's partitions
-        touched = source.groupBy(partition).agg(F.count("*").alias("_n")).filter("_n > 0")
-        old = target.join(touched, partition, "left_semi").select(*target.columns)
-        if not source.filter(F.col(partition).isNull()).isEmpty():
-            old = old.union(target.filter(F.col(partition).isNull()))
-        lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields if f.name not in source.columns]
-        source = combine(old, source.select("*", *lacking).select(*target.columns), keys)
-    source.write.parquet(f"{stage}/merged")
+    # the comparison marks the small side as a filter, by which Spark prunes the table's partitions
+    touched = source.groupBy(partition).agg(F.count("*").alias("_n")).filter("_n > 0")
+    old = target.join(touched, partition, "left_semi").select(*target.columns)
+    if not source.filter(F.col(partition).isNull()).isEmpty():
+        old = old.union(target.filter(F.col(partition).isNull()))
+    lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields if f.name not in source.columns]
+    source = combine(old, source.select("*", *lacking).select(*target.columns), keys)
+    _staged(source.write).parquet(f"{stage}/merged")
     _publish(spark, spark.read.schema(source.schema).parquet(f"{stage}/merged"), base, partition, keys)
     remove(spark, stage)

@@ -134,3 +134,11 @@ def test_new_columns_are_refused_or_added(spark, tmp_path):
 def test_audit_counts_duplicates(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (2, 1)], "id bigint, attempt bigint")
     assert rows(merge.audit(df, KEYS)) == [(3, 2)]
+
+
+def test_the_first_batch_is_staged_once(spark, tmp_path, monkeypatch):
+    path, staged = str(tmp_path / "t"), []
+    monkeypatch.setattr(merge, "remove", lambda _, folder: staged.append(sorted(os.listdir(folder))))
+    upsert(spark, path, frame(spark, (1, 1, "a", "2024-01-01")))
+    assert staged == [["merged"]]
+    assert spark.read.parquet(path).count() == 1
