@@ -127,3 +127,11 @@ def test_keys_are_looked_up_by_ranges_and_bloom_filters(spark, tmp_path):
     home = first + datetime.timedelta(days=4008 % days)
     assert rows(after.filter("state != 's'").select("id", "day"), "id") == [(4001, datetime.date(2030, 1, 1)), (4008, home)]
     assert after.count() == days * 1000 + 1
+
+
+def test_one_load_is_read_as_it_is(spark, tmp_path):
+    path, load = str(tmp_path / "t"), frame(spark, (1, 1, "a", "2024-01-01"))
+    names = [delta.append(spark, path, load, load.schema, KEYS)]
+    found = delta.newest(spark, path, names, load.schema, KEYS, "day")
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found) == rows(load)
