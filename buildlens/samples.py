@@ -40,9 +40,10 @@ def line_order() -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in ("l_shipdate", "l_partkey", "l_suppkey")]
 
 
-def latest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def latest_lines(spark: SparkSession, sf_dir: str, dealt: str | None = None) -> DataFrame:
     columns = [*LINE_KEYS, "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"]
-    return latest_per_key(table(spark, sf_dir, "lineitem").select(*columns), LINE_KEYS, line_order())
+    lines = table(spark, sf_dir, "lineitem").select(*columns)
+    return latest_per_key(lines.repartition(dealt) if dealt else lines, LINE_KEYS, line_order())
 
 
 def _order_state() -> dict[str, Column]:
@@ -89,8 +90,11 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    return latest_lines(spark, sf_dir).join(parts, "l_partkey")
+    return latest_lines(spark, sf_dir).join(_part_names(spark, sf_dir), "l_partkey")
+
+
+def _part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
 
 
 def _job_id() -> Column:
@@ -133,9 +137,10 @@ def s_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = F.col("l_linenumber") == 7
     state["conclusion"] = F.when(~last, state["conclusion"])
     state["status"] = F.when(last & (F.col("l_returnflag") == "R"), "failure").otherwise(state["status"])
-    steps = _lines_with_parts(spark, sf_dir).join(
-        table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey"
-    )
+    # lines are dealt out by order once, for their newest versions and for the orders
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    lines = latest_lines(spark, sf_dir, dealt="l_orderkey").join(orders, "l_orderkey")
+    steps = lines.join(_part_names(spark, sf_dir), "l_partkey")
     return steps.select(
         F.col("l_orderkey").alias("job_id"),
         F.col("o_custkey").alias("workflow_run_id"),

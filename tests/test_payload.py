@@ -164,3 +164,14 @@ def test_rejected_jobs_and_steps_are_counted_from_one_reading_of_the_payloads(sp
     found = QUERIES["quarantine_jobs"](spark, sf_dir)
     assert "variant" not in found._jdf.queryExecution().optimizedPlan().toString().lower().replace("raw_steps_array", "")
     assert {(r.level, r.outcome) for r in found.collect()} == {(a, b) for a in ("job", "step") for b in ("read", "rejected")}
+
+
+def test_lines_of_steps_are_dealt_out_by_order_once(spark, sf_dir):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = samples.s_steps(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # lines by order and by part, the orders, the parts
+    assert text.count("Exchange hashpartitioning") == 4
