@@ -1,42 +1,48 @@
 """Class-based n-gram scoring in the manner of Brown.
 
-Exchange clustering puts the most frequent words into classes that predict each other best. A frequent word that is not
-among them belongs to the class of its count's power of two, all rarer words and unknown ones to one last class, and the
-end of a text to its own. A token's probability is that of its class after the class before it, times that of the word
-in its class. Emissions come from the counts of all words: the frequent ones travel with the model, whose size is bounded,
-the others are joined.
+Exchange clustering puts words into classes that predict each other best. The most frequent words are exchanged first, in
+turn; then every other word that was found more than once, however many there are, moves to the class that raises the
+likelihood most, by what stands before and after it in all training texts, summed in Spark. Words found once stand for the
+unknown ones and share their class; the end of a text has its own. A token's probability is that of its class after the
+class before it, times that of the word in its class. The frequent words travel with the model, whose size is bounded;
+counts and classes of all others are joined.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from buildlens.llm.common import fold, slices, written
+from buildlens.session import scratch_dir
 
-#: Words that the exchange clusters, and its classes.
+#: Words that are exchanged first, in turn, and the classes of all words.
 CORE, CLASSES = 1000, 32
-#: Most frequent words, whose counts travel with the model. Words found once are always left to the last class: what
-#: they take of the training texts tells what unknown words take.
+#: Most frequent words, whose counts and classes travel with the model; those of all others are joined. Words found once are
+#: always left to the last class: what they take of the training texts tells what unknown words take.
 HEAD = 200_000
 SWEEPS = 8
-#: Octaves of counts: classes of the head words outside the core.
+#: Octaves of counts: what the words outside the core are to their neighbours before they have a class.
 OCTAVES = 63
 #: Pseudo-count of the class unigram in a class transition.
 BACKOFF = 5.0
-#: Distinct words that a task counts before it hands them on.
+#: Distinct words that a task counts before it hands them on, and neighbours of words.
 HELD_WORDS = 300_000
+HELD_CELLS = 2_000_000
 
 # units: the core words, the end of a text, the octaves, the tail
 END, TAIL = CORE, CORE + 1 + OCTAVES
 UNITS = TAIL + 1
+# a word outside the core has the unit of its class, which comes after these; the code of words whose class is joined
+JOINED = 255
 
 
 def tokens(data: bytes) -> list[bytes]:
@@ -48,11 +54,13 @@ def tokens(data: bytes) -> list[bytes]:
 class ClassModel:
     """counts: the table (word, n) of all training tokens but the ends. total, distinct: of all training tokens.
 
-    words, count, unit: the head words by rank, their counts and units. group: the class of each unit. transition:
-    log10 probabilities, a row for each class before. in_class: log10 of each class's emission denominator.
+    words, count, unit: the head words by rank, their counts and units. classes: the table (word, n, class) of all words
+    outside the head. group: the class of each unit. transition: log10 probabilities, a row for each class before.
+    in_class: log10 of each class's emission denominator.
     """
 
     counts: DataFrame
+    classes: DataFrame
     total: int
     distinct: int
     ends: int
@@ -86,15 +94,63 @@ def count_words(documents: DataFrame, text: str = "text") -> DataFrame:
     return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _indexes(texts: pa.Array, at: dict[bytes, int], tail: int) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    """Words of each text; the head index of all words in a row, with ``tail + 1`` after each text; words per text."""
-    words = [tokens(x) for x in texts.cast(pa.binary()).to_pylist()]
-    sizes = np.array([len(x) for x in words], np.int64)
-    out = np.full(int(sizes.sum()) + len(words), tail + 1, np.int64)
-    inner = np.ones(len(out), bool)
-    inner[np.cumsum(sizes + 1) - 1] = False
-    out[inner] = np.fromiter((at.get(w, tail) for x in words for w in x), np.int64, int(sizes.sum()))
-    return words, out, sizes
+def _indexed(text: Column, words: list[bytes]) -> Column:
+    """``struct<index, tail>``: the head index of each token of a text as 32-bit integers, ``len(words)`` for a word outside
+    the head and one more for the end; the words outside the head in their order."""
+    kind = pa.struct([("index", pa.binary()), ("tail", pa.list_(pa.binary()))])
+
+    def indexed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        at, last = {word: i for i, word in enumerate(words)}, len(words)
+        for batch in batches:
+            parts = []
+            for texts in slices(batch):
+                rows, tails = [], []
+                for x in texts.cast(pa.binary()).to_pylist():
+                    listed = tokens(x)
+                    own = [at.get(w, last) for w in listed]
+                    tails.append([w for w, i in zip(listed, own) if i == last])
+                    own.append(last + 1)
+                    rows.append(np.array(own, np.int32).tobytes())
+                columns = (pa.array(rows, pa.binary()), pa.array(tails, pa.list_(pa.binary())))
+                parts.append(pa.StructArray.from_arrays(columns, fields=list(kind)))
+            yield pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+    indexed.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return arrow_udf(indexed, "struct<index binary, tail array<binary>>")(text)
+
+
+def _parts(documents: DataFrame, words: list[bytes], text: str, learn: Column) -> DataFrame:
+    """row, key, learn, index, tail of every text, written. ``row`` holds the columns but the text, ``key`` numbers the rows."""
+    kept = F.struct(*[c for c in documents.columns if c != text]) if len(documents.columns) > 1 else F.struct(F.lit(0))
+    key = F.monotonically_increasing_id()
+    found = documents.select(kept.alias("row"), key.alias("key"), learn.alias("learn"), _indexed(F.col(text), words).alias("p"))
+    return _packed(found.select("row", "key", "learn", "p.index", "p.tail"), "lm-parts")
+
+
+def _packed(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _sequence(values: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All tokens of the texts in a row, and the place of each text's first. Every text has its end at least."""
+    lengths = pc.binary_length(values).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(values.to_pylist()), kind).astype(np.int64), np.cumsum(lengths) - lengths
+
+
+def _filled(codes: pa.Array, classes: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The classes of all tokens in a row, and the place of each text's first."""
+    found, starts = _sequence(codes, np.uint8)
+    found[found == JOINED] = classes.flatten().to_numpy(zero_copy_only=False)
+    return found, starts
+
+
+def _sliced(first: pa.Array, second: pa.Array) -> Iterator[tuple[pa.Array, pa.Array]]:
+    at = 0
+    for part in slices(first):
+        yield part, second.slice(at, len(part))
+        at += len(part)
 
 
 def _head(counts: DataFrame) -> DataFrame:
@@ -111,26 +167,176 @@ def _head(counts: DataFrame) -> DataFrame:
     return often.filter(step >= least) if least is not None else often.limit(0)
 
 
-def _unit_pairs(documents: DataFrame, words: list[bytes], unit: np.ndarray, text: str) -> np.ndarray:
-    """How often each unit follows each: every text begins after an end. Summed by Spark; UNITS ** 2 cells at most."""
+def _pairs(texts: DataFrame, units: Callable[[pa.RecordBatch], Iterator[np.ndarray]], end: int, size: int) -> np.ndarray:
+    """How often each of ``size`` units follows each: every text begins after an ``end``. Summed by Spark, ``size ** 2`` cells
+    at most. ``units`` tells those of the tokens of a batch, by whole texts."""
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = {word: i for i, word in enumerate(words)}
-        of = np.concatenate([unit, [TAIL, END]])
-        total = np.zeros(UNITS * UNITS, np.int64)
+        total = np.zeros(size * size, np.int64)
         for batch in batches:
-            for texts in slices(batch.column(0)):
-                units = of[_indexes(texts, at, len(words))[1]]
-                before = np.concatenate([[END], units[:-1]])
-                total += np.bincount(before * UNITS + units, minlength=UNITS * UNITS)
+            for found in units(batch):
+                before = np.concatenate([[end], found[:-1]])
+                total += np.bincount(before * size + found, minlength=size * size)
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
 
-    found = documents.select(F.col(text).alias("text")).mapInArrow(paired, "cell long, n long")
-    sums = found.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    pairs = np.zeros(UNITS * UNITS)
-    pairs[sums["cell"].to_numpy()] = sums["n"].to_numpy()
-    return pairs.reshape(UNITS, UNITS)
+    sums = texts.mapInArrow(paired, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    pairs = np.zeros(size * size)
+    pairs[sums["cell"].to_numpy(np.int64)] = sums["n"].to_numpy()
+    return pairs.reshape(size, size)
+
+
+def _neighbours(parts: DataFrame, words: list[bytes], core: int, of: np.ndarray, size: int) -> DataFrame:
+    """word, rank, n, found: for each word outside the core, what stands before and after it how often.
+
+    ``rank`` is the head index, NULL outside the head. ``found`` holds pairs of bytes, as many strings as tasks handed the word
+    on: the number of a neighbour, ``size`` more for what comes after the word, and how often, repeated where over 255.
+    """
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = len(words)
+
+        def rows(keys: list[np.ndarray], others: list[bytes]) -> pa.RecordBatch:
+            cells, n = np.unique(np.concatenate(keys), return_counts=True) if keys else (np.zeros(0, np.int64),) * 2
+            times = -(-n // 255)
+            cells = np.repeat(cells, times)
+            held = np.full(len(cells), 255)
+            held[np.cumsum(times) - 1] = n - 255 * (times - 1)
+            starts = np.flatnonzero(np.diff(cells >> 8, prepend=-1))
+            own = (cells[starts] >> 8).tolist()
+            before = np.where((cells & 255) < size, held, 0)
+            data = np.column_stack([cells & 255, held]).astype(np.uint8).tobytes()
+            ends = (2 * np.append(starts, len(cells))).astype(np.int32)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([words[i] if i < last else others[i - last] for i in own], pa.binary()),
+                    pa.array([i if i < last else None for i in own], pa.int32()),
+                    pa.array(np.add.reduceat(before, starts) if own else [], pa.int64()),
+                    pa.Array.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)]),
+                ],
+                ["word", "rank", "n", "found"],
+            )
+
+        keys, others, ids, held = [], [], {}, 0
+        for batch in batches:
+            for index, tail in _sliced(batch.column(0), batch.column(1)):
+                # what is behind a text's last word is its end, what is before its first the end of another
+                number = _sequence(index, np.int32)[0]
+                units = of[number]
+                before, after = np.concatenate([[of[-1]], units[:-1]]), np.concatenate([units[1:], [of[-1]]])
+                at = np.flatnonzero((number >= core) & (number <= last))
+                number = number[at]
+                rare = tail.flatten().to_pylist()
+                for word in rare:
+                    if word not in ids:
+                        ids[word] = last + len(others)
+                        others.append(word)
+                number[number == last] = np.fromiter((ids[w] for w in rare), np.int64, len(rare))
+                keys += [number << 8 | before[at], number << 8 | (after[at] + size)]
+                held += 2 * len(at)
+                if held > HELD_CELLS:
+                    yield rows(keys, others)
+                    keys, others, ids, held = [], [], {}, 0
+        yield rows(keys, others)
+
+    found = parts.select("index", "tail").mapInArrow(listed, "word binary, rank int, n long, found binary")
+    # dealt out as they are: few words come twice from a task
+    dealt = found.repartition("word", "rank")
+    return dealt.groupBy("word", "rank").agg(F.sum("n").alias("n"), F.collect_list("found").alias("found"))
+
+
+def best_classes(found: np.ndarray, joint: np.ndarray, classes: int = CLASSES) -> np.ndarray:
+    """The class that raises the likelihood of the pairs most, for each of the words. ``found`` has a row for each word: how
+    often each unit of ``joint`` is before it, then after it; the first ``classes`` units of ``joint`` are the classes."""
+    size = len(joint)
+    gain = np.zeros((len(found), classes))
+    n = found[:, :size].sum(1)
+    for k in range(classes):
+        for part, base in ((found[:, :size], joint[:, k]), (found[:, size:], joint[k])):
+            gain[:, k] += (_g(base + part) - _g(base)).sum(1)
+        for whole in (joint[:, k].sum(), joint[k].sum()):
+            gain[:, k] -= _g(whole + n) - _g(whole)
+    return gain.argmax(1)
+
+
+def _assigned(neighbours: DataFrame, joint: np.ndarray, unknown: int) -> DataFrame:
+    """word, rank, n, class of all words outside the core, written; words found once have the class ``unknown``."""
+    size = len(joint)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best = np.full(batch.num_rows, unknown, np.int32)
+            often = np.flatnonzero(batch.column(2).to_numpy() > 1)
+            for start in range(0, len(often), 1000):
+                at = often[start : start + 1000]
+                lists = batch.column(3).take(pa.array(at))
+                strings = lists.flatten()
+                row = np.repeat(np.arange(len(at)), pc.list_value_length(lists).to_numpy())
+                row = np.repeat(row, pc.binary_length(strings).to_numpy() // 2)
+                cells, n = np.frombuffer(b"".join(strings.to_pylist()), np.uint8).reshape(-1, 2).T
+                found = np.bincount(row * 2 * size + cells, n, len(at) * 2 * size).reshape(len(at), 2 * size)
+                best[at] = best_classes(found, joint)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(best)], ["word", "rank", "n", "class"])
+
+    return written(neighbours.mapInArrow(chosen, "word binary, rank int, n long, class int"), "lm-classes")
+
+
+def _classed(index: Column, of: np.ndarray, count: np.ndarray, ends: int) -> Column:
+    """``struct<codes, n_tokens, n_known, logs>``: the class of each token of a text as a byte, JOINED for words outside the
+    head, the number of tokens, and of the end and the head words those known and the sum of log10(c + 0.5)."""
+    code = of.copy()
+    code[-2] = JOINED
+    log_count = np.concatenate([np.log10(count + 0.5), [0.0, np.log10(ends + 0.5)]])
+    known = np.concatenate([np.ones(len(count), np.int64), [0, int(ends > 0)]])
+    fields = [("codes", pa.binary()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64())]
+    kind = pa.struct(fields)
+
+    def classed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            parts = []
+            for part in slices(batch):
+                found, starts = _sequence(part, np.int32)
+                lengths = np.diff(starts, append=len(found))
+                places = np.append(starts, len(found)).astype(np.int32)
+                data = code[found].astype(np.uint8).tobytes()
+                columns = (
+                    pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(places.tobytes()), pa.py_buffer(data)]),
+                    pa.array(lengths),
+                    pa.array(np.add.reduceat(known[found], starts)),
+                    pa.array(np.add.reduceat(log_count[found], starts)),
+                )
+                parts.append(pa.StructArray.from_arrays(columns, fields=list(kind)))
+            yield pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+    classed.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return arrow_udf(classed, "struct<codes binary, n_tokens long, n_known long, logs double>")(index)
+
+
+def _coded(parts: DataFrame, classes: DataFrame, of: np.ndarray, count: np.ndarray, ends: int) -> DataFrame:
+    """row, learn, codes, classes, n_tokens, n_known, logs of every text: see ``_classed``; ``classes`` are those of the words
+    outside the head in their order, whose counts are in the sums."""
+    rare = parts.select("key", F.posexplode("tail").alias("at", "word"))
+    n = F.coalesce(F.col("n"), F.lit(0))
+    own = F.struct("at", F.coalesce("class", F.lit(int(of[-2]))).cast("byte").alias("class"))
+    summed = (
+        rare.join(classes.select("word", "n", "class"), "word", "left")
+        .groupBy("key")
+        .agg(
+            F.sum(F.log10(n + 0.5)).alias("logs"),
+            F.sum((n > 0).cast("long")).alias("known"),
+            F.transform(F.array_sort(F.collect_list(own)), lambda x: x["class"]).alias("classes"),
+        )
+    )
+    head = parts.select("row", "key", "learn", _classed(F.col("index"), of, count, ends).alias("p"))
+    return head.join(summed, "key", "left").select(
+        "row",
+        "learn",
+        "p.codes",
+        "classes",
+        "p.n_tokens",
+        (F.col("p.n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
+        (F.col("p.logs") + F.coalesce("logs", F.lit(0.0))).alias("logs"),
+    )
 
 
 def _g(x: np.ndarray) -> np.ndarray:
@@ -186,115 +392,108 @@ def exchange(pairs: np.ndarray, core: int, classes: int = CLASSES, sweeps: int =
 
 def train(documents: DataFrame, text: str = "text") -> ClassModel:
     """A model of the texts, whole; null texts are empty. Without documents every probability is uniform."""
-    counts = written(count_words(documents, text), "lm-counts")
-    ends = documents.count()
+    return _train(documents, text, F.lit(True))[0]
+
+
+def _train(documents: DataFrame, text: str, learn: Column) -> tuple[ClassModel, DataFrame]:
+    """A model of the texts where ``learn``, and all texts by its classes, written."""
+    trained = documents.filter(learn)
+    counts = written(count_words(trained, text), "lm-counts")
+    ends = trained.count()
     words_total, words_distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     head = _head(counts).toPandas().sort_values(["n", "word"], ascending=[False, True])
     words = [bytes(x) for x in head["word"]]
     count = head["n"].to_numpy().astype(np.int64)
     core = min(CORE, len(words))
+    parts = _parts(documents, words, text, learn)
+    learned = parts.filter("learn").select("index", "tail")
+    # the core first, among octaves of counts
     octave = np.log2(np.maximum(count, 1)).astype(np.int64)
     unit = np.where(np.arange(len(words)) < core, np.arange(len(words)), CORE + 1 + octave)
-    pairs = _unit_pairs(documents, words, unit, text)
+    of = np.concatenate([unit, [TAIL, END]]).astype(np.int64)
+    pairs = _pairs(learned, lambda batch: (of[_sequence(x, np.int32)[0]] for x in slices(batch.column(0))), END, UNITS)
     group = exchange(pairs, CORE)
     size = int(group.max()) + 1
     member = np.zeros((UNITS, size))
     member[np.arange(UNITS), group] = 1
-    joint = member.T @ pairs @ member
+    # then all others among the classes of the core
+    unknown = CLASSES + 1
+    neighbours = _neighbours(learned, words, core, group[of], size)
+    classes = _assigned(neighbours, member.T @ pairs @ member, unknown)
+    ranked = classes.filter("rank IS NOT NULL").select("rank", "class").toPandas()
+    unit[ranked["rank"].to_numpy(np.int64)] = UNITS + ranked["class"].to_numpy(np.int64)
+    classes = classes.filter("rank IS NULL").drop("rank")
+    group = np.concatenate([group[:CORE], [CLASSES], np.full(OCTAVES + 1, unknown), np.arange(CLASSES)])
+    size = unknown + 1
+    of = group[np.concatenate([unit, [TAIL, END]])]
+    coded = _packed(_coded(parts, classes, of, count, ends), "lm-coded")
+    listed = coded.filter("learn").select("codes", "classes")
+    joint = _pairs(listed, lambda batch: (_filled(*x)[0] for x in _sliced(*batch.columns)), CLASSES, size)
     total = joint.sum()
     unigram = (joint.sum(0) + 0.5) / (total + 0.5 * size)
     transition = np.log10((joint + BACKOFF * unigram) / (joint.sum(1, keepdims=True) + BACKOFF))
-    of = group[unit]
-    mass = np.bincount(of, count, size)
-    kinds = np.bincount(of, minlength=size).astype(float)
-    mass[group[TAIL]] += words_total - count.sum()
-    kinds[group[TAIL]] += words_distinct - len(words) + 1
+    mass = np.bincount(of[:-2], count, size)
+    kinds = np.bincount(of[:-2], minlength=size).astype(float)
+    for own in classes.groupBy("class").agg(F.sum("n").alias("mass"), F.count("*").alias("kinds")).collect():
+        mass[own["class"]] += own["mass"]
+        kinds[own["class"]] += own["kinds"]
+    # one more word stands for all unknown ones
+    kinds[unknown] += 1
     mass[group[END]] += ends
     kinds[group[END]] += 1
     in_class = np.log10(np.maximum(mass + 0.5 * kinds, 0.5))
-    return ClassModel(
-        counts, int(words_total) + ends, int(words_distinct) + (ends > 0), ends, words, count, unit, group, transition, in_class
+    model = ClassModel(
+        counts,
+        classes,
+        int(words_total) + ends,
+        int(words_distinct) + (ends > 0),
+        ends,
+        words,
+        count,
+        unit,
+        group,
+        transition,
+        in_class,
     )
+    return model, coded
 
 
-def _partial(text: Column, model: ClassModel) -> Column:
-    """``struct<n_tokens, n_known, logs, score, tail>``: what the model alone tells of a text.
+def _path(codes: Column, classes: Column, model: ClassModel) -> Column:
+    """The sum of the log10 probabilities of each class after the one before, less the classes' emission denominators."""
+    transition, in_class, end = model.transition, model.in_class, int(model.group[END])
 
-    logs sums log10(c + 0.5) over the end and the head words; score lacks the same sum over the words in ``tail``.
-    """
-    words, group, transition, in_class = model.words, model.group, model.transition, model.in_class
-    unit = np.concatenate([model.unit, [TAIL, END]])
-    log_count = np.concatenate([np.log10(model.count + 0.5), [0.0, np.log10(model.ends + 0.5)]])
-    known_end = int(model.ends > 0)
-    kind = pa.struct(
-        [
-            ("n_tokens", pa.int64()),
-            ("n_known", pa.int64()),
-            ("logs", pa.float64()),
-            ("score", pa.float64()),
-            ("tail", pa.list_(pa.binary())),
-        ]
-    )
-
-    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        at = {word: i for i, word in enumerate(words)}
-        for batch in batches:
+    def summed(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for every, listed in batches:
             parts = []
-            for texts in slices(batch):
-                listed, index, sizes = _indexes(texts, at, len(words))
-                classes = group[unit[index]]
-                before = np.concatenate([[group[END]], classes[:-1]])
-                steps = transition[before, classes] - in_class[classes]
-                starts = np.cumsum(sizes + 1) - sizes - 1
-                logs = np.add.reduceat(log_count[index], starts)
-                rare = index == len(words)
-                n_rare = np.add.reduceat(rare.astype(np.int64), starts)
-                tail = [w for x in listed for w in x if w not in at] if rare.any() else []
-                tail = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32)), pa.array(tail, pa.binary())
-                )
-                columns = (
-                    pa.array(sizes + 1),
-                    pa.array(sizes - n_rare + known_end),
-                    pa.array(logs),
-                    pa.array(np.add.reduceat(steps, starts) + logs),
-                    tail,
-                )
-                parts.append(pa.StructArray.from_arrays(columns, fields=list(kind)))
-            yield pa.concat_arrays(parts) if parts else pa.array([], kind)
+            for part, own in _sliced(every, listed):
+                found, starts = _filled(part, own)
+                before = np.concatenate([[end], found[:-1]])
+                parts.append(pa.array(np.add.reduceat(transition[before, found] - in_class[found], starts)))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.float64())
 
-    scored.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return arrow_udf(
-        scored, "struct<n_tokens long, n_known long, logs double, score double, tail array<binary>>"
-    )(text)
+    summed.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    return arrow_udf(summed, "double")(codes, classes)
 
 
 def score(documents: DataFrame, model: ClassModel, text: str = "text") -> DataFrame:
     """row, n_tokens, n_known, base_score, score for every row: log10 probabilities under unigrams and classes.
 
-    ``row`` holds the row's columns but the text, whatever their names. A null or empty text is its end alone. The rare
-    words are joined with the counts of all words and summed by row; the rows are numbered and written before.
+    ``row`` holds the row's columns but the text, whatever their names. A null or empty text is its end alone. The words
+    outside the head are joined with the counts and classes of all words; the rows are numbered and written before.
     """
-    kept = F.struct(*[c for c in documents.columns if c != text]) if len(documents.columns) > 1 else F.struct(F.lit(0))
-    parts = written(
-        documents.select(kept.alias("row"), F.monotonically_increasing_id().alias("key"), _partial(F.col(text), model).alias("p")),
-        "lm-parts",
-    )
-    rare = parts.select("key", F.explode("p.tail").alias("word"))
-    n = F.coalesce(F.col("n"), F.lit(0))
-    summed = (
-        rare.join(model.counts, "word", "left")
-        .groupBy("key")
-        .agg(F.sum(F.log10(n + 0.5)).alias("logs"), F.sum((n > 0).cast("long")).alias("known"))
-    )
+    of = model.group[np.concatenate([model.unit, [TAIL, END]])]
+    parts = _parts(documents, model.words, text, F.lit(False))
+    return _rated(_coded(parts, model.classes, of, model.count, model.ends), model)
+
+
+def _rated(coded: DataFrame, model: ClassModel) -> DataFrame:
     denominator = float(np.log10(model.total + 0.5 * (model.distinct + 1)))
-    rare_logs, rare_known = F.coalesce(F.col("logs"), F.lit(0.0)), F.coalesce(F.col("known"), F.lit(0))
-    return parts.join(summed, "key", "left").select(
+    return coded.select(
         "row",
-        "p.n_tokens",
-        (F.col("p.n_known") + rare_known).alias("n_known"),
-        (F.col("p.logs") + rare_logs - F.col("p.n_tokens") * denominator).alias("base_score"),
-        (F.col("p.score") + rare_logs).alias("score"),
+        "n_tokens",
+        "n_known",
+        (F.col("logs") - F.col("n_tokens") * denominator).alias("base_score"),
+        (_path(F.col("codes"), F.col("classes"), model) + F.col("logs")).alias("score"),
     )
 
 
@@ -306,8 +505,8 @@ def perplexity(scored: DataFrame) -> DataFrame:
 def scores(documents: DataFrame, folds: int = 5) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity; fold 1 is held out."""
     held_out = fold("doc_id", folds) == 1
-    model = train(documents.filter(~held_out))
-    found = perplexity(score(documents.select("doc_id", "text"), model))
+    model, coded = _train(documents.select("doc_id", "text"), "text", ~held_out)
+    found = perplexity(_rated(coded, model))
     return found.select(F.col("row.doc_id").alias("doc_id"), "*").select(
         "doc_id",
         held_out.alias("held_out"),

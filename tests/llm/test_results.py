@@ -195,6 +195,48 @@ def test_class_model_is_a_distribution_and_exchange_gains(spark, docs):
     assert len({(t, g) for t, g in zip(true, group)}) == 3
 
 
+def test_words_outside_the_head_are_exchanged_too(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "HEAD", 24)
+    rng = np.random.default_rng(5)
+    often = 1 / np.arange(3, 63)
+    often /= often.sum()
+    draw = lambda kind: f"{kind}{rng.choice(60, p=often)}"
+    texts = [" ".join(draw("ab"[k % 2]) for k in range(30)) + f" once{i}" for i in range(150)]
+    model = class_lm.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    count = Counter(w for t in texts for w in t.encode().split())
+    of = {w: int(model.group[u]) for w, u in zip(model.words, model.unit)}
+    outside = {bytes(r.word): r for r in model.classes.collect()}
+    assert len(model.words) <= 24 and of.keys() | outside.keys() == count.keys() and not of.keys() & outside.keys()
+    unknown = int(model.group[class_lm.TAIL])
+    for word, r in outside.items():
+        # every word that was found twice has a class, all others share that of the unknown ones
+        assert r.n == count[word] and (r["class"] < class_lm.CLASSES if r.n > 1 else r["class"] == unknown)
+    of |= {w: r["class"] for w, r in outside.items()}
+    mass = np.zeros(len(model.transition))
+    for word, n in count.items():
+        mass[of[word]] += n + 0.5
+    mass[unknown] += 0.5
+    mass[model.group[class_lm.END]] += model.ends + 0.5
+    assert np.allclose(mass[mass > 0], 10 ** model.in_class[mass > 0])
+
+    asked = [texts[0], texts[1].upper(), "a59 new b58", "", None]
+    found = class_lm.score(spark.createDataFrame(list(enumerate(asked)), "id int, text string"), model)
+    found = {r.row.id: r for r in found.collect()}
+    end = int(model.group[class_lm.END])
+    for i, text in enumerate(asked):
+        listed = (text or "").lower().encode().split()
+        steps = [end, *(of.get(w, unknown) for w in listed), end]
+        logs = sum(math.log10(n + 0.5) for n in [*(count[w] for w in listed), model.ends])
+        path = sum(model.transition[x, y] - model.in_class[y] for x, y in zip(steps, steps[1:]))
+        assert found[i].score == pytest.approx(path + logs)
+        assert (found[i].n_tokens, found[i].n_known) == (len(listed) + 1, sum(w in count for w in listed) + 1)
+
+    # a word goes to the class that its neighbours point to
+    joint = np.array([[5, 90, 5], [90, 5, 5], [5, 5, 1]])
+    seen = np.array([[9, 0, 0, 8, 1, 0], [0, 7, 1, 0, 6, 2]])
+    assert class_lm.best_classes(seen, joint, 2).tolist() == [1, 0]
+
+
 # op5
 
 
