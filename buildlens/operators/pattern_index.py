@@ -2,13 +2,21 @@
 
 A text that matches a pattern holds every run of characters of the pattern's fixed parts. Of each pattern the run that
 the fewest texts hold becomes its anchor. Texts meet the patterns whose anchor they hold, those pairs are verified, and the
-best rule of each text is kept. Nothing is collected; time grows with the texts and with the pairs that share an anchor.
+best rule of each text is kept. Runs meet as 64-bit hashes, and a bitmap of a bounded size keeps those of the texts that no
+pattern has from leaving their task. Up to BROADCAST anchors go to the texts, which then never move; more are joined.
+Time grows with the texts and with the pairs that share an anchor.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from buildlens import schemas
 from buildlens.operators.joins import join_grouped
@@ -16,7 +24,14 @@ from buildlens.session import scratch_dir
 
 #: Lengths of the runs, longest first. A pattern is found by the longest that its fixed parts have room for; one without
 #: any fixed part has the empty run, which every text holds.
-SIZES = (6, 3, 1)
+SIZES = (6, 5, 4, 3, 2, 1)
+#: Bits that number a slot of the bitmap.
+SLOT_BITS = 22
+#: Characters that are hashed at a time.
+WINDOW = 1 << 18
+#: Anchors that are broadcast to the texts.
+BROADCAST = 20_000
+_FACTOR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _ORDER = ["priority", "error_pattern", "category", "assigned_team", "recommended_fix"]
 
 
@@ -77,25 +92,100 @@ def matches(text: Column, asked: str) -> Column:
     )
 
 
-def text_runs(texts: DataFrame) -> DataFrame:
-    """digest, run: the distinct runs of all sizes of every text, the empty one included."""
-    # the starts of the longest runs are all the shorter ones
-    long = texts.select("_digest", runs(F.col("_lowered"), SIZES[0]).alias("_long"))
-    short = [F.array_distinct(F.transform("_long", lambda run: F.left(run, F.lit(size)))) for size in SIZES[1:]]
-    every = F.concat(F.array(F.lit("")), F.col("_long"), *short)
-    return long.select("_digest", F.explode(F.array_distinct(every)).alias("_run"))
+@dataclass
+class Wanted:
+    """What a text's run must have to be kept: one of the sizes, and its hash a slot that is set."""
+
+    sizes: list[int]
+    slots: np.ndarray
+
+
+def _hashes(points: np.ndarray, sizes: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """The 64-bit hashes of all runs of each size, by where they start in the code points."""
+    points = points.astype(np.uint64) + np.uint64(1)
+    found = np.zeros(len(points) + 1, np.uint64)
+    for size in range(max(sizes, default=-1) + 1):
+        if size:
+            found = found[:-1] * _FACTOR + points[size - 1 :] if len(found) > 1 else found[:0]
+            found ^= found >> np.uint64(29)
+        if size in sizes:
+            mixed = (found + np.uint64(size)) * _MIX
+            yield size, mixed ^ (mixed >> np.uint64(32))
+
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes * _FACTOR >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def run_key(run: Column) -> Column:
+    """The hash of a run as a whole."""
+
+    def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            own = [next(_hashes(x, [len(x)]))[1][0] for x in map(_points, batch.to_pylist())]
+            yield pa.array(np.array(own, np.uint64).view(np.int64))
+
+    keys.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return arrow_udf(keys, "long")(run)
+
+
+def wanted(runs_: DataFrame) -> Wanted:
+    """What to look for in texts to find the runs (_run, _key). The driver gets no more than the slots of the bitmap."""
+    sizes = [r[0] for r in runs_.select(F.length("_run")).distinct().collect()]
+
+    def slots(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array(_slots(batch.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)), pa.int32())
+
+    slots.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    found = runs_.select(arrow_udf(slots, "int")(F.col("_key")).alias("slot")).distinct().toPandas()
+    bitmap = np.zeros(1 << SLOT_BITS, bool)
+    bitmap[found["slot"].to_numpy(np.int64)] = True
+    return Wanted(sorted(sizes), np.packbits(bitmap))
+
+
+def text_runs(text: Column, wanted: Wanted) -> Column:
+    """The hashes of a text's distinct runs that are wanted, and of some others that share a slot with these."""
+    sizes, packed = wanted.sizes, wanted.slots
+    overlap = max(sizes, default=0)
+
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bitmap = np.unpackbits(packed).view(bool)
+
+        def own(points: np.ndarray) -> Iterator[np.ndarray]:
+            # the last runs of a window start where the next one does
+            for start in range(0, max(len(points), 1), WINDOW):
+                for _, hashes in _hashes(points[start : start + WINDOW + overlap], sizes):
+                    yield hashes[bitmap[_slots(hashes)]]
+
+        for batch in batches:
+            held = [np.unique(np.concatenate([np.zeros(0, np.uint64), *own(_points(x))])) for x in batch.to_pylist()]
+            ends = np.cumsum([0, *map(len, held)]).astype(np.int32)
+            values = np.concatenate([np.zeros(0, np.uint64), *held]).view(np.int64)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+    found.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return arrow_udf(found, "array<long>")(text)
 
 
 def anchors(texts: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Each pattern with the run of it that the fewest texts hold; of equally rare ones the first."""
-    # counted per task before the shuffle, whatever the number of texts
-    held = text_runs(texts).groupBy("_run").agg(F.count("*").alias("_texts"))
+    """Each pattern with the run of it that the fewest texts hold, and its hash; of equally rare ones the first."""
+    base = scratch_dir(texts.sparkSession, "runs")
     own = patterns.select("_pattern", F.explode(pattern_runs(fixed_parts(F.col("_pattern")))).alias("_run"))
-    counted = own.join(held, "_run", "left")
+    own = own.withColumn("_key", run_key(F.col("_run")))
+    own.write.parquet(base)
+    own = texts.sparkSession.read.schema(own.schema).parquet(base)
+    # counted per task before the shuffle, whatever the number of texts
+    every = texts.select(F.explode(text_runs(F.col("_lowered"), wanted(own))).alias("_key"))
+    counted = own.join(every.groupBy("_key").agg(F.count("*").alias("_texts")), "_key", "left")
     # a run that no text holds shows that its pattern matches nothing
-    rarest = F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("texts"), F.col("_run").alias("run"))).alias("_anchor")
+    rarest = F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("texts"), F.col("_run").alias("run"), "_key")).alias("_anchor")
     kept = counted.groupBy("_pattern").agg(rarest).filter(F.col("_anchor.texts") > 0)
-    return kept.select("_pattern", F.col("_anchor.run").alias("_run"))
+    return kept.select("_pattern", F.col("_anchor.run").alias("_run"), F.col("_anchor._key").alias("_key"))
 
 
 def classify_by_pattern_index(logs: DataFrame, rules: DataFrame, text: str) -> DataFrame:
@@ -110,7 +200,7 @@ def classify_by_pattern_index(logs: DataFrame, rules: DataFrame, text: str) -> D
     fields = schemas.RULE_TABLE_SCHEMA.fieldNames()
     # the digest of the lowered text is its key: logs may have no key or repeat it
     lowered = F.lower(F.col(text))
-    digest = F.sha2(lowered, 256)
+    digest = F.unhex(F.sha2(lowered, 256))
     distinct = logs.filter(F.col(text).isNotNull()).groupBy(digest.alias("_digest")).agg(F.first(lowered).alias("_lowered"))
     distinct.write.parquet(f"{base}/texts")
     texts = spark.read.parquet(f"{base}/texts")
@@ -122,13 +212,20 @@ def classify_by_pattern_index(logs: DataFrame, rules: DataFrame, text: str) -> D
         .agg(F.min(last).alias("_rule"))
         .withColumn("_asked", pieces(F.col("_pattern")))
     )
-    best.write.parquet(f"{base}/rules")
+    # numbered in their order, so that the best of a text is a minimum of numbers
+    best.orderBy("_rule").withColumn("_rank", F.monotonically_increasing_id()).write.parquet(f"{base}/rules")
     patterns = spark.read.parquet(f"{base}/rules")
-    anchors(texts, patterns).join(patterns, "_pattern").write.parquet(f"{base}/anchors")
+    found = anchors(texts, patterns).join(patterns.drop("_rule"), "_pattern")
+    found.select("_run", "_key", "_asked", "_rank").write.parquet(f"{base}/anchors")
     anchored = spark.read.parquet(f"{base}/anchors")
 
-    pairs = join_grouped(text_runs(texts), anchored, ["_run"]).select("_digest", "_asked", "_rule")
-    verified = texts.join(pairs, "_digest").filter(matches(F.col("_lowered"), "_asked"))
-    won = verified.groupBy("_digest").agg(F.min("_rule").alias("_rule"))
+    keys = F.explode(text_runs(F.col("_lowered"), wanted(anchored))).alias("_key")
+    if anchored.count() <= BROADCAST:
+        pairs = texts.select("_digest", "_lowered", keys).join(F.broadcast(anchored), "_key")
+    else:
+        held = join_grouped(texts.select("_digest", keys), anchored, ["_key"]).select("_digest", "_asked", "_rank")
+        pairs = texts.join(held, "_digest")
+    verified = pairs.filter(matches(F.col("_lowered"), "_asked"))
+    won = verified.groupBy("_digest").agg(F.min("_rank").alias("_rank")).join(patterns.select("_rank", "_rule"), "_rank")
     answers = join_grouped(logs.withColumn("_digest", digest), won, ["_digest"], "left")
     return answers.select(*logs.columns, *[F.col(f"_rule.{n}").alias(n) for n in fields])

@@ -105,3 +105,16 @@ def test_equal_texts_are_judged_once(spark):
     logs = spark.range(5000).select(F.col("id").cast("int"), F.lit("OutOfMemory in step").alias("log"))
     found = pattern_index.classify_by_pattern_index(logs, table(spark, [("%memory%", "M", "t", 1, "f")]), "log")
     assert found.filter("category = 'M'").count() == 5000
+
+
+def test_only_runs_of_patterns_leave_a_text(spark):
+    wide = pattern_index.WINDOW - 3
+    texts = ["no such thing here " * 50, "x" * wide + "needle" + "y" * 40, "ends in a needl", "日本 needle 🙂", ""]
+    own = spark.createDataFrame([("needle",), ("🙂",)], "_run string").withColumn("_key", pattern_index.run_key(F.col("_run")))
+    keys = {r._run: r._key for r in own.collect()}
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, log string")
+    found = df.select("id", pattern_index.text_runs(F.col("log"), pattern_index.wanted(own)).alias("keys")).collect()
+    held = {r.id: {name for name, key in keys.items() if key in r["keys"]} for r in found}
+    assert held == {0: set(), 1: {"needle"}, 2: set(), 3: {"needle", "🙂"}, 4: set()}
+    # thousands of runs, of which a few could share a slot with one of a pattern
+    assert sum(len(r["keys"]) for r in found) < 10
