@@ -118,3 +118,20 @@ def test_only_runs_of_patterns_leave_a_text(spark):
     assert held == {0: set(), 1: {"needle"}, 2: set(), 3: {"needle", "🙂"}, 4: set()}
     # thousands of runs, of which a few could share a slot with one of a pattern
     assert sum(len(r["keys"]) for r in found) < 10
+
+
+def test_long_tables_by_either_join(spark, monkeypatch):
+    syllables = "th en er on an re in ti".split()
+    rules = [(f"% {a}{b}%", f"C {a}", "t", (i * 7 + j) % 40, "f") for i, a in enumerate(syllables) for j, b in enumerate(syllables)]
+    rules += [("%never%", "N", "t", 0, "f"), ("%", "Any", "t", 99, "f")]
+    draw = random.Random(3)
+    logs = [(i % 50 or None, " ".join("".join(draw.choices(syllables, k=2)) for _ in range(i % 9))) for i in range(200)]
+    df, plan = spark.createDataFrame(logs, LOG_SCHEMA), []
+    for most in (pattern_index.BROADCAST, 0):
+        monkeypatch.setattr(pattern_index, "BROADCAST", most)
+        found = both(spark, logs, rules)
+        plan.append((found, pattern_index.classify_by_pattern_index(df, table(spark, rules), "log")))
+    assert plan[0][0] == plan[1][0]
+    # the texts stay where they are as long as the anchors can go to them
+    physical = [x[1]._jdf.queryExecution().optimizedPlan().toString() for x in plan]
+    assert "strategy=broadcast" in physical[0] and "strategy=broadcast" not in physical[1]
