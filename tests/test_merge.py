@@ -8,6 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from buildlens.operators import merge
+from buildlens.plans import bronze
 
 KEYS = ["id", "attempt"]
 
@@ -142,3 +143,19 @@ def test_the_first_batch_is_staged_once(spark, tmp_path, monkeypatch):
     upsert(spark, path, frame(spark, (1, 1, "a", "2024-01-01")))
     assert staged == [["merged"]]
     assert spark.read.parquet(path).count() == 1
+
+
+def test_the_newest_of_a_batch_moves_no_row_whose_key_is_alone(spark, tmp_path, monkeypatch):
+    # run 7 comes three times, twice at the same time; its second attempt and all others once
+    data = [(i, 1, i, "f1", "e", 0) for i in range(20)] + [(7, 1, 50, "f2", "e", 1), (7, 1, 50, "f2", "e", 2), (7, 2, 1, "f1", "e", 3)]
+    schema = "run_id bigint, run_attempt bigint, updated_at int, source_file_name string, envelope_id string, record_no int"
+    spark.createDataFrame(data, schema).withColumn("kept", F.col("record_no")).write.parquet(f"{tmp_path}/batch")
+    batch = spark.read.parquet(f"{tmp_path}/batch")
+    expected = rows(bronze.latest_attempts(batch), "run_id", "run_attempt")
+    assert len(expected) == 21 and (7, 1, 50, "f2", 2) in expected
+    found = bronze.newest_attempts(batch, f"{tmp_path}/few")
+    assert rows(found, "run_id", "run_attempt") == expected and found.columns == bronze.latest_attempts(batch).columns
+    alone = bronze.newest_attempts(batch.filter("run_id <> 7"), f"{tmp_path}/none")
+    assert alone.count() == 19 and "Window" not in alone._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(bronze, "REPEATED", 0)
+    assert rows(bronze.newest_attempts(batch, f"{tmp_path}/many"), "run_id", "run_attempt") == expected
