@@ -3,8 +3,8 @@
 A text that matches a pattern holds every run of characters of the pattern's fixed parts. Of each pattern the run that
 the fewest texts hold becomes its anchor. Texts meet the patterns whose anchor they hold, those pairs are verified, and the
 best rule of each text is kept. Runs meet as 64-bit hashes, and a bitmap of a bounded size keeps those of the texts that no
-pattern has from leaving their task. Up to BROADCAST anchors go to the texts, which then never move; more are joined.
-Time grows with the texts and with the pairs that share an anchor.
+pattern has from leaving their task. Up to BROADCAST anchors go to the texts, which then never move, and a text whose best
+candidate matches is done; more are joined. Time grows with the texts and with the pairs that are verified.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -148,30 +149,72 @@ def wanted(runs_: DataFrame) -> Wanted:
     return Wanted(sorted(sizes), np.packbits(bitmap))
 
 
+def _held(texts: list[str], wanted: Wanted, bitmap: np.ndarray) -> list[np.ndarray]:
+    """The hashes of each text's distinct runs that may be wanted, sorted."""
+    overlap = max(wanted.sizes, default=0)
+
+    def own(points: np.ndarray) -> Iterator[np.ndarray]:
+        # the last runs of a window start where the next one does
+        for start in range(0, max(len(points), 1), WINDOW):
+            for _, hashes in _hashes(points[start : start + WINDOW + overlap], wanted.sizes):
+                yield hashes[bitmap[_slots(hashes)]]
+
+    return [np.unique(np.concatenate([np.zeros(0, np.uint64), *own(_points(x))])) for x in texts]
+
+
+def _lists(found: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+    values = np.concatenate([np.zeros(0, np.int64), *[x.view(np.int64) for x in found]])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+
 def text_runs(text: Column, wanted: Wanted) -> Column:
     """The hashes of a text's distinct runs that are wanted, and of some others that share a slot with these."""
-    sizes, packed = wanted.sizes, wanted.slots
-    overlap = max(sizes, default=0)
 
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bitmap = np.unpackbits(packed).view(bool)
-
-        def own(points: np.ndarray) -> Iterator[np.ndarray]:
-            # the last runs of a window start where the next one does
-            for start in range(0, max(len(points), 1), WINDOW):
-                for _, hashes in _hashes(points[start : start + WINDOW + overlap], sizes):
-                    yield hashes[bitmap[_slots(hashes)]]
-
+        bitmap = np.unpackbits(wanted.slots).view(bool)
         for batch in batches:
-            held = [np.unique(np.concatenate([np.zeros(0, np.uint64), *own(_points(x))])) for x in batch.to_pylist()]
-            ends = np.cumsum([0, *map(len, held)]).astype(np.int32)
-            values = np.concatenate([np.zeros(0, np.uint64), *held]).view(np.int64)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+            yield _lists(_held(batch.to_pylist(), wanted, bitmap))
 
     found.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return arrow_udf(found, "array<long>")(text)
 
 
+def candidates(text: Column, few: pd.DataFrame) -> Column:
+    """The ranks of all rules whose anchor a text holds, best first. ``few`` has each rule's ``size``, ``_key``, ``_rank``."""
+    few = few.sort_values(["_key", "_rank"])
+    keys, ranks = few["_key"].to_numpy(np.int64), few["_rank"].to_numpy(np.int64)
+    bitmap = np.zeros(1 << SLOT_BITS, bool)
+    bitmap[_slots(keys.view(np.uint64))] = True
+    asked = Wanted(sorted(map(int, few["size"].unique())), np.packbits(bitmap))
+
+    def ranked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bitmap = np.unpackbits(asked.slots).view(bool)
+
+        def own(held: np.ndarray) -> np.ndarray:
+            # rules that share an anchor stand side by side
+            first, last = (np.searchsorted(keys, held.view(np.int64), side) for side in ("left", "right"))
+            return np.sort(np.concatenate([np.zeros(0, np.int64), *[ranks[a:b] for a, b in zip(first, last) if a < b]]))
+
+        for batch in batches:
+            yield _lists([own(held) for held in _held(batch.to_pylist(), asked, bitmap)])
+
+    ranked.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    # Spark would run it once more for each filter that it moves before it
+    return arrow_udf(ranked, "array<long>").asNondeterministic()(text)
+
+
+def tried(texts: DataFrame, rules: DataFrame, few: pd.DataFrame) -> DataFrame:
+    """Texts with the rules left to verify: the best candidate alone, ``_sure``, if it matches, or else all the others."""
+    rules = F.broadcast(rules.select("_rank", "_asked"))
+    held = texts.select("_digest", "_lowered", candidates(F.col("_lowered"), few).alias("_ranks"))
+    best = held.withColumn("_rank", F.get("_ranks", F.lit(0))).join(rules, "_rank")
+    judged = best.withColumn("_sure", F.coalesce(matches(F.col("_lowered"), "_asked"), F.lit(False)))
+    others = F.slice("_ranks", F.lit(2), F.size("_ranks"))
+    left = F.explode(F.when(F.col("_sure"), F.array("_rank")).otherwise(others)).alias("_rank")
+    return judged.select("_digest", "_lowered", "_sure", left).join(rules, "_rank")
+
+
 def anchors(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """Each pattern with the run of it that the fewest texts hold, and its hash; of equally rare ones the first."""
     base = scratch_dir(texts.sparkSession, "runs")
@@ -219,13 +262,13 @@ def classify_by_pattern_index(logs: DataFrame, rules: DataFrame, text: str) -> D
     found.select("_run", "_key", "_asked", "_rank").write.parquet(f"{base}/anchors")
     anchored = spark.read.parquet(f"{base}/anchors")
 
-    keys = F.explode(text_runs(F.col("_lowered"), wanted(anchored))).alias("_key")
-    if anchored.count() <= BROADCAST:
-        pairs = texts.select("_digest", "_lowered", keys).join(F.broadcast(anchored), "_key")
+    few = anchored.select(F.length("_run").alias("size"), "_key", "_rank").limit(BROADCAST + 1).toPandas()
+    if len(few) <= BROADCAST:
+        verified = tried(texts, anchored, few).filter(F.col("_sure") | matches(F.col("_lowered"), "_asked"))
     else:
+        keys = F.explode(text_runs(F.col("_lowered"), wanted(anchored))).alias("_key")
         held = join_grouped(texts.select("_digest", keys), anchored, ["_key"]).select("_digest", "_asked", "_rank")
-        pairs = texts.join(held, "_digest")
-    verified = pairs.filter(matches(F.col("_lowered"), "_asked"))
+        verified = texts.join(held, "_digest").filter(matches(F.col("_lowered"), "_asked"))
     won = verified.groupBy("_digest").agg(F.min("_rank").alias("_rank")).join(patterns.select("_rank", "_rule"), "_rank")
     answers = join_grouped(logs.withColumn("_digest", digest), won, ["_digest"], "left")
     return answers.select(*logs.columns, *[F.col(f"_rule.{n}").alias(n) for n in fields])

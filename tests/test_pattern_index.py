@@ -135,3 +135,19 @@ def test_long_tables_by_either_join(spark, monkeypatch):
     # the texts stay where they are as long as the anchors can go to them
     physical = [x[1]._jdf.queryExecution().optimizedPlan().toString() for x in plan]
     assert "strategy=broadcast" in physical[0] and "strategy=broadcast" not in physical[1]
+
+
+def test_a_text_is_done_when_its_best_candidate_matches(spark, monkeypatch):
+    words = [f"word{c}x" for c in "abcdefghij"]
+    rules = [(f"%{w}%", f"C {w}", "t", i, "f") for i, w in enumerate(words)]
+    # both words are there, in the other order: the best candidate of the first text fails
+    rules += [("%wordjx%wordax%", "Order", "t", -1, "f")]
+    logs = [(1, " ".join(words)), (2, " ".join(words[:9])), (3, "nothing of it"), (4, "")]
+    seen, real = [], pattern_index.tried
+    monkeypatch.setattr(pattern_index, "tried", lambda *a: seen.append(real(*a)) or seen[-1])
+    found = both(spark, logs, rules)
+    assert sum("category='C wordax'" in x for x in found) == 2
+    left = {r._lowered: (r["count"], r.sure) for r in seen[0].groupBy("_lowered").agg(F.count("*").alias("count"), F.max("_sure").alias("sure")).collect()}
+    assert left == {logs[0][1]: (10, False), logs[1][1]: (1, True)}
+    # texts are searched once
+    assert seen[0]._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
