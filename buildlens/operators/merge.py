@@ -84,6 +84,14 @@ def remove(spark: SparkSession, path: str) -> None:
 
 #: Distinct values of a key column in a batch up to which a table is asked for the values themselves.
 ASKED = 1000
+#: Rows of a written table up to which Spark may broadcast them, about 100 bytes of memory each.
+BROADCAST = 250_000
+
+
+def by_rows(written: DataFrame, rows: int | None = None) -> DataFrame:
+    """A written table as the right side of a join: many rows are shuffled. Spark goes by the size of files, of which it gives
+    key columns a share by type (beside a VARIANT a hundredth), so that it would broadcast many millions of keys."""
+    return written if (written.count() if rows is None else rows) <= BROADCAST else written.hint("merge")
 
 
 def key_filters(writer: DataFrameWriter, keys: list[str]) -> DataFrameWriter:
@@ -204,7 +212,8 @@ def upsert_path(
     incoming = f"{stage}/{'merged' if target is None else 'incoming'}"
     _staged(source.write).parquet(incoming)
     source = spark.read.schema(source.schema).parquet(incoming)
-    if source.isEmpty():
+    rows = source.count()
+    if not rows:
         remove(spark, stage)
         return
     if target is None:
@@ -214,9 +223,9 @@ def upsert_path(
     if not fixed_partition:
         homes = target.select(*keys, F.col(partition).alias("_home"), F.lit(True).alias("_known"))
         with _values_pushed(spark):
-            found = near(homes, source, keys).join(source.select(*keys), keys, "left_semi")
+            found = near(homes, source, keys).join(by_rows(source.select(*keys), rows), keys, "left_semi")
             _staged(found.write).parquet(f"{stage}/homes")
-        source = source.join(spark.read.schema(homes.schema).parquet(f"{stage}/homes"), keys, "left")
+        source = source.join(by_rows(spark.read.schema(homes.schema).parquet(f"{stage}/homes")), keys, "left")
         # a known key's home can be the NULL partition
         home = F.when(F.col("_known"), F.col("_home")).otherwise(F.col(partition))
         source = source.withColumn(partition, home).drop("_home", "_known")
@@ -226,7 +235,9 @@ def upsert_path(
     if not source.filter(F.col(partition).isNull()).isEmpty():
         old = old.union(target.filter(F.col(partition).isNull()))
     lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields if f.name not in source.columns]
-    source = combine(old, source.select("*", *lacking).select(*target.columns), keys)
+    # not before the touched partitions are found: a hint would hold for their join, too
+    source = by_rows(source.select("*", *lacking).select(*target.columns), rows)
+    source = combine(old, source, keys)
     _staged(source.write).parquet(f"{stage}/merged")
     _publish(spark, spark.read.schema(source.schema).parquet(f"{stage}/merged"), base, partition, keys)
     remove(spark, stage)

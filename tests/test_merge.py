@@ -159,3 +159,34 @@ def test_the_newest_of_a_batch_moves_no_row_whose_key_is_alone(spark, tmp_path,
     assert alone.count() == 19 and "Window" not in alone._jdf.queryExecution().optimizedPlan().toString()
     monkeypatch.setattr(bronze, "REPEATED", 0)
     assert rows(bronze.newest_attempts(batch, f"{tmp_path}/many"), "run_id", "run_attempt") == expected
+
+
+def staged_plans(spark, monkeypatch):
+    """The plans of all frames that are staged."""
+    plans, staged = [], merge._staged
+
+    def noted(writer):
+        plans.append(writer._df._jdf.queryExecution().sparkPlan().toString())
+        return staged(writer)
+
+    monkeypatch.setattr(merge, "_staged", noted)
+    return plans
+
+
+@pytest.mark.parametrize("fixed", [False, True])
+def test_many_keys_are_not_broadcast_however_small_their_files(spark, tmp_path, monkeypatch, fixed):
+    # equal rows but for the key: files of some kilobytes
+    many = spark.range(2000).select("id", F.lit(1).cast("bigint").alias("attempt"), F.lit("a").alias("state"), F.lit("2024-01-01").cast("date").alias("day"))
+    few = many.filter("id < 50")
+    plans = staged_plans(spark, monkeypatch)
+    for limit, batch, name in ((100, many, "many"), (100, few, "few")):
+        monkeypatch.setattr(merge, "BROADCAST", limit, raising=False)
+        path = str(tmp_path / name)
+        upsert(spark, path, many)
+        del plans[:]
+        found = upsert(spark, path, batch.withColumn("state", F.lit("b")), fixed_partition=fixed)
+        assert found.groupBy("state").count().filter("state = 'b'").first()[1] == batch.count() and found.count() == 2000
+        by_key = "".join(line for plan in plans for line in plan.splitlines() if "BroadcastHashJoin" in line and "[id#" in line)
+        assert bool(by_key) == (name == "few"), by_key
+        # the touched partitions still are
+        assert any("BroadcastHashJoin [day#" in line for line in plans[-1].splitlines())
