@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import json
 import os
+import time
 from datetime import date, datetime
 
 from conftest import rows
@@ -259,3 +260,24 @@ def test_large_unreadable_files_are_streamed(spark, tmp_path, monkeypatch):
         found = lake.broken_files(spark, root, "workflow_runs").collect()
         assert sorted(r.source_file_name.rpartition("/")[2] for r in found) == ["cut.jsonl.gz", "plain%20%2541.jsonl.gz"]
         assert all(r.error for r in found)
+
+
+def shuffled(spark):
+    """The shuffle files that the session holds."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for top in folders for d, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+
+def test_landing_and_loading_leave_no_shuffle_files(spark, tmp_path):
+    # held here, as garbage would take them away at some time
+    records, before = tagged(spark, 1001).repartition("id"), shuffled(spark)
+    lake.land(records, f"{tmp_path}/lake", "workflow_runs")
+    bronze.load(spark, f"{tmp_path}/lake", f"{tmp_path}/bronze", grain="year")
+    for _ in range(50):
+        left = shuffled(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert bronze.read(spark, f"{tmp_path}/bronze").count() == 1001
