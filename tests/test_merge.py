@@ -5,6 +5,7 @@ import os
 
 import pytest
 from conftest import rows
+from pyarrow import parquet
 from pyspark.sql import functions as F
 
 from buildlens.operators import merge
@@ -190,3 +191,41 @@ def test_many_keys_are_not_broadcast_however_small_their_files(spark, tmp_path,
         assert bool(by_key) == (name == "few"), by_key
         # the touched partitions still are
         assert any("BroadcastHashJoin [day#" in line for line in plans[-1].splitlines())
+
+
+def test_the_touched_partitions_prune_the_table_however_large_the_batch(spark, tmp_path, monkeypatch):
+    days = [F.lit(f"2024-01-0{d}").cast("date").alias("day") for d in (1, 2)]
+    first, second = (
+        spark.range(2000 * i, 2000 * (i + 1)).select("id", F.lit(1).cast("bigint").alias("attempt"), F.lit("a").alias("state"), day)
+        for i, day in enumerate(days)
+    )
+    upsert(spark, path := str(tmp_path / "t"), first.unionByName(second))
+    plans = staged_plans(spark, monkeypatch)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # what is joined to find the days is held to be larger than this, the days are not
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        found = upsert(spark, path, second.withColumn("state", F.lit("b")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin [day#" in plans[-1] and "dynamicpruning" in plans[-1]
+    assert rows(found.groupBy("day", "state").count().select("state", "count"), "state") == [("a", 2000), ("b", 2000)]
+
+
+def test_staged_payloads_are_written_whole_and_the_batch_is_given_up_before_they_are_published(spark, tmp_path, monkeypatch):
+    path, steps, publish = str(tmp_path / "t"), [], merge._publish
+    monkeypatch.setattr(merge, "remove", lambda *_: None)
+    monkeypatch.setattr(merge, "_publish", lambda *args: (steps.append("published"), publish(*args)))
+    data = frame(spark, *[(i, 1, "a", "2024-01-01") for i in range(50)]).withColumn("payload", F.parse_json(F.lit('{"id": 1, "name": "x"}')))
+    for _ in range(2):
+        upsert(spark, path, data, done=lambda: steps.append("read"))
+    # nothing was removed, so the second merge finishes the first once more
+    assert steps == ["read", "published", "published", "read", "published"]
+
+    def taken_apart(folder):
+        files = [os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")]
+        return {f.split("/")[-2] for f in files if "typed_value" in str(parquet.read_schema(f))}
+
+    # only the table's own files
+    assert taken_apart(tmp_path) == {"day=2024-01-01"}
+    assert rows(spark.read.parquet(path).select(F.to_json("payload")).distinct()) == [('{"id":1,"name":"x"}',)]
