@@ -229,3 +229,16 @@ def test_staged_payloads_are_written_whole_and_the_batch_is_given_up_before_they
     # only the table's own files
     assert taken_apart(tmp_path) == {"day=2024-01-01"}
     assert rows(spark.read.parquet(path).select(F.to_json("payload")).distinct()) == [('{"id":1,"name":"x"}',)]
+
+
+def test_a_repeated_batch_of_payloads_broadcasts_no_keys(spark, tmp_path, monkeypatch):
+    # beside a payload Spark holds key columns for a hundredth of a file
+    lines = spark.range(2000).select(F.format_string('{"execution_id": "e%d", "data": [{"id": %d}]}', "id", "id").alias("line"), F.lit("f").alias("source_file_name"))
+    records = bronze.judged(lines, F.lit("2024-01-01").cast("timestamp_ntz"), "year")
+    monkeypatch.setattr(merge, "BROADCAST", 100, raising=False)
+    plans = staged_plans(spark, monkeypatch)
+    for n in range(2):
+        bronze.merge_batch(spark, records, f"{tmp_path}/bronze", quarantine=f"{tmp_path}/rejected/batch={n}")
+    joins = [line for plan in plans for line in plan.splitlines() if "Join [run_id#" in line]
+    assert len(joins) >= 3 and not [line for line in joins if "Broadcast" in line]
+    assert bronze.read(spark, f"{tmp_path}/bronze").count() == 2000
